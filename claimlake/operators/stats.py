@@ -3,13 +3,15 @@
 Quantiles follow the discrete definition (``percentile_disc``): the smallest
 value whose cumulative share reaches p. Three methods:
 
-* ``exact`` (default): distributed selection. Each pass is one aggregation
-  that counts the candidates of every group and builds a bounded-size
-  quantile sketch of them; the sketch narrows the value bracket that must
-  hold the wanted rank (by ~grid/3 per pass). Once a bracket holds at most
-  ``max_exact_rows`` values they are ranked with a window. No task ever
-  holds more than a sketch or ``max_exact_rows`` values, whatever the size
-  or skew of a group.
+* ``exact`` (default): distributed selection. A first aggregation counts
+  the rows of every group. A group with at most ``max_exact_rows`` values is
+  ranked with a window straight away. For a larger group, a bounded-size
+  quantile sketch (``percentile_approx``) of its candidates narrows the value
+  bracket that must hold the wanted rank (by ~grid/3 per round), and a
+  counting pass shifts the rank into the new bracket, until the bracket is
+  small enough to rank or holds one repeated value. No task ever holds more
+  than a sketch or ``max_exact_rows`` values, whatever the size or skew of a
+  group.
 * ``disc``: Spark's ``percentile_disc`` aggregate (keeps a count per
   distinct value in one buffer per group: fine for small value domains).
 * ``approx``: ``percentile_approx`` with ``accuracy`` (rank error 1/accuracy),
@@ -24,8 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlake.functions.codes import ratio_pct
-from claimlake.operators.relate import bounded_broadcast
-from claimlake.session import shared_root
+from claimlake.operators.relate import DEFAULT_BROADCAST_MAX_ROWS
+from claimlake.session import materialize, shared_root
 
 MAX_EXACT_ROWS = 200_000
 SKETCH_ACCURACY = 10_000
@@ -46,13 +48,14 @@ def _targets(probs: Mapping[str, float]) -> Column:
     ]))
 
 
-def _join_groups(data: DataFrame, state: DataFrame, gcols: Sequence[str]) -> DataFrame:
+def _join_groups(data: DataFrame, state: DataFrame, gcols: Sequence[str], small: bool) -> DataFrame:
     """Attach each row's per-group state; NULL group values match (null-safe).
-    The state has one row per group and target, so it is broadcast when a
-    bounded check allows it."""
+    The state has one row per group and target; it is broadcast when its
+    counted size is within the broadcast bound (``small``)."""
     st = state.select(*[F.col(g).alias(f"__s_{g}") for g in gcols],
                       *[c for c in state.columns if c not in gcols])
-    st, _ = bounded_broadcast(st)
+    if small:
+        st = F.broadcast(st)
     cond = None
     for g in gcols:
         e = data[g].eqNullSafe(st[f"__s_{g}"])
@@ -60,66 +63,108 @@ def _join_groups(data: DataFrame, state: DataFrame, gcols: Sequence[str]) -> Dat
     return data.join(st, cond).drop(*[f"__s_{g}" for g in gcols])
 
 
-def _in_bracket(lo: str, hi: str) -> Column:
-    v = F.col("__v")
-    return (F.col(lo).isNull() | (v >= F.col(lo))) & (F.col(hi).isNull() | (v <= F.col(hi)))
+def _in_bracket(lo: str, hi: str, lox: str, hix: str) -> Column:
+    """lo <= v <= hi, an end is open when NULL and exclusive when its flag is set."""
+    v, L, H = F.col("__v"), F.col(lo), F.col(hi)
+    lo_ok = L.isNull() | (v > L) | ((v == L) & ~F.col(lox))
+    hi_ok = H.isNull() | (v < H) | ((v == H) & ~F.col(hix))
+    return lo_ok & hi_ok
 
 
 def _narrow(state: DataFrame, grid: int, accuracy: int) -> DataFrame:
-    """New (lo2, hi2) from the sketch over the current candidates so that the
-    k-th candidate stays inside: below-rank <= k-1 - n/accuracy and
-    above-rank >= k + n/accuracy."""
+    """New ends (lo2, hi2) from the sketch of the current candidates so that
+    the k-th candidate stays inside: the sketch's rank error is at most
+    n/accuracy, so grid points 2*grid/accuracy steps beyond the target
+    share bracket it. An end that would fall outside the grid keeps the old
+    end (and its exclusivity)."""
     n, k = F.col("__n").cast("double"), F.col("__k").cast("double")
     margin = 2.0 * grid / accuracy
     lo_i = F.floor((k - 1) / n * grid - margin)
     hi_i = F.ceil(k / n * grid + margin)
+    keep_lo, keep_hi = lo_i < 0, hi_i > grid
     return state.withColumns({
-        "__lo2": F.when(lo_i < 0, F.col("__lo")).otherwise(F.element_at("__grid", (lo_i + 1).cast("int"))),
-        "__hi2": F.when(hi_i > grid, F.col("__hi")).otherwise(F.element_at("__grid", (hi_i + 1).cast("int"))),
+        "__lo2": F.when(keep_lo, F.col("__lo")).otherwise(F.element_at("__grid", (lo_i + 1).cast("int"))),
+        "__lox2": F.when(keep_lo, F.col("__lox")).otherwise(F.lit(False)),
+        "__hi2": F.when(keep_hi, F.col("__hi")).otherwise(F.element_at("__grid", (hi_i + 1).cast("int"))),
+        "__hix2": F.when(keep_hi, F.col("__hix")).otherwise(F.lit(False)),
     })
 
 
+MAX_ROUNDS = 200
+
+
 def _exact(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str],
            max_exact_rows: int, accuracy: int, grid: int) -> DataFrame:
     shared_root(df.sparkSession)  # checkpoint() below needs the shared folder
     data, gcols = _data(df, value, by)
     pct = [i / grid for i in range(grid + 1)]
-    sketch = F.percentile_approx("__v", pct, accuracy)
-    first = data.groupBy(*gcols).agg(F.count(F.lit(1)).alias("__n"), sketch.alias("__grid"))
+    keys = [*gcols, "__t"]
+    nul_d, no = F.lit(None).cast("double"), F.lit(False)
+    # Pass 1: rows per group; target rank k per (group, target). The bracket
+    # [lo, hi] (NULL = open end) starts as everything.
     state = (
-        first.select(*gcols, "__n", "__grid", _targets(probs).alias("__tp"))
-        .select(*gcols, F.col("__tp.t").alias("__t"), "__n", "__grid",
+        data.groupBy(*gcols).agg(F.count(F.lit(1)).alias("__n"))
+        .select(*gcols, "__n", _targets(probs).alias("__tp"))
+        .select(*gcols, F.col("__tp.t").alias("__t"), "__n",
                 F.greatest(F.ceil(F.col("__tp.p") * F.col("__n")), F.lit(1)).cast("long").alias("__k"),
-                F.lit(None).cast("double").alias("__lo"), F.lit(None).cast("double").alias("__hi"))
+                nul_d.alias("__lo"), nul_d.alias("__hi"), no.alias("__lox"), no.alias("__hix"),
+                no.alias("__done"))
     )
-    open_ = (F.col("__n") > max_exact_rows) & ~(F.col("__lo").isNotNull() & (F.col("__lo") == F.col("__hi")))
-    while True:
+    # Open: too many candidates to rank with a window, value not found yet.
+    open_ = (F.col("__n") > max_exact_rows) & ~F.col("__done")
+    in_old = _in_bracket("__lo", "__hi", "__lox", "__hix")
+    for _ in range(MAX_ROUNDS):
         state = state.checkpoint(eager=True)  # small (groups x targets); cuts the loop's lineage
-        if state.where(open_).limit(1).count() == 0:
+        size = state.agg(F.count(F.lit(1)).alias("rows"), F.count_if(open_).alias("open")).first()
+        small = size["rows"] <= DEFAULT_BROADCAST_MAX_ROWS
+        if size["open"] == 0:
             break
-        nxt = _narrow(state.where(open_), grid, accuracy)
-        bounds = nxt.select(*gcols, "__t", "__k", "__lo", "__hi", "__lo2", "__hi2")
-        cand = _join_groups(data, bounds, gcols).where(_in_bracket("__lo", "__hi"))
-        inside = _in_bracket("__lo2", "__hi2")
-        agg = cand.groupBy(*gcols, "__t").agg(
-            F.first("__k").alias("__k"), F.first("__lo2").alias("__lo"), F.first("__hi2").alias("__hi"),
-            F.count_if(F.col("__lo2").isNotNull() & (F.col("__v") < F.col("__lo2"))).alias("__below"),
-            F.count_if(inside).alias("__n"),
-            F.percentile_approx(F.when(inside, F.col("__v")), pct, accuracy).alias("__grid"),
-        ).select(*gcols, "__t", "__n", "__grid", (F.col("__k") - F.col("__below")).alias("__k"), "__lo", "__hi")
-        state = state.where(~open_).unionByName(agg)
+        todo = state.where(open_)
+        # Sketch of the current candidates of every open target (bounded size per group).
+        sk = (_join_groups(data, todo, gcols, small).where(in_old)
+              .groupBy(*keys).agg(F.percentile_approx("__v", pct, accuracy).alias("__grid")))
+        bounds = _narrow(todo.join(sk, keys), grid, accuracy).drop("__grid", "__n", "__done")
+        # Count below / inside / on each end of the narrower bracket.
+        v = F.col("__v")
+        inside = _in_bracket("__lo2", "__hi2", "__lox2", "__hix2")
+        lo_ok = F.col("__lo2").isNull() | (v > F.col("__lo2")) | ((v == F.col("__lo2")) & ~F.col("__lox2"))
+        c = (_join_groups(data, bounds, gcols, small).where(in_old)
+             .groupBy(*keys).agg(
+                 *[F.first(x).alias(x) for x in ("__k", "__lo2", "__hi2", "__lox2", "__hix2")],
+                 F.count_if(~lo_ok).alias("below"),
+                 F.count_if(inside).alias("inn"),
+                 F.count_if(inside & (v == F.col("__lo2"))).alias("at_lo"),
+                 F.count_if(inside & (v == F.col("__hi2"))).alias("at_hi")))
+        k1 = F.col("__k") - F.col("below")
+        on_lo = F.col("__lo2").isNotNull() & (k1 <= F.col("at_lo"))
+        on_hi = F.col("__hi2").isNotNull() & (k1 > F.col("inn") - F.col("at_hi"))
+        found = F.when(on_lo, F.col("__lo2")).when(on_hi, F.col("__hi2"))
+        # Not on an end: the value lies strictly between the ends, so both
+        # tie blocks leave the candidates (every round removes rows).
+        nxt = c.select(
+            *keys,
+            F.when(found.isNotNull(), F.lit(1)).otherwise(F.col("inn") - F.col("at_lo") - F.col("at_hi")).alias("__n"),
+            F.when(found.isNotNull(), F.lit(1)).otherwise(k1 - F.col("at_lo")).cast("long").alias("__k"),
+            F.coalesce(found, F.col("__lo2")).alias("__lo"),
+            F.coalesce(found, F.col("__hi2")).alias("__hi"),
+            F.when(found.isNotNull(), no).otherwise(F.col("__lo2").isNotNull() | F.col("__lox2")).alias("__lox"),
+            F.when(found.isNotNull(), no).otherwise(F.col("__hi2").isNotNull() | F.col("__hix2")).alias("__hix"),
+            found.isNotNull().alias("__done"),
+        )
+        state = state.where(~open_).unionByName(nxt)
         bad = state.where((F.col("__k") < 1) | (F.col("__k") > F.col("__n"))).limit(1).collect()
         if bad:
             raise RuntimeError(f"quantile bracket lost its rank: {bad[0]}")
-    bounds = state.select(*gcols, "__t", "__k", "__n", "__lo", "__hi")
-    # A bracket made of one repeated value needs no ranking.
-    constant = bounds.where((F.col("__n") > max_exact_rows)).select(*gcols, "__t", F.col("__lo").alias("__q"))
-    small = bounds.where(F.col("__n") <= max_exact_rows)
-    cand = _join_groups(data, small, gcols).where(_in_bracket("__lo", "__hi"))
-    w = Window.partitionBy(*gcols, "__t").orderBy("__v")
+    else:
+        raise RuntimeError(f"quantile selection did not finish in {MAX_ROUNDS} rounds")
+    bounds = state.select(*keys, "__k", "__n", "__lo", "__hi", "__lox", "__hix", "__done")
+    done = bounds.where(F.col("__done")).select(*keys, F.col("__lo").alias("__q"))
+    few = bounds.where(~F.col("__done"))
+    cand = _join_groups(data, few, gcols, small).where(in_old)
+    w = Window.partitionBy(*keys).orderBy("__v")
     ranked = (cand.withColumn("__rn", F.row_number().over(w))
-              .where(F.col("__rn") == F.col("__k")).select(*gcols, "__t", F.col("__v").alias("__q")))
-    long = ranked.unionByName(constant)
+              .where(F.col("__rn") == F.col("__k")).select(*keys, F.col("__v").alias("__q")))
+    long = ranked.unionByName(done)
     wide = long.groupBy(*gcols).pivot("__t", list(probs)).agg(F.first("__q"))
     return wide.drop("__g") if not by else wide
 
@@ -135,7 +180,8 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
         return _exact(df, value, probs, by, max_exact_rows, accuracy, grid)
     v = F.col(value)
     if method == "disc":
-        aggs = [F.percentile_disc(F.lit(p), v).cast("double").alias(n) for n, p in probs.items()]
+        aggs = [F.expr(f"percentile_disc({float(p)}) within group (order by `{value}`)").cast("double").alias(n)
+                for n, p in probs.items()]
     elif method == "approx":
         aggs = [F.percentile_approx(v, float(p), accuracy).cast("double").alias(n) for n, p in probs.items()]
     else:
@@ -146,11 +192,21 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
 
 def iqr_fences(df: DataFrame, value: str, method: str = "exact", factor: float = IQR_FACTOR, **kw) -> DataFrame:
     """One row: q1, median, q3 of the whole column and the outlier fences
-    q1 - factor*IQR, q3 + factor*IQR (empty when the column is all NULL)."""
+    q1 - factor*IQR, q3 + factor*IQR (empty when the column is all NULL).
+    The row is checkpointed, so using it in several expressions does not
+    recompute the quantiles."""
     q = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, method=method, **kw)
     iqr = F.col("q3") - F.col("q1")
     return q.select("q1", "median", "q3",
-                    (F.col("q1") - factor * iqr).alias("lower"), (F.col("q3") + factor * iqr).alias("upper"))
+                    (F.col("q1") - factor * iqr).alias("lower"),
+                    (F.col("q3") + factor * iqr).alias("upper")).checkpoint(eager=True)
+
+
+def _narrowed(df: DataFrame, cols: Sequence[str], materialized: bool) -> DataFrame:
+    """Only the columns the passes need, written once to the shared folder
+    unless the input is already a stored table (``materialized=True``)."""
+    out = df.select(*cols)
+    return out if materialized else materialize(out, "stats")
 
 
 def _is_outlier(value: str, fences: DataFrame) -> Column:
@@ -171,18 +227,25 @@ def summary_stats(df: DataFrame, value: str, group: str) -> DataFrame:
             .orderBy(F.asc_nulls_first(group)))
 
 
-def count_outliers(df: DataFrame, value: str, group: str, method: str = "exact", **kw) -> DataFrame:
+def count_outliers(df: DataFrame, value: str, group: str, method: str = "exact",
+                   materialized: bool = False, **kw) -> DataFrame:
     """Per group, values outside the *global* 1.5 x IQR fences; groups without
     outliers are absent."""
+    df = _narrowed(df, [group, value], materialized)
     fences = iqr_fences(df, value, method=method, **kw)
     return (df.where(_is_outlier(value, fences)).groupBy(group)
             .agg(F.count(F.lit(1)).alias("outlier_count")))
 
 
-def robust_summary(df: DataFrame, value: str, group: str, method: str = "exact", **kw) -> DataFrame:
+def robust_summary(df: DataFrame, value: str, group: str, method: str = "exact",
+                   materialized: bool = False, **kw) -> DataFrame:
     """Per group: total_observations (non-NULL), min, median, mean and stddev
     (2 dp), max, count_outliers against the global fences and their share in
-    percent (2 dp). The median is per group; the fences are global."""
+    percent (2 dp). The median is per group; the fences are global.
+
+    The (group, value) columns are written once (``materialized=True`` when
+    ``df`` is already a stored table) and every pass reads them."""
+    df = _narrowed(df, [group, value], materialized)
     v = F.col(value)
     fences = iqr_fences(df, value, method=method, **kw)
     stats = df.groupBy(group).agg(

@@ -111,7 +111,8 @@ def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, prod
     if manifest is not None:
         reports["months"] = quality.reconcile_months(bronze, manifest)
     for c in ("QUANTITY", "PATIENT_PAY", "DAYS_SUPPLY"):
-        reports[f"summary_{c}"] = stats.robust_summary(written, c, "MARKET_NAME", method=p.quantile_method)
+        reports[f"summary_{c}"] = stats.robust_summary(written, c, "MARKET_NAME", method=p.quantile_method,
+                                                         materialized=True)
     return reports
 
 
