@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake import schemas
-from claimlake.functions.codes import merge_flag
 from claimlake.operators.clean import conform, stamp, upper_columns
 from claimlake.operators.relate import (
     DEFAULT_BROADCAST_MAX_ROWS,
@@ -149,5 +148,4 @@ def unrouted(claims: DataFrame, split: DataFrame, enriched: DataFrame, opioid_de
 __all__ = [
     "benzo_flag", "opioid_rule", "gold_input", "non_opioid_gold", "naloxone_gold", "benzo_split",
     "benzo_gold", "mme_enrich", "unmatched_ndc", "buprenorphine_gold", "opioid_gold", "unrouted",
-    "merge_flag",
 ]

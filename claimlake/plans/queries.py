@@ -647,3 +647,27 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: sql for k, (_, sql) in QUERIES.items() if sql is not None}
+
+
+# ---------------------------------------------------------------- streaming
+@register("q_stream_gold_totals", _YEAR_TOTALS_SQL)
+def q_stream_gold_totals(spark, sf):
+    """Incremental load: the bronze claims land as files (one file per year
+    group), a Structured Streaming query upserts every micro-batch into
+    gold; the gold totals must equal the batch run's."""
+    from claimlake.plans.jobs import RunParams
+    from claimlake.streaming import incremental
+    base = shared_path(spark, "q_stream")
+    landing = f"{base}/landing"
+    cv.claims_bronze(spark, sf).repartition("YEAR").write.parquet(landing)
+    p = RunParams(base=base, run_date=RUN_DATE)
+    query = incremental.start(spark, landing, f"{base}/_checkpoint", _patients(spark, sf), _products(spark, sf),
+                              cv.benzo_def(spark, sf), cv.opioid_def(spark, sf), cv.mme(spark, sf), p,
+                              available_now=True, max_files_per_trigger=2)
+    query.awaitTermination()
+    totals = None
+    for table in schemas.GOLD_MARKETS:
+        t = io.read_gold(spark, base, table).groupBy("YEAR").count().select(
+            F.lit(table).alias("GOLD_TABLE"), "YEAR", "count")
+        totals = t if totals is None else totals.unionByName(t)
+    return totals
