@@ -7,7 +7,7 @@ value whose cumulative share reaches p. Three methods:
   the rows of every group. A group with at most ``max_exact_rows`` values is
   ranked with a window straight away. For a larger group, a bounded-size
   quantile sketch (``percentile_approx``) of its candidates narrows the value
-  bracket that must hold the wanted rank (by ~grid/3 per round), and a
+  bracket that must hold the wanted rank (to ~3/grid of it per round), and a
   counting pass shifts the rank into the new bracket, until the bracket is
   small enough to rank or holds one repeated value. No task ever holds more
   than a sketch or ``max_exact_rows`` values, whatever the size or skew of a
@@ -29,9 +29,9 @@ from claimlake.functions.codes import ratio_pct
 from claimlake.operators.relate import DEFAULT_BROADCAST_MAX_ROWS
 from claimlake.session import materialize, shared_root
 
-MAX_EXACT_ROWS = 200_000
+MAX_EXACT_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
-GRID = 1_000
+GRID = 256
 IQR_FACTOR = 1.5
 
 
@@ -115,7 +115,10 @@ def _exact(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[s
     in_old = _in_bracket("__lo", "__hi", "__lox", "__hix")
     for _ in range(MAX_ROUNDS):
         state = state.checkpoint(eager=True)  # small (groups x targets); cuts the loop's lineage
-        size = state.agg(F.count(F.lit(1)).alias("rows"), F.count_if(open_).alias("open")).first()
+        size = state.agg(F.count(F.lit(1)).alias("rows"), F.count_if(open_).alias("open"),
+                         F.count_if((F.col("__k") < 1) | (F.col("__k") > F.col("__n"))).alias("bad")).first()
+        if size["bad"]:
+            raise RuntimeError("quantile bracket lost its rank")
         small = size["rows"] <= DEFAULT_BROADCAST_MAX_ROWS
         if size["open"] == 0:
             break
@@ -152,9 +155,6 @@ def _exact(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[s
             found.isNotNull().alias("__done"),
         )
         state = state.where(~open_).unionByName(nxt)
-        bad = state.where((F.col("__k") < 1) | (F.col("__k") > F.col("__n"))).limit(1).collect()
-        if bad:
-            raise RuntimeError(f"quantile bracket lost its rank: {bad[0]}")
     else:
         raise RuntimeError(f"quantile selection did not finish in {MAX_ROUNDS} rounds")
     bounds = state.select(*keys, "__k", "__n", "__lo", "__hi", "__lox", "__hix", "__done")

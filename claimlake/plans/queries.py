@@ -659,11 +659,12 @@ def q_stream_gold_totals(spark, sf):
     from claimlake.streaming import incremental
     base = shared_path(spark, "q_stream")
     landing = f"{base}/landing"
-    cv.claims_bronze(spark, sf).repartition("YEAR").write.parquet(landing)
+    # one key never spans two files (so one micro-batch); a hot year spreads over many files
+    cv.claims_bronze(spark, sf).repartition("YEAR", "CLAIM_ID").write.parquet(landing)
     p = RunParams(base=base, run_date=RUN_DATE)
     query = incremental.start(spark, landing, f"{base}/_checkpoint", _patients(spark, sf), _products(spark, sf),
                               cv.benzo_def(spark, sf), cv.opioid_def(spark, sf), cv.mme(spark, sf), p,
-                              available_now=True, max_files_per_trigger=2)
+                              available_now=True, max_files_per_trigger=4)
     query.awaitTermination()
     totals = None
     for table in schemas.GOLD_MARKETS:

@@ -17,6 +17,7 @@ SESSION_DEFAULTS = {
     # Parquet overwrite of a YEAR-partitioned table only replaces the years written.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
