@@ -10,17 +10,40 @@ from pyspark.sql import functions as F
 from claimlake.functions.codes import merge_flag
 
 # Lookups (product, market definitions, MME) hold one row per code: a few
-# hundred thousand at most. Anything above this many rows is joined by shuffle.
+# hundred thousand at most. A lookup is broadcast only when a bounded job has
+# counted at most this many rows and about this many bytes; otherwise the join
+# shuffles.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 # NULL join keys never match; they are spread over this many salt values so
 # that they do not all land in one shuffle partition.
 NULL_KEY_SALTS = 64
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (a bounded job: it stops
-    counting after ``max_rows + 1`` rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate in-memory bytes of a row: string/binary lengths plus fixed widths."""
+    total = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        name = f.dataType.typeName()
+        if name in ("string", "binary"):
+            size = F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8
+        elif name in ("integer", "date", "float"):
+            size = F.lit(4)
+        elif name in ("long", "double", "timestamp", "timestamp_ntz", "boolean", "short", "byte"):
+            size = F.lit(8)
+        else:
+            size = F.lit(64)
+        total = total + size
+    return total
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``
+    bytes. One aggregation job (partial counts per task, one row each to the
+    final step); no limit, which would funnel rows into a single task."""
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
