@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from claimlake import schemas
 from claimlake.operators import curate, markets, quality, stats
 from claimlake.operators.upsert import upsert
+from claimlake.session import materialize
 from claimlake.sources import io
 
 
@@ -91,10 +92,16 @@ def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, prod
     quality reports are computed from the written table (one read, no
     re-join)."""
     bronze = _year(bronze, p.year)
-    enriched = curate.claims_enrich(bronze, patients, products, broadcast_max_rows=p.broadcast_max_rows)
+    # Joined once and stored: the silver table and both unmatched extracts read it.
+    enriched = materialize(curate.claims_enrich(bronze, patients, products, broadcast_max_rows=p.broadcast_max_rows),
+                           "claims-enriched")
     silver = curate.claims_clean(enriched)
     io.write_layer(silver, p.base, "silver", dataset, partition_by=("YEAR", "MARKET_NAME"))
     written = io.read_layer(spark, p.base, "silver", dataset, p.year)
+    exports = f"{p.base.rstrip('/')}/silver/data_quality_check_exports/{dataset}"
+    for flag, name in (("merged_pat_ref", "patient_notin_ref"), ("merged_prod_ref", "product_notin_ref")):
+        io.export_csv(enriched.where(F.col(flag) == 0).select("PATIENT_ID", "CLAIM_ID", "YEAR"),
+                      f"{exports}/{name}", ("YEAR",))
     reports = {
         "schema": quality.schema_diff(spark, bronze.columns, schemas.CLAIMS_COLUMNS),
         "pivot": quality.pivot_counts(bronze, ["YEAR", "MONTH_ID"], "MARKET_NAME", sorted(

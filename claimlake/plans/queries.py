@@ -186,6 +186,19 @@ def q_freq_route(spark, sf):
     return quality.frequency(_products(spark, sf), "ROUTE_ADM_NM", order="count_desc")
 
 
+@register("q_freq_birth_year", with_views(
+    "select PATIENT_BRTH_YR, count(*) as count from patient_ref group by PATIENT_BRTH_YR", "patient_ref"))
+def q_freq_birth_year(spark, sf):
+    """Patient lookup: rows per birth year (NULL years as their own row)."""
+    return quality.frequency(_patients(spark, sf), "PATIENT_BRTH_YR")
+
+
+@register("q_freq_gender", with_views(
+    "select PATIENT_GENDER, count(*) as count from patient_ref group by PATIENT_GENDER", "patient_ref"))
+def q_freq_gender(spark, sf):
+    return quality.frequency(_patients(spark, sf), "PATIENT_GENDER")
+
+
 _FREQ_STATE_SQL = with_views(f"""
 select PROVIDER_STATE, count(*) as count from claims
 where PROVIDER_SPCL_CD is distinct from 'VET' and PROVIDER_STATE not in ({STATES})
