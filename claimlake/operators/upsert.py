@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.operators.relate import NULL_KEY_SALTS, assert_unique, bounded_broadcast
+from claimlake.session import materialize
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -85,6 +86,9 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         out = source.repartition(num_partitions) if num_partitions else source.hint("rebalance", partition_by)
         out.write.mode("overwrite").options(**writer_opts).partitionBy(partition_by).parquet(path)
         return path
+    # The source is computed once and stored: the touched years, the keys
+    # for the anti join and the inserted rows all read the stored copy.
+    source = materialize(source, "upsert-source", partition_by=(partition_by,))
     target = spark.read.schema(source.schema).parquet(path)
     merged = merge_frames(target, source, keys, partition_by)
     (merged.hint("rebalance", partition_by).write.mode("overwrite").options(**writer_opts)

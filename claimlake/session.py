@@ -58,13 +58,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "claimlake", *parts, uuid.uuid4().hex])
 
 
-def materialize(df, *parts: str):
+def materialize(df, *parts: str, partition_by: tuple[str, ...] = ()):
     """Write ``df`` as Parquet to a fresh folder under the shared folder and
     read it back: cuts the lineage (a lost executor recomputes from the
     written files, not from the whole upstream plan) and lets several later
     passes read it with column pruning instead of recomputing it."""
     path = shared_path(df.sparkSession, "stage", *parts)
-    df.write.mode("overwrite").parquet(path)
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
