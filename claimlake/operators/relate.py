@@ -116,11 +116,17 @@ def unmatched(
     right_on: str | None = None,
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Rows of ``left`` whose key has no partner in ``right`` (NULL keys included)."""
+    """Rows of ``left`` whose key has no partner in ``right`` (NULL keys included).
+
+    When the keys are too many to broadcast, NULL left keys are salted (they
+    never match) so they do not pile into one shuffle partition."""
     right_on = right_on or left_on
-    keys = right.select(F.col(right_on).alias("__rk")).where(F.col("__rk").isNotNull())
-    keys, _ = bounded_broadcast(keys, broadcast_max_rows)
-    return left.join(keys, left[left_on] == keys["__rk"], "left_anti")
+    keys = right.select(F.col(right_on).cast("string").alias("__rk")).where(F.col("__rk").isNotNull()).distinct()
+    keys, is_broadcast = bounded_broadcast(keys, broadcast_max_rows)
+    if is_broadcast:
+        return left.join(keys, left[left_on].cast("string") == keys["__rk"], "left_anti")
+    salted = left.withColumn("__lk_salted", _salted_key(F.col(left_on), left.columns))
+    return salted.join(keys, salted["__lk_salted"] == keys["__rk"], "left_anti").drop("__lk_salted")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -43,9 +43,11 @@ def test_bounded_broadcast_checks_size(spark):
     assert relate.bounded_broadcast(df, None)[1] is False
 
 
-def test_unmatched_includes_null_keys(spark, claims, pats):
-    out = relate.unmatched(claims, pats, "PATIENT_ID", "PATIENT_ID_REF")
+@pytest.mark.parametrize("bound", [relate.DEFAULT_BROADCAST_MAX_ROWS, 0])
+def test_unmatched_includes_null_keys(spark, claims, pats, bound):
+    out = relate.unmatched(claims, pats, "PATIENT_ID", "PATIENT_ID_REF", broadcast_max_rows=bound)
     assert sorted(r.CLAIM_ID for r in out.collect()) == ["c3", "c4"]
+    assert out.columns == claims.columns
 
 
 def test_dedupe_latest_is_deterministic(spark):
