@@ -69,14 +69,17 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str] = ("CLAIM_ID", "YEAR"),
-           partition_by: str = "YEAR", on_duplicate: str = "keep", num_partitions: int | None = None) -> str:
+           partition_by: str = "YEAR", on_duplicate: str = "keep", num_partitions: int | None = None,
+           stage_source: bool = True) -> str:
     """Upsert ``source`` into the table at ``path`` (created when missing).
 
     ``on_duplicate``: ``keep`` accepts several source rows per key (all are
     written, all replace the target rows of that key, which keeps re-runs
     idempotent); ``latest`` keeps one row per key; ``error`` raises.
     ``num_partitions`` only shapes the first load (must be >= 1); later
-    writes are rebalanced by AQE.
+    writes are rebalanced by AQE. ``stage_source=False`` skips storing the
+    source first, for sources that are a cheap read of a stored table (the
+    merge reads the source three times).
     """
     if num_partitions is not None and num_partitions < 1:
         raise ValueError("Number of partitions must be greater than or equal to 1.")
@@ -88,7 +91,8 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         return path
     # The source is computed once and stored: the touched years, the keys
     # for the anti join and the inserted rows all read the stored copy.
-    source = materialize(source, "upsert-source", partition_by=(partition_by,))
+    if stage_source:
+        source = materialize(source, "upsert-source", partition_by=(partition_by,))
     target = spark.read.schema(source.schema).parquet(path)
     merged = merge_frames(target, source, keys, partition_by)
     (merged.hint("rebalance", partition_by).write.mode("overwrite").options(**writer_opts)

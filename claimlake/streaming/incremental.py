@@ -41,7 +41,7 @@ def upsert_batch(batch: DataFrame, patients: DataFrame, products: DataFrame, ben
     frames = gold_frames(staged, benzo_def, opioid_def, mme, p)
     for table in schemas.GOLD_MARKETS:
         upsert(spark, frames[table].drop("GOLD_TABLE"), io.layer_path(p.base, "gold", table),
-               schemas.UPSERT_KEYS, "YEAR", p.on_duplicate)
+               schemas.UPSERT_KEYS, "YEAR", p.on_duplicate, stage_source=False)
 
 
 def start(spark: SparkSession, landing: str, checkpoint: str, patients: DataFrame, products: DataFrame,
