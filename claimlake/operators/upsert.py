@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from claimlake.operators.relate import NULL_KEY_SALTS, assert_unique, bounded_broadcast
@@ -28,14 +29,13 @@ from claimlake.session import materialize
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
+    """True when ``path`` holds a readable Parquet table (a missing folder or
+    one without data files is not a table)."""
+    try:
+        spark.read.parquet(path).schema
+    except AnalysisException:
         return False
-    # Data files or partition folders; dynamic-overwrite commits write no _SUCCESS marker.
-    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(jpath))
+    return True
 
 
 def _anti_key(first: Column, keys: Sequence[str], salt_cols: Sequence[str]) -> Column:
