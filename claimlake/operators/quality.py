@@ -140,3 +140,11 @@ def profile(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     """Many row counts in one pass: ``{name: predicate}`` -> one row with a
     ``count_if`` per predicate plus ``rows``."""
     return df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(p).alias(n) for n, p in checks.items()])
+
+
+def preview(df: DataFrame, n: int, *order_by: str) -> DataFrame:
+    """The first ``n`` rows in a fixed order (a repeatable look at a table;
+    the limit is the point of it). Spark plans it as a top-n: each task keeps
+    ``n`` rows, so nothing large moves."""
+    cols = list(order_by) or list(df.columns)
+    return df.orderBy(*[F.asc_nulls_first(c) for c in cols]).limit(n)

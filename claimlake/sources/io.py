@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,11 +37,26 @@ def read_gold(spark: SparkSession, base: str, market: str, year: int | None = No
     return read_layer(spark, base, "gold", market, year)
 
 
-def write_layer(df: DataFrame, base: str, layer: str, dataset: str, partition_by: Sequence[str] = ("YEAR",)) -> str:
+def write_layer(df: DataFrame, base: str, layer: str, dataset: str, partition_by: Sequence[str] = ("YEAR",),
+                allow_schema_change: bool = True) -> str:
     """Overwrite the partitions present in ``df`` (dynamic overwrite: other
     years stay). Rows are rebalanced by the partition columns so that a hot
-    year is split over several writers instead of one."""
+    year is split over several writers instead of one.
+
+    ``allow_schema_change=False`` first compares the new schema with the
+    stored one (names and types) and raises on a difference."""
     path = layer_path(base, layer, dataset)
+    if not allow_schema_change:
+        try:
+            old = df.sparkSession.read.parquet(path).schema
+        except AnalysisException:
+            old = None
+        if old is not None:
+            want = {f.name: f.dataType for f in df.schema.fields}
+            have = {f.name: f.dataType for f in old.fields}
+            if want != have:
+                diff = sorted(set(want.items()) ^ set(have.items()), key=str)
+                raise ValueError(f"schema change at {path}: {diff}")
     (df.hint("rebalance", *partition_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     return path
