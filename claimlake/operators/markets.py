@@ -104,32 +104,40 @@ def unmatched_ndc(enriched: DataFrame) -> DataFrame:
             .orderBy(F.desc("count"), F.asc_nulls_first("NDC")))
 
 
-def _with_rule(enriched: DataFrame, opioid_def: DataFrame, broadcast_max_rows: int | None,
-               on_duplicate: str) -> DataFrame:
+def prepare_rule(opioid_def: DataFrame, broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                 on_duplicate: str = "keep") -> DataFrame:
+    """NDC -> MARKET_NAME, MOUD, size-checked for broadcast once so the
+    buprenorphine, opioid and quarantine frames can share it."""
     rule = assert_unique(opioid_rule(opioid_def).select("NDC", "MARKET_NAME", "MOUD"), ["NDC"], on_duplicate)
-    rule, _ = bounded_broadcast(rule, broadcast_max_rows)
+    return bounded_broadcast(rule, broadcast_max_rows)[0]
+
+
+def _with_rule(enriched: DataFrame, opioid_def: DataFrame, broadcast_max_rows: int | None,
+               on_duplicate: str, rule: DataFrame | None) -> DataFrame:
+    rule = rule if rule is not None else prepare_rule(opioid_def, broadcast_max_rows, on_duplicate)
     # left join + filter on a right column is an inner join: written as one.
     return enriched.join(rule, "NDC", "inner")
 
 
 def buprenorphine_gold(enriched: DataFrame, opioid_def: DataFrame, run_date: str | None = None,
                        broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-                       on_duplicate: str = "keep") -> DataFrame:
-    df = _with_rule(enriched, opioid_def, broadcast_max_rows, on_duplicate).where(F.col("MARKET_NAME") == "BU")
+                       on_duplicate: str = "keep", rule: DataFrame | None = None) -> DataFrame:
+    df = _with_rule(enriched, opioid_def, broadcast_max_rows, on_duplicate, rule).where(
+        F.col("MARKET_NAME") == "BU")
     return stamp(conform(df, schemas.BUPRENORPHINE_GOLD_COLUMNS), run_date).withColumn(
         "GOLD_TABLE", F.lit("buprenorphine"))
 
 
 def opioid_gold(enriched: DataFrame, opioid_def: DataFrame, run_date: str | None = None,
                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-                on_duplicate: str = "keep") -> DataFrame:
-    df = _with_rule(enriched, opioid_def, broadcast_max_rows, on_duplicate).where(
+                on_duplicate: str = "keep", rule: DataFrame | None = None) -> DataFrame:
+    df = _with_rule(enriched, opioid_def, broadcast_max_rows, on_duplicate, rule).where(
         F.col("MARKET_NAME") == schemas.OPIOID_CODE)
     return stamp(conform(df, schemas.OPIOID_GOLD_COLUMNS), run_date).withColumn("GOLD_TABLE", F.lit("opioid"))
 
 
 def unrouted(claims: DataFrame, split: DataFrame, enriched: DataFrame, opioid_def: DataFrame,
-             broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+             broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, rule: DataFrame | None = None) -> DataFrame:
     """Claims that reach no gold table, with a REASON: unmapped or NULL market
     code, benzo NDC without a flag, opioid NDC missing in the market
     definition. They go to a quarantine table instead of failing the run."""
@@ -139,7 +147,10 @@ def unrouted(claims: DataFrame, split: DataFrame, enriched: DataFrame, opioid_de
         *keep, F.col("MARKET_NAME"), F.lit("unmapped_market").alias("REASON"))
     no_flag = split.where(F.col("MARKET_NAME").isNull()).select(
         *keep, F.lit(schemas.BENZO_CODE).alias("MARKET_NAME"), F.lit("no_benzo_flag").alias("REASON"))
-    ndcs, _ = bounded_broadcast(opioid_def.select("NDC").where(F.col("NDC").isNotNull()), broadcast_max_rows)
+    if rule is not None:
+        ndcs = rule.select("NDC").where(F.col("NDC").isNotNull())
+    else:
+        ndcs, _ = bounded_broadcast(opioid_def.select("NDC").where(F.col("NDC").isNotNull()), broadcast_max_rows)
     no_def = enriched.join(ndcs, "NDC", "left_anti").select(
         *keep, F.lit(schemas.OPIOID_CODE).alias("MARKET_NAME"), F.lit("no_market_definition").alias("REASON"))
     return bad_market.unionByName(no_flag).unionByName(no_def)
@@ -147,5 +158,5 @@ def unrouted(claims: DataFrame, split: DataFrame, enriched: DataFrame, opioid_de
 
 __all__ = [
     "benzo_flag", "opioid_rule", "gold_input", "non_opioid_gold", "naloxone_gold", "benzo_split",
-    "benzo_gold", "mme_enrich", "unmatched_ndc", "buprenorphine_gold", "opioid_gold", "unrouted",
+    "benzo_gold", "mme_enrich", "unmatched_ndc", "prepare_rule", "buprenorphine_gold", "opioid_gold", "unrouted",
 ]

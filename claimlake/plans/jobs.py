@@ -137,10 +137,11 @@ def gold_frames(silver: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame,
     benzo = markets.benzo_gold(split, p.run_date)
     for code, table in schemas.BENZO_MARKETS.items():
         out[table] = benzo.where(F.col("MARKET_NAME") == code)
-    out["buprenorphine"] = markets.buprenorphine_gold(enriched, opioid_def, p.run_date, p.broadcast_max_rows)
-    out["opioid"] = markets.opioid_gold(enriched, opioid_def, p.run_date, p.broadcast_max_rows)
+    rule = markets.prepare_rule(opioid_def, p.broadcast_max_rows)
+    out["buprenorphine"] = markets.buprenorphine_gold(enriched, opioid_def, p.run_date, rule=rule)
+    out["opioid"] = markets.opioid_gold(enriched, opioid_def, p.run_date, rule=rule)
     out["_unmatched_ndc"] = markets.unmatched_ndc(enriched)
-    out["_unrouted"] = markets.unrouted(g, split, enriched, opioid_def, p.broadcast_max_rows)
+    out["_unrouted"] = markets.unrouted(g, split, enriched, opioid_def, rule=rule)
     return out
 
 
