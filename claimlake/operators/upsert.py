@@ -23,16 +23,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from claimlake.operators.relate import NULL_KEY_SALTS, assert_unique, bounded_broadcast
 from claimlake.session import materialize
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table (a missing folder or
-    one without data files is not a table)."""
+def table_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> bool:
+    """True when ``path`` holds a Parquet table. Without ``schema`` a folder
+    without data files is not a table; with it, the folder's existence is
+    enough (an empty table merges like any other) and no footer is read."""
     try:
-        spark.read.parquet(path).schema
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        reader.parquet(path).schema
     except AnalysisException:
         return False
     return True
@@ -85,7 +88,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         raise ValueError("Number of partitions must be greater than or equal to 1.")
     source = assert_unique(source, keys, on_duplicate)
     writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if not table_exists(spark, path):
+    if not table_exists(spark, path, source.schema):
         out = source.repartition(num_partitions) if num_partitions else source.hint("rebalance", partition_by)
         out.write.mode("overwrite").options(**writer_opts).partitionBy(partition_by).parquet(path)
         return path

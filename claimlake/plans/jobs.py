@@ -155,9 +155,9 @@ def gold_job(spark: SparkSession, silver: DataFrame, benzo_def: DataFrame, opioi
     for table in schemas.GOLD_MARKETS:
         path = io.layer_path(p.base, "gold", table)
         # the frame is a partition-pruned read of stored silver + broadcast lookups: no staging
-        upsert(spark, frames[table].drop("GOLD_TABLE"), path, schemas.UPSERT_KEYS, "YEAR", p.on_duplicate,
-               stage_source=False)
-        totals.append(io.read_gold(spark, p.base, table).groupBy("YEAR").count()
+        source = frames[table].drop("GOLD_TABLE")
+        upsert(spark, source, path, schemas.UPSERT_KEYS, "YEAR", p.on_duplicate, stage_source=False)
+        totals.append(io.read_gold(spark, p.base, table, schema=source.schema).groupBy("YEAR").count()
                       .select(F.lit(table).alias("GOLD_TABLE"), "YEAR", "count"))
     io.write_layer(frames["_unrouted"], p.base, "quarantine", "claims_unrouted")
     out = {"unmatched_ndc": frames["_unmatched_ndc"]}

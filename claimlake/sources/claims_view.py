@@ -16,9 +16,18 @@ from pyspark.sql import functions as F
 from claimlake import schemas
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One driver table (Parquet); ``columns`` prunes the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table (Parquet); ``columns`` prunes the scan.
+
+    The driver's tables are read-only, so the schema inferred on the first
+    read of a path is reused (later reads skip the footer-reading job)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
+    _SCHEMAS.setdefault(path, df.schema)
     return df.select(*columns) if columns else df
 
 

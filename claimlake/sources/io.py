@@ -33,8 +33,9 @@ def read_layer(spark: SparkSession, base: str, layer: str, dataset: str, year: i
     return df.where(F.col("YEAR") == year) if year is not None else df
 
 
-def read_gold(spark: SparkSession, base: str, market: str, year: int | None = None) -> DataFrame:
-    return read_layer(spark, base, "gold", market, year)
+def read_gold(spark: SparkSession, base: str, market: str, year: int | None = None,
+              schema: T.StructType | None = None) -> DataFrame:
+    return read_layer(spark, base, "gold", market, year, schema)
 
 
 def write_layer(df: DataFrame, base: str, layer: str, dataset: str, partition_by: Sequence[str] = ("YEAR",),
