@@ -347,6 +347,13 @@ def q_unmatched_product(spark, sf):
     return relate.unmatched(c, _products(spark, sf), "NDC", "NDC_CD").select("PATIENT_ID", "CLAIM_ID", "YEAR", "NDC")
 
 
+@register("q_claims_silver", with_views("select * from silver", "silver"))
+def q_claims_silver(spark, sf):
+    """The silver claims table: enriched with both lookups (merge flags),
+    typed, VET dropped (NULL kept), eligible or NULL states, repaired NDC."""
+    return _silver(spark, sf)
+
+
 # ---------------------------------------------------------------- filters
 @register("q_drop_vet_keep_null", with_views(f"""
 select CLAIM_ID, YEAR, PROVIDER_SPCL_CD, coalesce(PROVIDER_SPCL_CD, '{schemas.MISSING_LABEL}') as Prov
