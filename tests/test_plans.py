@@ -59,3 +59,19 @@ def test_dedupe_is_an_aggregate_not_a_window(spark):
     assert "Window" not in p
     assert "Aggregate" in p
     assert F is not None
+
+
+WRITING = {"q_upsert", "q_export_roundtrip", "q_gold_year_totals", "q_stream_gold_totals"}
+
+
+def test_no_cross_joins_or_python_in_any_query(spark):
+    bad = {}
+    for name, fn in q.queries().items():
+        if name in WRITING:
+            continue
+        p = plan(fn(spark, SF_SMALL))
+        found = [n for n in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+                 if n in p]
+        if found:
+            bad[name] = found
+    assert bad == {}
