@@ -48,7 +48,11 @@ def start(spark: SparkSession, landing: str, checkpoint: str, patients: DataFram
           benzo_def: DataFrame, opioid_def: DataFrame, mme: DataFrame, p: RunParams,
           available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental load. ``available_now`` processes what has
-    landed and stops (a scheduled run); otherwise it keeps running."""
+    landed and stops (a scheduled run); otherwise it keeps running. The
+    static lookups are stored once, so every micro-batch reads them instead
+    of recomputing them."""
+    patients, products, benzo_def, opioid_def, mme = (
+        materialize(df, "stream-lookup") for df in (patients, products, benzo_def, opioid_def, mme))
     stream = claims_stream(spark, landing, max_files_per_trigger)
     writer = (stream.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, _id: upsert_batch(df, patients, products, benzo_def, opioid_def, mme, p)))
