@@ -73,3 +73,22 @@ def op1_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlake.llm import quality
 
     return quality.filter_quality(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+@register()
+def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of eight shards of near equal bytes."""
+    from claimlake.llm import sharding
+
+    out = sharding.shard(table(spark, sf_dir, "documents"), 8)
+    return out.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+        "next_shard",
+    )
