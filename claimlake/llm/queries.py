@@ -92,3 +92,14 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         "virtual_slot",
         "next_shard",
     )
+
+
+@register()
+def op9_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base kinds, all spans."""
+    from claimlake.llm import secrets as s
+
+    found = s.scan(table(spark, sf_dir, "documents"))
+    counts = [F.size(s.of_kinds(F.col("spans"), [kind])).cast("long").alias(f"n_{kind}") for kind in s.BASE_KINDS]
+    base = s.listed(s.of_kinds(F.col("spans"), s.BASE_KINDS))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), s.listed(F.col("spans")).alias("spans"))
