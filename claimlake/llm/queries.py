@@ -103,3 +103,16 @@ def op9_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(s.of_kinds(F.col("spans"), [kind])).cast("long").alias(f"n_{kind}") for kind in s.BASE_KINDS]
     base = s.listed(s.of_kinds(F.col("spans"), s.BASE_KINDS))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), s.listed(F.col("spans")).alias("spans"))
+
+
+@register()
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions for every conversation with a reply, the
+    rejected side made by exchanging the last reply within a pool."""
+    from claimlake.llm import chat
+
+    turns = table(spark, sf_dir, "conversations")
+    pools = max(1, turns.count() // (4 * chat.POOL))  # a row count of the files; about four turns make a conversation
+    out = chat.preferences(chat.exchanged_replies(turns, pools))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
+    return out.select("conv_id", "n_common", "prompt", "chosen", spans("chosen_mask"), "rejected", spans("rejected_mask"))
