@@ -116,3 +116,14 @@ def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.preferences(chat.exchanged_replies(turns, pools))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
     return out.select("conv_id", "n_common", "prompt", "chosen", spans("chosen_mask"), "rejected", spans("rejected_mask"))
+
+
+@register()
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces of at most 1024 tokens and their places in sequences."""
+    import public_tokenizers
+
+    from claimlake.llm import packing
+
+    vocabulary, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary, ranks))
