@@ -127,3 +127,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocabulary, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary, ranks))
+
+
+@register()
+def op6_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language, score and ambiguity of every whole document."""
+    from claimlake.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(langid.labelled(docs)))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
