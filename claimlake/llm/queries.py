@@ -137,3 +137,11 @@ def op6_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.fit(langid.labelled(docs)))
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@register()
+def op10_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents by two-word shingles."""
+    from claimlake.llm import neardup
+
+    return neardup.groups(table(spark, sf_dir, "documents"), k=2, percent=80)
