@@ -10,10 +10,14 @@ similarity is ``percent`` or more; linked documents form a group.
 2. Representatives that share a band of the signature are candidates. A pair
    at the threshold shares none of ``BANDS`` x ``ROWS`` with probability 6e-7.
 3. In each bucket, every member is first compared with the bucket's least id
-   only: as many pairs as members, however large the bucket. Groups are formed
-   from the links; then members of a bucket that are still in different groups
-   are compared with each other. A pair inside one group needs no comparison,
-   so groups of copies never turn into all their pairs.
+   only, then, if still in another group, with the member that has the fewest
+   shingles of its own: as many pairs as members, however large the bucket.
+   Groups are formed from the links; a pair inside one group needs no
+   comparison, so groups of copies never turn into all their pairs. What shares
+   a bucket and is still apart is compared last, unless exact counts rule the
+   pair out: the shingles that each of the two shares with any candidate, and
+   what each has in common with a centre of the bucket, bound what the two can
+   have in common.
 4. A comparison reads the signatures in batches of ``BATCH`` hashes and stops as
    soon as the posterior probability (uniform prior) of a similarity at or above
    the threshold falls below ``MISS``. What survives is joined with the texts
@@ -177,17 +181,18 @@ def _surviving(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(compare, schema).distinct()
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets have the similarity."""
+def _compared(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b, common, linked): what the full shingle sets of each pair have in
+    common, and whether they have the similarity."""
     joined = (
         pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
         .select("a", "b", "ta", "tb")
     )
-    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
+    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]]).add("common", "long").add("linked", "boolean")
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: OrderedDict[str, set] = OrderedDict()  # a bucket's first member comes up again and again
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recent: OrderedDict[str, set] = OrderedDict()  # a bucket's centre comes up again and again
 
         def of(text: str) -> set:
             if text not in recent:
@@ -198,16 +203,16 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
             return recent[text]
 
         for batch in batches:
-            hit = []
+            common, linked = [], []
             for i in range(batch.num_rows):
-                x, y = of(batch.column(2)[i].as_py()), shingles(batch.column(3)[i].as_py(), k)
-                common = len(x & y)
-                if 100 * common >= percent * (len(x) + len(y) - common):
-                    hit.append(i)
-            kept = batch.take(pa.array(hit, pa.int64()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+                x, y = of(batch.column(2)[i].as_py()), of(batch.column(3)[i].as_py())
+                n = len(x & y)
+                common.append(n)
+                linked.append(100 * n >= percent * (len(x) + len(y) - n))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(linked)], names=schema.names)
 
-    return joined.mapInArrow(confirm, schema).distinct()
+    # rows of one id may have several texts
+    return joined.mapInArrow(compare, schema).groupBy("a", "b").agg(F.max("common").alias("common"), F.bool_or("linked").alias("linked"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -231,44 +236,99 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _own_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(id, own): how many shingles of a document are in no other of these; the
+    rest bounds what it has in common with any. Hashes of 40 bits: a collision
+    can only lower ``own``."""
+    schema = T.StructType([T.StructField("h", T.LongType()), texts.schema["id"]])
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch.column(1)):
+                h = np.unique(shingle_hashes(text.as_py(), k) >> _U(24)).astype(np.int64)
+                ids = batch.column(0).take(pa.array(np.full(len(h), i)))
+                yield pa.RecordBatch.from_arrays([pa.array(h), ids], names=["h", "id"])
+
+    found = texts.select("id", "text").mapInArrow(explode, schema).groupBy("h").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    return found.where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of the buckets whose members are in several groups."""
+    placed = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    return placed.join(several, "key", "left_semi")
+
+
 def groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row."""
     rows = sketches(docs, k, id_col)
     real = rows.where("id IS NOT NULL AND digest IS NOT NULL")
     classes = materialize(real.groupBy("digest").agg(F.min("id").alias("rep")), "neardup_classes")
-    members = real.join(classes, "digest").select("id", "rep", "digest", "signature")
-    reps = members.where("id = rep").dropDuplicates(["digest"]).select("id", "signature")
+    members = real.join(classes, "digest").select("id", "rep", "digest", "signature", "n_shingles")
+    reps = members.where("id = rep").dropDuplicates(["digest"]).select("id", "signature", "n_shingles")
     reps = materialize(reps, "neardup_reps")
 
     buckets = _bands(reps)
     centres = buckets.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre <> last")
     shared = materialize(buckets.join(centres.select("key", "centre"), "key"), "neardup_buckets")
     involved = materialize(shared.select("id").distinct(), "neardup_involved")
-    sigs = reps.join(involved, "id", "left_semi")
-    sigs = materialize(sigs, "neardup_signatures")
-
-    stars = shared.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    survivors = materialize(_surviving(stars, sigs, percent), "neardup_pairs")
+    sigs = materialize(reps.join(involved, "id", "left_semi"), "neardup_signatures")
     texts = materialize(docs.select(F.col(id_col).alias("id"), "text").where("text IS NOT NULL").join(involved, "id", "left_semi"), "neardup_texts")
-    links = materialize(_confirmed(survivors, texts, k, percent), "neardup_links")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        survivors = materialize(_surviving(pairs.distinct(), sigs, percent), "neardup_pairs")
+        return materialize(_compared(survivors, texts, k, percent), "neardup_compared")
+
+    def links_of(done: DataFrame) -> DataFrame:
+        return done.where("linked").select("a", "b")
+
+    def with_common(rows: DataFrame, done: DataFrame, centre: str, name: str) -> DataFrame:
+        """What each row has in common with its bucket's centre; NULL if that wasn't compared."""
+        a, b = F.least("id", centre), F.greatest("id", centre)
+        known = done.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("common").alias("_common"))
+        joined = rows.withColumns({"_a": a, "_b": b}).join(known, ["_a", "_b"], "left")
+        return joined.withColumn(name, F.when(F.col("id") == F.col(centre), F.col("n")).otherwise(F.col("_common"))).drop("_a", "_b", "_common")
 
     # rows of one id with different sets tie their classes together
     several = real.groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("id")
-    tied = members.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    links = links.unionByName(tied)
-    first = materialize(components(links), "neardup_components")
-
-    # what shares a bucket and is still apart
-    placed = shared.join(first, "id", "left").select("key", "id", "centre", F.coalesce("component", "id").alias("component"))
-    apart = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    open_buckets = materialize(placed.join(apart, "key", "left_semi"), "neardup_open")
-    a = open_buckets.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("centre"))
-    b = open_buckets.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-    # the centre has been compared with all of its bucket
-    cross = a.join(b, "key").where("a < b AND ca <> cb AND a <> centre").select("a", "b").distinct()
-    cross = materialize(_surviving(cross, sigs, percent), "neardup_pairs")
-    more = _confirmed(cross, texts, k, percent)
-    final = materialize(components(links.unionByName(more)), "neardup_components")
+    links = members.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+
+    # first comparisons: with the least id of each bucket
+    done = compared(shared.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")))
+    links = links.unionByName(links_of(done))
+    found = materialize(components(links), "neardup_components")
+
+    # second: with the member of each bucket that has the fewest shingles of its own
+    apart = materialize(_apart(shared, found), "neardup_open")
+    open_ids = apart.select("id").distinct()
+    own = _own_shingles(texts.join(open_ids, "id", "left_semi"), k)
+    size = sigs.groupBy("id").agg(F.max("n_shingles").alias("n"))
+    size = size.join(open_ids, "id", "left_semi").join(own, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("s"))
+    apart = materialize(with_common(apart.join(size, "id"), done, "centre", "c"), "neardup_open")
+    second = apart.groupBy("key").agg(F.max_by("id", F.struct(F.when(F.col("id") != F.col("centre"), F.col("s")), "id")).alias("centre_2"))
+    apart = materialize(apart.join(materialize(second, "neardup_centres"), "key"), "neardup_open")
+    # what two sets have in common is at most the smaller s; and at most what both
+    # have in common with a third, plus the smaller rest of their s
+    enough = lambda most: f"{100 + percent} * ({most}) >= {percent} * (n + n2)"
+    near = lambda c: f"coalesce({enough(f'least({c}, {c}2) + greatest(0, least(s - {c}, s2 - {c}2))')}, true)"
+    second_row = apart.where("id = centre_2").select("key", *[F.col(x).alias(y) for x, y in (("component", "component2"), ("n", "n2"), ("s", "s2"), ("c", "c2"))])
+    stars = apart.join(second_row, "key").where(f"component <> component2 AND id <> centre AND {enough('least(s, s2)')} AND {near('c')}")
+    done = compared(stars.select(F.least("id", "centre_2").alias("a"), F.greatest("id", "centre_2").alias("b")))
+    links = links.unionByName(links_of(done))
+    found = materialize(components(links), "neardup_components")
+
+    # last: what is still apart, each pair in the first bucket that it shares
+    apart = with_common(_apart(apart.drop("component"), found), done, "centre_2", "d")
+    keys = apart.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most BANDS
+    apart = materialize(apart.join(keys, "id"), "neardup_open")
+    left = apart.select("key", *[F.col(x).alias(f"{x}2") for x in ("id", "component", "n", "s", "c", "d", "keys")])
+    cross = apart.join(left, "key").where(
+        f"id < id2 AND component <> component2 AND {enough('least(s, s2)')} AND {near('c')} AND {near('d')} "
+        "AND id <> centre AND id <> centre_2 AND id2 <> centre AND id2 <> centre_2 AND key = array_min(array_intersect(keys, keys2))"
+    )
+    links = links.unionByName(links_of(compared(cross.select(F.col("id").alias("a"), F.col("id2").alias("b")))))
+    final = materialize(components(links), "neardup_components")
 
     by_rep = members.select("id", "rep").join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = by_rep.groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component"))
