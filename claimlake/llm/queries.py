@@ -155,3 +155,17 @@ def op7_line_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     return out.select("doc_id", "n_lines", "n_removed", F.length("text").alias("n_left_chars"), crc.alias("text_crc32"))
+
+
+@register()
+def op4_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every whole document, decoded again."""
+    import public_tokenizers
+
+    from claimlake.llm import pieces
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    out = pieces.decode(pieces.sample(table(spark, sf_dir, "documents"), model, k=2), model)
+    return out.select(
+        "doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("decoded").cast("binary")).alias("text_crc32")
+    )
