@@ -313,7 +313,7 @@ def segment(vocab: Vocabulary, texts: Sequence[str], seeds: Sequence[int], k: in
 def sample(docs: DataFrame, model: str, k: int = 2, alpha: float = ALPHA, seed: int = 11, id_col: str = "doc_id") -> DataFrame:
     """(id, sample, n_pieces, log_prob, perturbed, inclusion, ids) for every whole
     text; ids as little-endian unsigned 32-bit numbers."""
-    schema = T.StructType([docs.schema[id_col]]).add("sample", "int").add("n_pieces", "long").add("log_prob", "double")
+    schema = T.StructType([docs.schema[id_col]]).add("sample", "integer").add("n_pieces", "long").add("log_prob", "double")
     schema = schema.add("perturbed", "double").add("inclusion", "double").add("ids", "binary")
 
     def emit(column: pa.Array, rows: list[int], texts: list[str], keys: list[int], vocab: Vocabulary) -> pa.RecordBatch:

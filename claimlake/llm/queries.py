@@ -169,3 +169,13 @@ def op4_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("decoded").cast("binary")).alias("text_crc32")
     )
+
+
+@register()
+def op3_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 100."""
+    from claimlake.llm import search
+
+    docs = table(spark, sf_dir, "documents")
+    found = search.top_k(docs, docs.where(F.col("doc_id") % 100 == 0), 10)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
