@@ -51,16 +51,22 @@ def claims_enrich(
     ``merged_pat_ref`` / ``merged_prod_ref``; the lookups' ingestion dates are
     dropped. ``normalize_before_join`` repairs claim NDCs first so that short
     and 12-character codes can match (False joins on the raw code).
+    A lookup that carries YEAR is joined within the year: a claim meets the
+    lookup of its own delivery, however many years are stored.
     ``on_duplicate`` guards against lookups that repeat a key (a repeated key
     would multiply claims)."""
-    pats = assert_unique(patients.drop("ingestion_date"), ["PATIENT_ID_REF"], on_duplicate)
-    prods = assert_unique(products.drop("ingestion_date"), ["NDC_CD"], on_duplicate)
+    def lookup(df: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
+        also = ["YEAR"] if "YEAR" in df.columns else []
+        return assert_unique(df, [key, *also], on_duplicate, "ingestion_date").drop("ingestion_date"), also
+
+    pats, pat_also = lookup(patients, "PATIENT_ID_REF")
+    prods, prod_also = lookup(products, "NDC_CD")
     if normalize_before_join:
         claims = claims.withColumn("NDC", normalize_code("NDC"))
     j = left_join_flag(claims, pats, "PATIENT_ID", "PATIENT_ID_REF", flag="merged_pat_ref",
-                       broadcast_max_rows=broadcast_max_rows, salt_from=["CLAIM_ID"])
+                       broadcast_max_rows=broadcast_max_rows, salt_from=["CLAIM_ID"], also=pat_also)
     return left_join_flag(j, prods, "NDC", "NDC_CD", flag="merged_prod_ref",
-                          broadcast_max_rows=broadcast_max_rows, salt_from=["CLAIM_ID"])
+                          broadcast_max_rows=broadcast_max_rows, salt_from=["CLAIM_ID"], also=prod_also)
 
 
 def claims_clean(

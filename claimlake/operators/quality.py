@@ -6,21 +6,34 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.functions.codes import invalid_length
 
 
-def schema_diff(spark: SparkSession, actual: Iterable[str], expected: Iterable[str]) -> DataFrame:
-    """Columns missing from ``actual`` or extra in it, as (column, status).
+def schema_check(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """Every expected and every present column with both types, its status
+    (ok, missing, extra, retyped), the rows of the table and the non-NULL values
+    of the column, all counted in one aggregation."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = [*expected, *(c for c in actual if c not in expected)]
 
-    Metadata only: the inputs are column-name lists, never data.
-    """
-    actual, expected = list(actual), list(expected)
-    rows = [(c, "missing") for c in expected if c not in actual]
-    rows += [(c, "extra") for c in actual if c not in expected]
-    return spark.createDataFrame(rows, "column string, status string")
+    def item(c: str) -> Column:
+        want, have = expected.get(c), actual.get(c)
+        status = "missing" if have is None else "extra" if want is None else "ok" if want == have else "retyped"
+        n = F.count(F.col(f"`{c}`")) if have is not None else F.lit(0).cast("long")
+        text = lambda x: F.lit(x).cast("string")
+        return F.struct(F.lit(c).alias("column"), text(want).alias("expected_type"), text(have).alias("actual_type"),
+                        F.lit(status).alias("status"), n.alias("filled"))
+
+    one = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*[item(c) for c in names]).alias("items"))
+    return one.select("rows", F.inline("items"))
+
+
+def schema_diff(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """The rows of :func:`schema_check` that differ from what is expected."""
+    return schema_check(df, expected).where(F.col("status") != "ok")
 
 
 def row_count_check(df: DataFrame, manifest: DataFrame, data_type: str) -> DataFrame:
@@ -82,9 +95,13 @@ def pivot_counts(df: DataFrame, rows: Sequence[str], pivot: str, values: Sequenc
     """Row counts per ``rows`` with one column per ``pivot`` value.
 
     The value list is explicit: no extra job to find it and a stable schema.
-    Cells without rows are NULL (as in a pivoted count).
+    Rows with a value outside the list are counted in ``OTHER``, rows without
+    one in ``NULL_VALUE``, so the columns add up to all rows. Cells without
+    rows are NULL (as in a pivoted count).
     """
-    return df.groupBy(*rows).pivot(pivot, list(values)).count()
+    c = F.col(pivot)
+    known = F.when(c.isNull(), "NULL_VALUE").when(c.isin(list(values)), c.cast("string")).otherwise("OTHER")
+    return df.withColumn("__pivot", known).groupBy(*rows).pivot("__pivot", [*map(str, values), "OTHER", "NULL_VALUE"]).count()
 
 
 def missing_counts(df: DataFrame, long: bool = False) -> DataFrame:

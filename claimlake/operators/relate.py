@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -58,10 +59,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MA
     return df, False
 
 
-def _salted_key(key: Column, salt_from: Sequence[str]) -> Column:
-    """Join key where NULL becomes one of ``NULL_KEY_SALTS`` values that match nothing."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(NULL_KEY_SALTS))
-    return F.when(key.isNull(), F.concat(F.lit("\u0000null-"), salt.cast("string"))).otherwise(key.cast("string"))
+def null_salt(keys: Sequence[str], salt_from: Sequence[str]) -> Column:
+    """Second join column for the left side: 0, or one of ``NULL_KEY_SALTS``
+    values for a row with a NULL key (which matches nothing), so that such rows
+    spread over partitions. The other side carries 0; keys keep their type."""
+    some_null = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(NULL_KEY_SALTS)).cast("int")
+    return F.when(some_null, salt).otherwise(F.lit(0))
 
 
 def left_join_flag(
@@ -73,17 +77,22 @@ def left_join_flag(
     flag_from: str | None = None,
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
     salt_from: Sequence[str] | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Left outer join to a lookup plus a 0/1 merge indicator column.
 
+    ``also`` names further key columns that both sides have (such as YEAR);
+    the left side's stay.
+
     * ``right_on`` differs from ``left_on``: both key columns are kept (the
       right key is NULL for unmatched rows) and the flag tests the right key.
     * same name: USING-style join (one key column) and the flag tests
       ``flag_from`` (a right-side value column).
 
     A lookup of checked, bounded size is broadcast; otherwise the join
-    shuffles and NULL left keys are salted (``salt_from`` columns) so they
-    spread over partitions instead of forming one hot partition.
+    shuffles and rows with a NULL key are salted (by ``salt_from``, all columns
+    by default) so they spread over partitions instead of forming one hot
+    partition. Both ways give the same rows for keys of any type.
     """
     right_on = right_on or left_on
     right, is_broadcast = bounded_broadcast(right, broadcast_max_rows)
@@ -94,13 +103,20 @@ def left_join_flag(
         rkey = renamed
     else:
         rkey = right_on
-    if is_broadcast or not salt_from:
-        cond = left[left_on] == right[rkey]
-        joined = left.join(right, cond, "left")
+    right = right.withColumnsRenamed({c: f"__also_{c}" for c in also})
+    same = functools.reduce(lambda a, b: a & b, [left[c] == right[f"__also_{c}"] for c in also], left[left_on] == right[rkey])
+    if is_broadcast:
+        joined = left.join(right, same, "left")
     else:
-        lk = "__lk_salted"
-        salted = left.withColumn(lk, _salted_key(F.col(left_on), salt_from))
-        joined = salted.join(right, salted[lk] == right[rkey], "left").drop(lk)
+        salted = left.withColumn("__salt", null_salt([left_on, *also], salt_from or left.columns))
+        right = right.withColumn("__salt_0", F.lit(0))
+        same = functools.reduce(
+            lambda a, b: a & b,
+            [salted[c] == right[f"__also_{c}"] for c in also],
+            (salted[left_on] == right[rkey]) & (salted["__salt"] == right["__salt_0"]),
+        )
+        joined = salted.join(right, same, "left").drop("__salt", "__salt_0")
+    joined = joined.drop(*[f"__also_{c}" for c in also])
     if flag:
         test = F.col(rkey) if not same_name else F.col(flag_from or rkey)
         joined = joined.withColumn(flag, merge_flag(test))
@@ -121,12 +137,14 @@ def unmatched(
     When the keys are too many to broadcast, NULL left keys are salted (they
     never match) so they do not pile into one shuffle partition."""
     right_on = right_on or left_on
-    keys = right.select(F.col(right_on).cast("string").alias("__rk")).where(F.col("__rk").isNotNull()).distinct()
+    keys = right.select(F.col(right_on).alias("__rk")).where(F.col("__rk").isNotNull()).distinct()
     keys, is_broadcast = bounded_broadcast(keys, broadcast_max_rows)
     if is_broadcast:
-        return left.join(keys, left[left_on].cast("string") == keys["__rk"], "left_anti")
-    salted = left.withColumn("__lk_salted", _salted_key(F.col(left_on), left.columns))
-    return salted.join(keys, salted["__lk_salted"] == keys["__rk"], "left_anti").drop("__lk_salted")
+        return left.join(keys, left[left_on] == keys["__rk"], "left_anti")
+    salted = left.withColumn("__salt", null_salt([left_on], left.columns))
+    keys = keys.withColumn("__salt_0", F.lit(0))
+    same = (salted[left_on] == keys["__rk"]) & (salted["__salt"] == keys["__salt_0"])
+    return salted.join(keys, same, "left_anti").drop("__salt")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -151,19 +169,24 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], latest: str | None = "inge
     return best.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in order]).select(*df.columns)
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str], on_duplicate: str = "error") -> DataFrame:
-    """Guard a lookup or upsert source against repeated keys.
+def assert_unique(df: DataFrame, keys: Sequence[str], on_duplicate: str = "error", latest: str | None = None) -> DataFrame:
+    """Guard a lookup or upsert source against repeated keys. Rows with a NULL
+    in the key match nothing, so they are never duplicates and pass unchanged.
 
     ``error``: raise if any key repeats (one aggregation job);
-    ``latest``: keep one row per key via :func:`dedupe_latest`;
+    ``latest``: keep one row per key, the one with the greatest ``latest``
+    column, which must exist (:func:`dedupe_latest`);
     ``keep``: pass the frame through unchanged.
     """
     if on_duplicate == "keep":
         return df
+    whole = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if on_duplicate == "latest":
-        return dedupe_latest(df, keys)
+        if latest is None or latest not in df.columns:
+            raise ValueError(f"on_duplicate='latest' needs the column that says which row is latest, got {latest!r}")
+        return dedupe_latest(df.where(whole), keys, latest).unionByName(df.where(~whole))
     if on_duplicate == "error":
-        dup = duplicate_keys(df, keys).limit(1).collect()
+        dup = duplicate_keys(df.where(whole), keys).limit(1).collect()
         if dup:
             raise ValueError(f"duplicate key {dict(dup[0].asDict())} for keys {list(keys)}")
         return df

@@ -9,23 +9,26 @@ same CLAIM_ID in another YEAR is another row.
 Built as ``(target restricted to the touched years) LEFT ANTI source-keys
 UNION ALL source`` and written with dynamic partition overwrite, so only the
 touched YEAR folders are replaced. Spark writes the new files to a staging
-folder inside the table and swaps them in at job commit, after every task
-(retries included) has read the old files: a failed job leaves the table as
-it was. (A static overwrite of a path the plan reads would delete the input
+folder inside the table and moves them in at job commit, after every task
+(retries included) has read the old files. A job that fails before that leaves
+the table as it was; the commit itself replaces year folders one by one, so a
+driver lost in the middle of it can leave some years old, new or missing:
+deliver again to recover. (A static overwrite of a path the plan reads would delete the input
 first; it is never used here.) Single writer per table: two concurrent upserts into one table
 are not isolated from each other (there is no transaction log).
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from claimlake.operators.relate import NULL_KEY_SALTS, assert_unique, bounded_broadcast
+from claimlake.operators.relate import assert_unique, bounded_broadcast, null_salt
 from claimlake.session import materialize
 
 
@@ -41,44 +44,55 @@ def table_exists(spark: SparkSession, path: str, schema: StructType | None = Non
     return True
 
 
-def _anti_key(first: Column, keys: Sequence[str], salt_cols: Sequence[str]) -> Column:
-    """First key column for the anti join; a row with any NULL key gets a
-    salted value that matches nothing, so NULL-key rows spread out instead of
-    piling into one partition."""
-    any_null = None
-    for k in keys:
-        e = F.col(k).isNull()
-        any_null = e if any_null is None else any_null | e
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(NULL_KEY_SALTS))
-    return F.when(any_null, F.concat(F.lit("\u0000null-"), salt.cast("string"))).otherwise(first.cast("string"))
-
-
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  partition_by: str | None = "YEAR") -> DataFrame:
-    """The upserted content of the touched partitions (pure DataFrame, no write)."""
+    """The upserted content of the touched partitions (pure DataFrame, no
+    write). Target rows with a NULL partition value belong to the partition of
+    NULLs and stay like others."""
     keys = list(keys)
+    missing = [c for c in target.columns if c not in source.columns]
+    extra = [c for c in source.columns if c not in target.columns]
+    retyped = [c for c in target.columns if c in source.columns and target.schema[c].dataType != source.schema[c].dataType]
+    if missing or extra or retyped:
+        raise ValueError(f"source and table differ: missing {missing}, extra {extra}, other types {retyped}")
     if partition_by:
-        touched, _ = bounded_broadcast(source.select(partition_by).distinct())
-        target = target.join(touched, partition_by, "left_semi")  # dynamic partition pruning on the scan
-    all_set = None
-    for k in keys:
-        e = F.col(k).isNotNull()
-        all_set = e if all_set is None else all_set & e
-    src_keys = source.select(*keys).where(all_set)
-    src_keys = src_keys.select(F.col(keys[0]).cast("string").alias("__k0"), *keys[1:]).distinct()
-    left = target.withColumn("__k0", _anti_key(F.col(keys[0]), keys, target.columns))
-    kept = left.join(src_keys, ["__k0", *keys[1:]], "left_anti").drop("__k0")
+        touched = source.select(F.col(partition_by).alias("__touched")).distinct()
+        some, nulls = touched.where("__touched IS NOT NULL"), touched.where("__touched IS NULL")
+        some, _ = bounded_broadcast(some)
+        # the equality lets Spark prune partitions; NULL is asked for by itself
+        target = target.join(some, target[partition_by] == some["__touched"], "left_semi").unionByName(
+            target.where(F.col(partition_by).isNull()).withColumn("__touched", F.lit(0))
+            .join(F.broadcast(nulls.select(F.lit(0).alias("__touched"))), "__touched", "left_semi").drop("__touched"))  # one row
+    whole = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    src_keys = source.select(*keys).where(whole).distinct().withColumn("__salt", F.lit(0))
+    left = target.withColumn("__salt", null_salt(keys, target.columns))
+    kept = left.join(src_keys, [*keys, "__salt"], "left_anti").select(*target.columns)
     return kept.unionByName(source.select(*target.columns))
 
 
+def stored(spark: SparkSession, path: str, like: StructType) -> DataFrame:
+    """The table with its own columns; partition values as typed in ``like``
+    (folder names carry no type). An empty table has the columns of ``like``."""
+    try:
+        own = spark.read.parquet(path).schema
+    except AnalysisException:
+        return spark.read.schema(like).parquet(path)
+    typed = {f.name: f.dataType for f in like.fields}
+    # partition columns come last in the schema that is read
+    fields = [StructField(f.name, typed.get(f.name, f.dataType) if f.name == own.fields[-1].name else f.dataType) for f in own.fields]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str] = ("CLAIM_ID", "YEAR"),
-           partition_by: str = "YEAR", on_duplicate: str = "keep", num_partitions: int | None = None,
-           stage_source: bool = True) -> str:
+           partition_by: str = "YEAR", on_duplicate: str = "error", num_partitions: int | None = None,
+           stage_source: bool = True, latest: str | None = None) -> str:
     """Upsert ``source`` into the table at ``path`` (created when missing).
 
-    ``on_duplicate``: ``keep`` accepts several source rows per key (all are
-    written, all replace the target rows of that key, which keeps re-runs
-    idempotent); ``latest`` keeps one row per key; ``error`` raises.
+    ``on_duplicate``: ``error`` raises if the source repeats a key; ``latest``
+    keeps the row with the greatest ``latest`` column; ``keep`` accepts several
+    source rows per key (all are written, all replace the target rows of that
+    key, which keeps re-runs idempotent). The source must have the table's
+    columns and types.
     ``num_partitions`` only shapes the first load (must be >= 1); later
     writes are rebalanced by AQE. ``stage_source=False`` skips storing the
     source first, for sources that are a cheap read of a stored table (the
@@ -86,7 +100,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     """
     if num_partitions is not None and num_partitions < 1:
         raise ValueError("Number of partitions must be greater than or equal to 1.")
-    source = assert_unique(source, keys, on_duplicate)
+    source = assert_unique(source, keys, on_duplicate, latest)
     writer_opts = {"partitionOverwriteMode": "dynamic"}
     if not table_exists(spark, path, source.schema):
         out = source.repartition(num_partitions) if num_partitions else source.hint("rebalance", partition_by)
@@ -96,7 +110,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     # for the anti join and the inserted rows all read the stored copy.
     if stage_source:
         source = materialize(source, "upsert-source", partition_by=(partition_by,))
-    target = spark.read.schema(source.schema).parquet(path)
+    target = stored(spark, path, source.schema)
     merged = merge_frames(target, source, keys, partition_by)
     (merged.hint("rebalance", partition_by).write.mode("overwrite").options(**writer_opts)
      .partitionBy(partition_by).parquet(path))

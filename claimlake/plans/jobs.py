@@ -7,7 +7,7 @@ DataFrames (small aggregates) so callers decide what to show or store.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,15 +21,21 @@ from claimlake.sources import io
 
 @dataclass
 class RunParams:
-    """What a run works on. ``year=None`` processes every year present."""
+    """What a run works on. ``year=None`` processes every year present in the
+    claims. ``delivery`` names the delivered dataset; manifests, lookups, silver
+    and quarantine are kept apart by it ("" for a single one).
+    ``on_duplicate`` holds for lookups and upserts."""
 
     base: str
     year: int | None = None
     run_date: str | None = None
-    on_duplicate: str = "keep"
+    on_duplicate: str = "error"
     broadcast_max_rows: int | None = 2_000_000
     quantile_method: str = "exact"
-    extra: dict = field(default_factory=dict)
+    delivery: str = ""
+
+    def named(self, dataset: str) -> str:
+        return f"{self.delivery}/{dataset}" if self.delivery else dataset
 
 
 def _year(df: DataFrame, year: int | None) -> DataFrame:
@@ -39,8 +45,24 @@ def _year(df: DataFrame, year: int | None) -> DataFrame:
 def manifest_job(spark: SparkSession, raw: DataFrame, p: RunParams, dataset: str = "manifest") -> DataFrame:
     """L1: parse the raw manifest and store it (small: one row per delivered file)."""
     parsed = io.parse_manifest(raw, count_col=raw.columns[1])
-    parsed.write.mode("overwrite").parquet(f"{p.base.rstrip('/')}/bronze/{dataset}")
-    return spark.read.parquet(f"{p.base.rstrip('/')}/bronze/{dataset}")
+    path = f"{p.base.rstrip('/')}/bronze/{p.named(dataset)}" + (f"/YEAR={p.year}" if p.year is not None else "")
+    parsed.write.mode("overwrite").parquet(path)
+    return spark.read.schema(parsed.schema).parquet(path)
+
+
+def _store_lookup(ref: DataFrame, p: RunParams, dataset: str) -> None:
+    """A year's lookup replaces that year's only; without a year it is one
+    table without YEAR, which holds for claims of every year."""
+    if p.year is not None:
+        io.write_year(ref.withColumn("YEAR", F.lit(p.year).cast("int")), p.base, "silver", p.named(dataset), years=[p.year])
+    else:
+        ref.hint("rebalance").write.mode("overwrite").parquet(io.layer_path(p.base, "silver", p.named(dataset)))
+
+
+def _typed(df: DataFrame, names: list[str]) -> dict[str, str]:
+    """Expected columns with the types they are delivered in (deliveries fix names, not types)."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return {c: have.get(c, "string") for c in names}
 
 
 def lookup_reports(df: DataFrame, key: str, manifest: DataFrame | None, data_type: str) -> dict[str, DataFrame]:
@@ -58,11 +80,10 @@ def patient_job(spark: SparkSession, bronze: DataFrame, p: RunParams, manifest:
     """L5: canonical patient lookup -> silver, with its checks."""
     ref = curate.patient_lookup(bronze)
     reports = lookup_reports(ref, "PATIENT_ID_REF", manifest, "patient")
-    reports["schema"] = quality.schema_diff(spark, ref.columns, schemas.PATIENT_REF_COLUMNS)
+    reports["schema"] = quality.schema_diff(ref, _typed(ref, schemas.PATIENT_REF_COLUMNS))
     reports["birth_years"] = quality.frequency(ref, "PATIENT_BRTH_YR")
     reports["genders"] = quality.frequency(ref, "PATIENT_GENDER")
-    ref = ref.withColumn("YEAR", F.lit(p.year).cast("int"))
-    io.write_layer(ref, p.base, "silver", dataset)
+    _store_lookup(ref, p, dataset)
     return reports
 
 
@@ -72,7 +93,7 @@ def product_job(spark: SparkSession, bronze: DataFrame, p: RunParams, manifest:
     widths = {"NDC_CD": schemas.NDC_WIDTH, "USC_CD": schemas.USC_WIDTH}
     ref = curate.product_lookup(bronze)
     reports = {
-        "schema": quality.schema_diff(spark, bronze.columns, schemas.PRODUCT_REF_COLUMNS),
+        "schema": quality.schema_diff(bronze, _typed(bronze, schemas.PRODUCT_REF_COLUMNS)),
         "lengths_before": quality.length_violations(bronze, widths),
         "lengths_after": quality.length_violations(ref, widths),
         "routes": quality.frequency(ref, "ROUTE_ADM_NM", order="count_desc"),
@@ -81,7 +102,7 @@ def product_job(spark: SparkSession, bronze: DataFrame, p: RunParams, manifest:
     }
     if manifest is not None:
         reports["row_count"] = quality.row_count_check(bronze, manifest, "product")
-    io.write_layer(ref.withColumn("YEAR", F.lit(p.year).cast("int")), p.base, "silver", dataset)
+    _store_lookup(ref, p, dataset)
     return reports
 
 
@@ -93,17 +114,18 @@ def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, prod
     re-join)."""
     bronze = _year(bronze, p.year)
     # Joined once and stored: the silver table and both unmatched extracts read it.
-    enriched = materialize(curate.claims_enrich(bronze, patients, products, broadcast_max_rows=p.broadcast_max_rows),
-                           "claims-enriched")
+    enriched = materialize(curate.claims_enrich(bronze, patients, products, broadcast_max_rows=p.broadcast_max_rows,
+                                                on_duplicate=p.on_duplicate), "claims-enriched")
     silver = curate.claims_clean(enriched)
-    io.write_layer(silver, p.base, "silver", dataset, partition_by=("YEAR", "MARKET_NAME"))
-    written = io.read_layer(spark, p.base, "silver", dataset, p.year)
+    dataset = p.named(dataset)
+    io.write_year(silver, p.base, "silver", dataset, ("MARKET_NAME",), None if p.year is None else [p.year])
+    written = io.read_layer(spark, p.base, "silver", dataset, p.year, silver.schema)
     exports = f"{p.base.rstrip('/')}/silver/data_quality_check_exports/{dataset}"
     for flag, name in (("merged_pat_ref", "patient_notin_ref"), ("merged_prod_ref", "product_notin_ref")):
         io.export_csv(enriched.where(F.col(flag) == 0).select("PATIENT_ID", "CLAIM_ID", "YEAR"),
                       f"{exports}/{name}", ("YEAR",))
     reports = {
-        "schema": quality.schema_diff(spark, bronze.columns, schemas.CLAIMS_COLUMNS),
+        "schema": quality.schema_diff(bronze, _typed(bronze, schemas.CLAIMS_COLUMNS)),
         "pivot": quality.pivot_counts(bronze, ["YEAR", "MONTH_ID"], "MARKET_NAME", sorted(
             list(schemas.NON_OPIOID_MARKETS) + [schemas.BENZO_CODE, schemas.NALOXONE_CODE, schemas.OPIOID_CODE])),
         "unmatched_patients": enriched.where(F.col("merged_pat_ref") == 0).select("PATIENT_ID", "CLAIM_ID", "YEAR"),
@@ -127,8 +149,8 @@ def gold_frames(silver: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame,
                 p: RunParams) -> dict[str, DataFrame]:
     """The gold content per table name (with GOLD_TABLE) plus two reports."""
     g = markets.gold_input(silver)
-    split = markets.benzo_split(g, benzo_def, p.broadcast_max_rows)
-    enriched = markets.mme_enrich(g, mme, p.broadcast_max_rows)
+    split = markets.benzo_split(g, benzo_def, p.broadcast_max_rows, p.on_duplicate)
+    enriched = markets.mme_enrich(g, mme, p.broadcast_max_rows, p.on_duplicate)
     out: dict[str, DataFrame] = {}
     non = markets.non_opioid_gold(g, p.run_date)
     for code, table in schemas.NON_OPIOID_MARKETS.items():
@@ -137,7 +159,7 @@ def gold_frames(silver: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame,
     benzo = markets.benzo_gold(split, p.run_date)
     for code, table in schemas.BENZO_MARKETS.items():
         out[table] = benzo.where(F.col("MARKET_NAME") == code)
-    rule = markets.prepare_rule(opioid_def, p.broadcast_max_rows)
+    rule = markets.prepare_rule(opioid_def, p.broadcast_max_rows, p.on_duplicate)
     out["buprenorphine"] = markets.buprenorphine_gold(enriched, opioid_def, p.run_date, rule=rule)
     out["opioid"] = markets.opioid_gold(enriched, opioid_def, p.run_date, rule=rule)
     out["_unmatched_ndc"] = markets.unmatched_ndc(enriched)
@@ -159,7 +181,8 @@ def gold_job(spark: SparkSession, silver: DataFrame, benzo_def: DataFrame, opioi
         upsert(spark, source, path, schemas.UPSERT_KEYS, "YEAR", p.on_duplicate, stage_source=False)
         totals.append(io.read_gold(spark, p.base, table, schema=source.schema).groupBy("YEAR").count()
                       .select(F.lit(table).alias("GOLD_TABLE"), "YEAR", "count"))
-    io.write_layer(frames["_unrouted"], p.base, "quarantine", "claims_unrouted")
+    years = [p.year] if p.year is not None else [r[0] for r in silver.select("YEAR").distinct().collect()]  # a row per year
+    io.write_year(frames["_unrouted"], p.base, "quarantine", p.named("claims_unrouted"), years=years)
     out = {"unmatched_ndc": frames["_unmatched_ndc"]}
     year_totals = totals[0]
     for t in totals[1:]:

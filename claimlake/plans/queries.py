@@ -94,19 +94,31 @@ def q_parse_manifest(spark, sf):
     return _manifest(spark, sf)
 
 
-_SCHEMA_DIFF_SQL = with_views("""
-select coalesce(e.column_name, a.column_name) as "column",
-       case when a.column_name is null then 'missing' else 'extra' end as status
-from (select unnest([{expected}]) as column_name) e
-full join (select column_name from (describe select * from claims)) a on e.column_name = a.column_name
-where e.column_name is null or a.column_name is null""".replace(
-    "{expected}", ", ".join(f"'{c}'" for c in schemas.CLAIMS_COLUMNS)), "claims")
+# the types of the claims view
+_VIEW_TYPES = {"DISPENSE_DATE": "date", "MONTH_ID": "int", "YEAR": "int", "QUANTITY": "double", "DAYS_SUPPLY": "int", "PATIENT_PAY": "double"} | {
+    c: "string" for c in ("CLAIM_ID", "PATIENT_ID", "NDC", "MARKET_NAME", "PROVIDER_SPCL_CD", "PROVIDER_STATE", "RX_TYPE", "NPI")}
+_EXPECTED_TYPES = {c: schemas.CLAIMS_TYPES[c].simpleString() for c in schemas.CLAIMS_COLUMNS}
 
 
-@register("q_schema_diff", _SCHEMA_DIFF_SQL)
+def _schema_status(c: str) -> tuple[str | None, str | None, str]:
+    want, have = _EXPECTED_TYPES.get(c), _VIEW_TYPES.get(c)
+    return want, have, "missing" if have is None else "extra" if want is None else "ok" if want == have else "retyped"
+
+
+def _quoted(x: str | None) -> str:
+    return "cast(null as varchar)" if x is None else f"'{x}'"
+
+
+_SCHEMA_CHECK_SQL = with_views(" union all ".join(
+    f"""select (select count(*) from claims) as "rows", '{c}' as "column", {_quoted(want)} as expected_type, {_quoted(have)} as actual_type,
+    '{status}' as status, {f"(select count({c}) from claims)" if have else "cast(0 as bigint)"} as filled"""
+    for c in _EXPECTED_TYPES | _VIEW_TYPES for want, have, status in [_schema_status(c)]), "claims")
+
+
+@register("q_schema_diff", _SCHEMA_CHECK_SQL)
 def q_schema_diff(spark, sf):
-    """Columns of the delivered claims vs the expected claims columns."""
-    return quality.schema_diff(spark, cv.claims(spark, sf).columns, schemas.CLAIMS_COLUMNS)
+    """Expected and delivered claims columns with types, status and filled values, counted from the table."""
+    return quality.schema_check(cv.claims(spark, sf), _EXPECTED_TYPES)
 
 
 _ROW_COUNT_SQL = with_views(f"""
@@ -149,14 +161,20 @@ def q_reconcile_months(spark, sf):
     return quality.reconcile_months(cv.claims(spark, sf), _manifest(spark, sf), how="full")
 
 
+_ODD_MARKETS_SQL = "case when DAYS_SUPPLY = 60 then 'Z' when DAYS_SUPPLY <> 50 then MARKET_NAME end"
 _PIVOT_SQL = with_views("select YEAR, MONTH_ID, " + ", ".join(
-    f"nullif(count(*) filter (where MARKET_NAME = '{m}'), 0) as {m}" for m in ALL_MARKET_CODES
-) + " from claims group by YEAR, MONTH_ID", "claims")
+    f"nullif(count(*) filter (where M = '{m}'), 0) as {m}" for m in ALL_MARKET_CODES
+) + f""", nullif(count(*) filter (where M not in ({", ".join(f"'{m}'" for m in ALL_MARKET_CODES)})), 0) as "OTHER",
+    nullif(count(*) filter (where M is null), 0) as "NULL_VALUE"
+  from (select *, {_ODD_MARKETS_SQL} as M from claims) group by YEAR, MONTH_ID""", "claims")
 
 
 @register("q_pivot_market_month", _PIVOT_SQL)
 def q_pivot_market_month(spark, sf):
-    return quality.pivot_counts(cv.claims(spark, sf), ["YEAR", "MONTH_ID"], "MARKET_NAME", ALL_MARKET_CODES)
+    """Claims by month and market; some claims are given an unmapped code or none."""
+    claims = cv.claims(spark, sf)
+    odd = F.when(F.col("DAYS_SUPPLY") == 60, F.lit("Z")).when(F.col("DAYS_SUPPLY") != 50, F.col("MARKET_NAME"))
+    return quality.pivot_counts(claims.withColumn("MARKET_NAME", odd), ["YEAR", "MONTH_ID"], "MARKET_NAME", ALL_MARKET_CODES)
 
 
 _MISSING_SQL = with_views("select " + ", ".join(
@@ -480,10 +498,13 @@ register("q_robust_summary_quantity", _robust_sql("QUANTITY"))(_robust("QUANTITY
 register("q_robust_summary_days_supply", _robust_sql("DAYS_SUPPLY"))(_robust("DAYS_SUPPLY"))
 
 
-@register("q_quantiles_by_year", with_views("""
+ORACLE_OF_QUANTILES = with_views("""
 select YEAR, cast(quantile_disc(PATIENT_PAY, 0.1) as double) as p10, cast(quantile_disc(PATIENT_PAY, 0.5) as double) as p50,
        cast(quantile_disc(PATIENT_PAY, 0.9) as double) as p90
-from claims where PATIENT_PAY is not null group by YEAR""", "claims"))
+from claims where PATIENT_PAY is not null group by YEAR""", "claims")
+
+
+@register("q_quantiles_by_year", ORACLE_OF_QUANTILES)
 def q_quantiles_by_year(spark, sf):
     """Exact discrete deciles of patient pay per year (distributed selection)."""
     return stats.quantiles(cv.claims(spark, sf), "PATIENT_PAY", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, by=["YEAR"])
@@ -613,10 +634,10 @@ def q_upsert(spark, sf):
     UPDATE_DATE (upsert on CLAIM_ID, YEAR); the table is read back."""
     path = shared_path(spark, "q_upsert")
     c = cv.claims(spark, sf)
-    upsert(spark, clean.stamp(c, "2024-01-01"), path)
+    upsert(spark, clean.stamp(c, "2024-01-01"), path, on_duplicate="keep")  # the view repeats some keys
     refills = clean.stamp(c.where(F.col("RX_TYPE") == "R"), "2024-02-01")
-    upsert(spark, refills, path)
-    upsert(spark, refills, path)  # a re-run changes nothing
+    upsert(spark, refills, path, on_duplicate="keep")
+    upsert(spark, refills, path, on_duplicate="keep")  # a re-run changes nothing
     return spark.read.schema(clean.stamp(c, "x").schema).parquet(path)
 
 
@@ -654,13 +675,109 @@ def q_gold_year_totals(spark, sf):
     rows per table and YEAR read back from gold."""
     from claimlake.plans.jobs import RunParams, gold_job
     base = shared_path(spark, "q_gold")
-    p = RunParams(base=base, run_date=RUN_DATE)
+    p = RunParams(base=base, run_date=RUN_DATE, on_duplicate="keep")  # the views repeat some keys
     io.write_layer(_silver(spark, sf), base, "silver", "claims", ("YEAR", "MARKET_NAME"))
     silver = io.read_layer(spark, base, "silver", "claims")
     out = gold_job(spark, silver, cv.benzo_def(spark, sf), cv.opioid_def(spark, sf), cv.mme(spark, sf), p)
     return out["year_totals"]
 
 
+# ---------------------------------------------------------------- above the bounds, second deliveries
+_SHUFFLE_PAT_SQL = with_views("""
+, c as (select CLAIM_ID, YEAR, case when cast(PATIENT_ID as bigint) % 9 <> 0 then cast(PATIENT_ID as bigint) end as PATIENT_ID from claims)
+select c.CLAIM_ID, c.YEAR, c.PATIENT_ID, cast(p.PATIENT_ID_REF as bigint) as PATIENT_ID_REF, p.PATIENT_GENDER,
+       case when p.PATIENT_ID_REF is not null then 1 else 0 end as merged_pat_ref
+from c left join patient_ref p on c.PATIENT_ID = cast(p.PATIENT_ID_REF as bigint)""", "claims", "patient_ref")
+
+
+@register("q_left_patient_shuffle", _SHUFFLE_PAT_SQL)
+def q_left_patient_shuffle(spark, sf):
+    """The patient join above the broadcast bound, with integer keys and NULL keys."""
+    key = F.col("PATIENT_ID").cast("long")
+    c = cv.claims(spark, sf).select("CLAIM_ID", "YEAR", F.when(key % 9 != 0, key).alias("PATIENT_ID"))
+    p = _patients(spark, sf).withColumn("PATIENT_ID_REF", F.col("PATIENT_ID_REF").cast("long"))
+    j = relate.left_join_flag(c, p, "PATIENT_ID", "PATIENT_ID_REF", flag="merged_pat_ref", broadcast_max_rows=0)
+    return j.select("CLAIM_ID", "YEAR", "PATIENT_ID", "PATIENT_ID_REF", "PATIENT_GENDER", "merged_pat_ref")
+
+
+@register("q_left_product_shuffle", _LEFT_PROD_SQL)
+def q_left_product_shuffle(spark, sf):
+    """The product join above the broadcast bound."""
+    c = cv.claims(spark, sf).withColumn("NDC", normalize_code("NDC"))
+    j = relate.left_join_flag(c, _products(spark, sf), "NDC", "NDC_CD", flag="merged_prod_ref", broadcast_max_rows=0)
+    return j.select("CLAIM_ID", "YEAR", "NDC", "NDC_CD", "USC_CD", "ROUTE_ADM_NM", "merged_prod_ref")
+
+
+@register("q_quantiles_by_year_large", ORACLE_OF_QUANTILES)
+def q_quantiles_by_year_large(spark, sf):
+    """The rounds for large groups, over all claims: no group is small enough to be ranked at once."""
+    return stats.quantiles(cv.claims(spark, sf), "PATIENT_PAY", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, by=["YEAR"], max_exact_rows=100)
+
+
+@register("q_robust_summary_large", _robust_sql("PATIENT_PAY"))
+def q_robust_summary_large(spark, sf):
+    """The robust summary with every group above the bound for ranking at once."""
+    return stats.robust_summary(_silver(spark, sf), "PATIENT_PAY", "MARKET_NAME", max_exact_rows=100)
+
+
+@register("q_claims_silver_multiyear", with_views("""
+select YEAR, MARKET_NAME, merged_pat_ref, merged_prod_ref, count(*) as n_claims from silver
+group by YEAR, MARKET_NAME, merged_pat_ref, merged_prod_ref""", "silver"))
+def q_claims_silver_multiyear(spark, sf):
+    """Claims joined with lookups of many years: each meets its own year's, so their number stays."""
+    every = F.explode(F.sequence(F.lit(1990), F.lit(2010)))
+    silver = curate.claims_silver(cv.claims_bronze(spark, sf), _patients(spark, sf).withColumn("YEAR", every),
+                                  _products(spark, sf).withColumn("YEAR", every), on_duplicate="error")
+    return silver.groupBy("YEAR", "MARKET_NAME", "merged_pat_ref", "merged_prod_ref").agg(F.count(F.lit(1)).alias("n_claims"))
+
+
+@register("q_rerun_year", with_views("""
+select YEAR, MARKET_NAME, count(*) as n_claims from claims
+where not (YEAR = 1995 and MARKET_NAME in ('A', 'O')) group by YEAR, MARKET_NAME""", "claims"))
+def q_rerun_year(spark, sf):
+    """A year delivered again without two markets: nothing of its first delivery stays, other years do."""
+    base = shared_path(spark, "q_rerun")
+    c = cv.claims(spark, sf)
+    io.write_year(c, base, "silver", "claims", ("MARKET_NAME",))
+    io.write_year(c.where("YEAR = 1995 AND MARKET_NAME NOT IN ('A', 'O')"), base, "silver", "claims", ("MARKET_NAME",))
+    return io.read_layer(spark, base, "silver", "claims", schema=c.schema).groupBy("YEAR", "MARKET_NAME").agg(F.count(F.lit(1)).alias("n_claims"))
+
+
+_NULL_KEYS_SQL = with_views("""
+, k as (select case when DAYS_SUPPLY <> 30 then CLAIM_ID end as CLAIM_ID, case when DAYS_SUPPLY <> 40 then YEAR end as YEAR, RX_TYPE, MARKET_NAME from claims),
+t as (select *, 'first' as DELIVERY from k),
+d as (select *, 'second' as DELIVERY from k where RX_TYPE = 'R'),
+u as (select * from t where not exists (select 1 from d where d.CLAIM_ID = t.CLAIM_ID and d.YEAR = t.YEAR) union all select * from d)
+select YEAR, MARKET_NAME, DELIVERY, CLAIM_ID is null as no_id, count(*) as n_claims from u group by all""", "claims")
+
+
+@register("q_upsert_null_keys", _NULL_KEYS_SQL)
+def q_upsert_null_keys(spark, sf):
+    """An upsert with NULL ids and NULL years: such rows match nothing; those stored stay, those delivered are added."""
+    path = shared_path(spark, "q_upsert_null")
+    c = cv.claims(spark, sf).select(
+        F.when(F.col("DAYS_SUPPLY") != 30, F.col("CLAIM_ID")).alias("CLAIM_ID"), F.when(F.col("DAYS_SUPPLY") != 40, F.col("YEAR")).alias("YEAR"),
+        "RX_TYPE", "MARKET_NAME")
+    upsert(spark, c.withColumn("DELIVERY", F.lit("first")), path, on_duplicate="keep")
+    second = c.where("RX_TYPE = 'R'").withColumn("DELIVERY", F.lit("second"))
+    upsert(spark, second, path, on_duplicate="keep")
+    stored = spark.read.schema(second.schema).parquet(path)
+    return stored.groupBy("YEAR", "MARKET_NAME", "DELIVERY", F.col("CLAIM_ID").isNull().alias("no_id")).agg(F.count(F.lit(1)).alias("n_claims"))
+
+
+@register("q_upsert_duplicates", with_views("""
+, ranked as (select CLAIM_ID, YEAR, max(DISPENSE_DATE) as DISPENSE_DATE from claims group by CLAIM_ID, YEAR)
+select YEAR, count(*) as n_claims, max(DISPENSE_DATE) as last_dispense, min(DISPENSE_DATE) as first_dispense from ranked group by YEAR""", "claims"))
+def q_upsert_duplicates(spark, sf):
+    """Repeated keys resolved to the latest dispense before they are stored; a second delivery changes nothing."""
+    path = shared_path(spark, "q_upsert_dup")
+    c = cv.claims(spark, sf)
+    for _ in range(2):
+        upsert(spark, c, path, on_duplicate="latest", latest="DISPENSE_DATE")
+    stored = spark.read.schema(c.schema).parquet(path)
+    return stored.groupBy("YEAR").agg(F.count(F.lit(1)).alias("n_claims"), F.max("DISPENSE_DATE").alias("last_dispense"), F.min("DISPENSE_DATE").alias("first_dispense"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in QUERIES.items()}
 
@@ -681,7 +798,7 @@ def q_stream_gold_totals(spark, sf):
     landing = f"{base}/landing"
     # one key never spans two files (so one micro-batch); a hot year spreads over many files
     cv.claims_bronze(spark, sf).repartition("YEAR", "CLAIM_ID").write.parquet(landing)
-    p = RunParams(base=base, run_date=RUN_DATE)
+    p = RunParams(base=base, run_date=RUN_DATE, on_duplicate="keep")  # the views repeat some keys
     query = incremental.start(spark, landing, f"{base}/_checkpoint", _patients(spark, sf), _products(spark, sf),
                               cv.benzo_def(spark, sf), cv.opioid_def(spark, sf), cv.mme(spark, sf), p,
                               available_now=True, max_files_per_trigger=4)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -30,7 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -42,11 +42,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a scratch
-    folder is created and registered, so checkpoint() works the same way.
+    Read from the session. Only in a local session a scratch folder is made
+    when it is unset, so checkpoint() works the same way in tests; a cluster
+    without a shared folder is an error, since its machines don't see each
+    other's folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         root = tempfile.mkdtemp(prefix="claimlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -70,11 +74,3 @@ def materialize(df, *parts: str, partition_by: tuple[str, ...] = ()):
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def local_fs_path(path: str) -> str | None:
-    """Filesystem path for a ``file:`` URI or plain path, None for remote URIs."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

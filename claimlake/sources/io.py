@@ -27,7 +27,9 @@ def layer_path(base: str, layer: str, dataset: str) -> str:
 
 def read_layer(spark: SparkSession, base: str, layer: str, dataset: str, year: int | None = None,
                schema: T.StructType | None = None) -> DataFrame:
-    """A layer table; ``year`` becomes a partition filter (only that folder is listed and read)."""
+    """A layer table; ``year`` becomes a partition filter (only that folder is
+    listed and read). ``schema`` keeps partition values as typed there (a
+    folder name like ``02`` would else be read as a number)."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(layer_path(base, layer, dataset))
     return df.where(F.col("YEAR") == year) if year is not None else df
@@ -38,6 +40,18 @@ def read_gold(spark: SparkSession, base: str, market: str, year: int | None = No
     return read_layer(spark, base, "gold", market, year, schema)
 
 
+def _same_schema(df: DataFrame, path: str) -> None:
+    """Raises if the table at ``path`` has other columns or types."""
+    try:
+        old = df.sparkSession.read.parquet(path).schema
+    except AnalysisException:
+        return
+    want = {f.name: f.dataType for f in df.schema.fields}
+    have = {f.name: f.dataType for f in old.fields}
+    if want != have:
+        raise ValueError(f"schema change at {path}: {sorted(set(want.items()) ^ set(have.items()), key=str)}")
+
+
 def write_layer(df: DataFrame, base: str, layer: str, dataset: str, partition_by: Sequence[str] = ("YEAR",),
                 allow_schema_change: bool = True) -> str:
     """Overwrite the partitions present in ``df`` (dynamic overwrite: other
@@ -48,21 +62,41 @@ def write_layer(df: DataFrame, base: str, layer: str, dataset: str, partition_by
     stored one (names and types) and raises on a difference."""
     path = layer_path(base, layer, dataset)
     if not allow_schema_change:
-        try:
-            old = df.sparkSession.read.parquet(path).schema
-        except AnalysisException:
-            old = None
-        if old is not None:
-            want = {f.name: f.dataType for f in df.schema.fields}
-            have = {f.name: f.dataType for f in old.fields}
-            if want != have:
-                diff = sorted(set(want.items()) ^ set(have.items()), key=str)
-                raise ValueError(f"schema change at {path}: {diff}")
-    (df.hint("rebalance", *partition_by).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+        _same_schema(df, path)
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
     return path
 
 
+def write_year(df: DataFrame, base: str, layer: str, dataset: str, by: Sequence[str] = (), years: Sequence[int] | None = None,
+               allow_schema_change: bool = False) -> str:
+    """Replace whole years of ``{dataset}/YEAR=y[/by...]``: one dynamic
+    overwrite writes the folders that the delivery has, then the folders of
+    these years that it has not are emptied, so nothing of an earlier delivery
+    stays. ``years`` are the years of the delivery, those in the data by default.
+
+    A run that fails in between leaves new folders beside old ones: run again.
+    """
+    columns = ["YEAR", *by]
+    new = {tuple(r) for r in df.select(columns).distinct().collect()}  # a row per folder
+    years = {r[0] for r in new} if years is None else set(years)
+    outside = {r[0] for r in new} - years
+    if outside:
+        raise ValueError(f"rows of years {outside} in a delivery of {years}")
+    root = layer_path(base, layer, dataset)
+    if not allow_schema_change:
+        _same_schema(df, root)
+    try:
+        old = {tuple(r) for r in df.sparkSession.read.schema(df.schema).parquet(root).select(columns).distinct().collect()}
+    except AnalysisException:
+        old = set()
+    write_layer(df, base, layer, dataset, columns)
+    for folder in sorted((r for r in old - new if r[0] in years), key=str):
+        name = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(columns, folder, strict=True))
+        df.limit(0).drop(*columns).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{name}")
+    return root
+
+
 def read_lookup(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
     """A market definition or MME lookup delivered as CSV (header) or Parquet,
     read with a fixed schema (codes stay strings: no inference)."""
@@ -105,8 +139,9 @@ def export_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ("YEAR",)
     out = df.drop(*drop)
     out = out.repartition(*partition_by) if single_file else out.hint("rebalance", *partition_by)
     # Keep values exactly (a blank flag stays a blank, not an empty field).
+    # Other partitions (years exported before) stay, whatever the session's overwrite mode.
     writer = (out.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
-              .option("ignoreTrailingWhiteSpace", False).mode("overwrite"))
+              .option("ignoreTrailingWhiteSpace", False).option("partitionOverwriteMode", "dynamic").mode("overwrite"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)

@@ -4,8 +4,8 @@ New claims files land in a folder (one delivery at a time). Each micro-batch
 is cleaned with the batch functions (lookup joins, filters, NDC repair),
 split into markets and upserted into the gold tables. Because the upsert
 replaces rows by key, replaying a micro-batch after a failure (the
-``foreachBatch`` recovery contract) leaves the same gold tables: exactly-once
-results from at-least-once delivery. Lookups are static DataFrames joined to
+``foreachBatch`` recovery contract) leaves the same gold tables, if no key
+comes twice in a batch (``on_duplicate="error"`` raises on one). Lookups are static DataFrames joined to
 each micro-batch.
 """
 
@@ -34,7 +34,8 @@ def upsert_batch(batch: DataFrame, patients: DataFrame, products: DataFrame, ben
                  opioid_def: DataFrame, mme: DataFrame, p: RunParams) -> None:
     """One delivery: silver cleaning, market split, upsert of every gold table."""
     spark = batch.sparkSession
-    silver = curate.claims_silver(batch, patients, products, broadcast_max_rows=p.broadcast_max_rows)
+    silver = curate.claims_silver(batch, patients, products, broadcast_max_rows=p.broadcast_max_rows,
+                                  on_duplicate=p.on_duplicate)
     # Staged once in the shared folder so the eleven market frames read it
     # instead of re-joining the batch (and a retry restarts from the files).
     staged = materialize(silver, "stream-batch")
@@ -42,6 +43,9 @@ def upsert_batch(batch: DataFrame, patients: DataFrame, products: DataFrame, ben
     for table in schemas.GOLD_MARKETS:
         upsert(spark, frames[table].drop("GOLD_TABLE"), io.layer_path(p.base, "gold", table),
                schemas.UPSERT_KEYS, "YEAR", p.on_duplicate, stage_source=False)
+    # claims that no gold table takes are kept, by the same keys, as the batch run keeps them
+    upsert(spark, frames["_unrouted"], io.layer_path(p.base, "quarantine", p.named("claims_unrouted")),
+           schemas.UPSERT_KEYS, "YEAR", "keep", stage_source=False)
 
 
 def start(spark: SparkSession, landing: str, checkpoint: str, patients: DataFrame, products: DataFrame,

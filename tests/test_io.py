@@ -47,3 +47,28 @@ def test_write_layer_schema_guard_and_dynamic_overwrite(spark):
 def test_preview_is_repeatable(spark):
     df = spark.range(100).select((F.col("id") * 37 % 100).alias("v")).repartition(7)
     assert [r.v for r in quality.preview(df, 3, "v").collect()] == [0, 1, 2]
+
+
+def test_write_year_replaces_whole_years_only(spark):
+    base = shared_path(spark, "t-year")
+    schema = "K string, MARKET_NAME string, YEAR int"
+    read = lambda: rows(io.read_layer(spark, base, "silver", "t", schema=spark.createDataFrame([], schema).schema), "K", "MARKET_NAME", "YEAR")
+    io.write_year(spark.createDataFrame([("a", "02", 2020), ("b", "B", 2020), ("c", "B", 2021)], schema), base, "silver", "t", ("MARKET_NAME",))
+    io.write_year(spark.createDataFrame([("d", "02", 2020)], schema), base, "silver", "t", ("MARKET_NAME",))
+    assert read() == [("c", "B", 2021), ("d", "02", 2020)]
+    io.write_year(spark.createDataFrame([], schema), base, "silver", "t", ("MARKET_NAME",), years=[2021])
+    assert read() == [("d", "02", 2020)]
+    with pytest.raises(ValueError, match="delivery"):
+        io.write_year(spark.createDataFrame([("x", "B", 2019)], schema), base, "silver", "t", ("MARKET_NAME",), years=[2020])
+
+
+def test_export_of_one_year_keeps_the_others_under_any_overwrite_mode(spark):
+    path = shared_path(spark, "t-export")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for y in (2020, 2021):
+            io.export_csv(spark.createDataFrame([(f"k{y}", y)], "K string, YEAR int"), path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    assert rows(io.read_export(spark, path, spark.createDataFrame([], "K string, YEAR int").schema)) == [("k2020", 2020), ("k2021", 2021)]

@@ -10,14 +10,14 @@ from tests.conftest import SF_SMALL, rows
 
 def test_pipeline_twice_gives_same_gold(spark):
     base = shared_path(spark, "t-pipeline")
-    p = jobs.RunParams(base=base, run_date="2024-12-31")
+    p = jobs.RunParams(base=base, run_date="2024-12-31", on_duplicate="keep")
     manifest = jobs.manifest_job(spark, cv.manifest_raw(spark, SF_SMALL), p)
     pr = jobs.patient_job(spark, cv.patient_ref(spark, SF_SMALL), p, manifest)
     assert pr["row_count"].first().STATUS == "match"
     dr = jobs.product_job(spark, cv.product_ref(spark, SF_SMALL), p, manifest)
     assert dr["lengths_after"].first().NDC_CD == 0
-    pats = io.read_layer(spark, base, "silver", "patient_ref").drop("YEAR")
-    prods = io.read_layer(spark, base, "silver", "product_ref").drop("YEAR")
+    pats = io.read_layer(spark, base, "silver", "patient_ref")
+    prods = io.read_layer(spark, base, "silver", "product_ref")
     cr = jobs.claims_job(spark, cv.claims_bronze(spark, SF_SMALL), pats, prods, p, manifest)
     assert cr["summary_QUANTITY"].count() == 9
     silver = io.read_layer(spark, base, "silver", "claims")

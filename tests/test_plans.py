@@ -61,7 +61,8 @@ def test_dedupe_is_an_aggregate_not_a_window(spark):
     assert F is not None
 
 
-WRITING = {"q_upsert", "q_export_roundtrip", "q_gold_year_totals", "q_stream_gold_totals"}
+WRITING = {"q_upsert", "q_export_roundtrip", "q_gold_year_totals", "q_stream_gold_totals", "q_rerun_year",
+           "q_upsert_null_keys", "q_upsert_duplicates"}
 
 
 def test_no_cross_joins_or_python_in_any_query(spark):

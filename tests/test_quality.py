@@ -46,9 +46,9 @@ def test_missing_counts_and_key_profile(spark):
 
 
 def test_pivot_counts_explicit_values(spark):
-    df = spark.createDataFrame([(1, "A"), (1, "A"), (1, "B"), (2, None)], "m int, mk string")
+    df = spark.createDataFrame([(1, "A"), (1, "A"), (1, "B"), (2, None), (2, "Q")], "m int, mk string")
     out = rows(quality.pivot_counts(df, ["m"], "mk", ["A", "B", "Z"]))
-    assert out == [(1, 2, 1, None), (2, None, None, None)]
+    assert out == [(1, 2, 1, None, None, None), (2, None, None, None, 1, 1)]  # all five rows are in some column
 
 
 def test_frequency_valid_values_lengths_profile(spark):
@@ -62,6 +62,10 @@ def test_frequency_valid_values_lengths_profile(spark):
     assert quality.profile(df, {"pr": F.col("s") == "PR"}).first().asDict() == {"rows": 4, "pr": 2}
 
 
-def test_schema_diff(spark):
-    out = rows(quality.schema_diff(spark, ["a", "b", "x"], ["a", "b", "c"]))
-    assert out == [("c", "missing"), ("x", "extra")]
+def test_schema_check_counts_the_table(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (2, "y", None)], "a int, b string, x double")
+    out = quality.schema_check(df, {"a": "int", "b": "date", "c": "string"})
+    assert rows(out, "column", "expected_type", "actual_type", "status", "rows", "filled") == [
+        ("a", "int", "int", "ok", 2, 2), ("b", "date", "string", "retyped", 2, 1),
+        ("c", "string", None, "missing", 2, 0), ("x", None, "double", "extra", 2, 1)]
+    assert rows(quality.schema_diff(df, {"a": "int", "b": "string", "x": "double"})) == []

@@ -71,5 +71,22 @@ def test_assert_unique_modes(spark):
     with pytest.raises(ValueError, match="duplicate key"):
         relate.assert_unique(df, ["k"], "error")
     assert relate.assert_unique(df, ["k"], "keep").count() == 3
-    assert relate.assert_unique(df, ["k"], "latest").count() == 2
+    assert rows(relate.assert_unique(df, ["k"], "latest", "v")) == [("a", 2), ("b", 3)]
+    with pytest.raises(ValueError, match="latest"):
+        relate.assert_unique(df, ["k"], "latest")
+    nulls = df.unionByName(spark.createDataFrame([(None, 1), (None, 1)], df.schema)).where("k IS NULL OR v > 1")
+    assert relate.assert_unique(nulls, ["k"]).count() == 4  # a NULL key repeats nothing
+    assert relate.assert_unique(nulls, ["k"], "latest", "v").where("k IS NULL").count() == 2
     assert relate.duplicate_keys(df, ["k"]).first()["count"] == 2
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "date"])
+def test_joins_give_the_same_rows_below_and_above_the_bound(spark, kind):
+    key = "date_add(date'2020-01-01', cast({} as int))" if kind == "date" else f"cast({{}} as {kind})"
+    left = spark.range(60).selectExpr("id", f"CASE WHEN id % 7 > 0 THEN {key.format('id % 11')} END AS k", "cast(id % 3 as int) AS YEAR")
+    right = spark.range(16).selectExpr(f"CASE WHEN id < 15 THEN {key.format('id % 8')} END AS r", "cast(id % 2 as int) AS YEAR", "id AS v")
+    for also in ((), ("YEAR",)):
+        both = [relate.left_join_flag(left, right.drop(*({"YEAR"} - set(also))), "k", "r", "hit", broadcast_max_rows=n, also=also) for n in (1000, 0)]
+        assert both[0].columns == both[1].columns
+        assert rows(both[0]) == rows(both[1])
+    assert rows(relate.unmatched(left, right, "k", "r")) == rows(relate.unmatched(left, right, "k", "r", broadcast_max_rows=0))

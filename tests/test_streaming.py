@@ -25,7 +25,7 @@ def _gold(spark, base):
 
 def test_replayed_batch_is_idempotent(spark):
     base = shared_path(spark, "t-stream")
-    p = RunParams(base=base, run_date="2024-12-31")
+    p = RunParams(base=base, run_date="2024-12-31", on_duplicate="keep")
     look = (q._patients(spark, SF_SMALL), q._products(spark, SF_SMALL), cv.benzo_def(spark, SF_SMALL),
             cv.opioid_def(spark, SF_SMALL), cv.mme(spark, SF_SMALL))
     bronze = cv.claims_bronze(spark, SF_SMALL)
@@ -42,7 +42,7 @@ def test_stream_query_processes_everything(spark):
     base = shared_path(spark, "t-stream")
     landing = f"{base}/landing"
     cv.claims_bronze(spark, SF_SMALL).repartition(4, "YEAR", "CLAIM_ID").write.parquet(landing)
-    p = RunParams(base=base, run_date="2024-12-31")
+    p = RunParams(base=base, run_date="2024-12-31", on_duplicate="keep")
     query = incremental.start(spark, landing, f"{base}/_ckpt", q._patients(spark, SF_SMALL),
                               q._products(spark, SF_SMALL), cv.benzo_def(spark, SF_SMALL),
                               cv.opioid_def(spark, SF_SMALL), cv.mme(spark, SF_SMALL), p,

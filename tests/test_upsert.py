@@ -41,7 +41,9 @@ def test_upsert_duplicate_source_keys(spark):
     with pytest.raises(ValueError):
         upsert(spark, dup, shared_path(spark, "t-upsert"), on_duplicate="error")
     p = shared_path(spark, "t-upsert")
-    upsert(spark, dup, p, on_duplicate="latest")
+    with pytest.raises(ValueError, match="latest"):
+        upsert(spark, dup, p, on_duplicate="latest")
+    upsert(spark, dup, p, on_duplicate="latest", latest="V")
     assert _read(spark, p) == [("a", 2020, "2")]
     p = shared_path(spark, "t-upsert")
     upsert(spark, dup, p, on_duplicate="keep")
@@ -52,3 +54,18 @@ def test_upsert_duplicate_source_keys(spark):
 def test_upsert_rejects_bad_partition_count(spark):
     with pytest.raises(ValueError, match="greater than or equal to 1"):
         upsert(spark, spark.createDataFrame([("a", 2020, "1")], SCHEMA), shared_path(spark, "t"), num_partitions=0)
+
+
+def test_upsert_keeps_rows_without_a_year_and_checks_columns(spark):
+    path = shared_path(spark, "t-upsert")
+    upsert(spark, spark.createDataFrame([("a", None, "1"), ("c", 2020, "1")], SCHEMA), path)
+    upsert(spark, spark.createDataFrame([("b", None, "2"), ("c", 2020, "2")], SCHEMA), path)
+    assert _read(spark, path) == [("a", None, "1"), ("b", None, "2"), ("c", 2020, "2")]
+    wide = spark.createDataFrame([("a", 2020, "1", "w")], SCHEMA + ", W string")
+    with pytest.raises(ValueError, match="extra"):
+        upsert(spark, wide, path)
+    wider = shared_path(spark, "t-upsert")
+    upsert(spark, wide, wider)
+    with pytest.raises(ValueError, match="missing"):
+        upsert(spark, spark.createDataFrame([("b", 2020, "1")], SCHEMA), wider)
+    assert spark.read.parquet(wider).first().W == "w"
