@@ -8,7 +8,9 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from claimlake.llm import chat, quality, queries, secrets, sharding
@@ -43,6 +45,16 @@ def test_quality_order_never_changes_the_verdict(spark):
     assert one == other and 0 < sum(one.values()) < len(one)
 
 
+def test_quality_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    got = queries.QUERIES["op1_quality_cascade"](spark, SF_SMALL)
+    want = con.sql(queries.ORACLE["op1_quality_cascade"])
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    assert sorted(map(str, got.select(columns).collect())) == sorted(str(Row(**dict(zip(columns, r, strict=True)))) for r in want.select(*columns).fetchall())
+
+
 def test_quality_rules_are_ordered_by_rejections_per_cost():
     rules = quality.default_rules()[:3]
     estimates = [(rules[0].name, 0.1, 1.0), (rules[1].name, 0.1, 0.1), (rules[2].name, 0.5, 1.0)]
