@@ -184,6 +184,7 @@ def gold_job(spark: SparkSession, silver: DataFrame, benzo_def: DataFrame, opioi
     years = [p.year] if p.year is not None else [r[0] for r in silver.select("YEAR").distinct().collect()]  # a row per year
     io.write_year(frames["_unrouted"], p.base, "quarantine", p.named("claims_unrouted"), years=years)
     out = {"unmatched_ndc": frames["_unmatched_ndc"]}
+    io.export_csv(out["unmatched_ndc"], f"{p.base.rstrip('/')}/gold_exports/{p.named('unmatched_ndc')}/run={p.year or 'all'}", ())
     year_totals = totals[0]
     for t in totals[1:]:
         year_totals = year_totals.unionByName(t)
@@ -192,10 +193,24 @@ def gold_job(spark: SparkSession, silver: DataFrame, benzo_def: DataFrame, opioi
 
 
 def export_job(spark: SparkSession, p: RunParams, sink: str, tables: list[str] | None = None,
-               single_file: bool = False) -> list[str]:
-    """L16: CSV export of gold tables (a year or all), one folder per YEAR."""
+               single_file: bool = False, profile: str = "full") -> list[str]:
+    """L16: CSV export of gold tables (a year or all), one folder per YEAR;
+    years exported before stay. ``profile="without_product"`` leaves the
+    product columns out and goes to a path of its own."""
+    if profile not in ("full", "without_product"):
+        raise ValueError(f"unknown export profile {profile!r}")
+    root, drop = (sink.rstrip("/"), []) if profile == "full" else (f"{sink.rstrip('/')}/without_product", schemas.PRODUCT_COLUMNS)
     paths = []
     for table in tables or schemas.GOLD_MARKETS:
         df = io.read_gold(spark, p.base, table, p.year)
-        paths.append(io.export_csv(df, f"{sink.rstrip('/')}/{table}", ("YEAR",), single_file))
+        paths.append(io.export_csv(df, f"{root}/{table}", ("YEAR",), single_file, drop))
+    return paths
+
+
+def lookup_export_job(spark: SparkSession, p: RunParams, sink: str, datasets: tuple[str, ...] = ("patient_ref", "product_ref")) -> list[str]:
+    """CSV of the stored lookups, one folder per YEAR where they are kept by year."""
+    paths = []
+    for dataset in datasets:
+        df = io.read_layer(spark, p.base, "silver", p.named(dataset), p.year)
+        paths.append(io.export_csv(df, f"{sink.rstrip('/')}/{p.named(dataset)}", ("YEAR",) if "YEAR" in df.columns else ()))
     return paths

@@ -52,6 +52,8 @@ PATIENT_REF_SCHEMA = struct(
 )
 PRODUCT_REF_SCHEMA = struct(*[(c, S) for c in PRODUCT_REF_COLUMNS[:-1]], ("ingestion_date", DT))
 CLAIMS_SCHEMA = struct(*[(c, CLAIMS_TYPES[c]) for c in CLAIMS_COLUMNS])
+# Deliveries that store every column as text; cleaning casts them.
+CLAIMS_TEXT_SCHEMA = struct(*[(c, S) for c in CLAIMS_COLUMNS])
 
 BENZO_DEF_SCHEMA = struct(("NDC", S), ("PROD_CUSTOM_LVL1_DESC", S))
 OPIOID_DEF_SCHEMA = struct(("NDC", S), ("USC_CD", S), ("GPI_DESC", S))

@@ -137,7 +137,8 @@ def export_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ("YEAR",)
     be small.
     """
     out = df.drop(*drop)
-    out = out.repartition(*partition_by) if single_file else out.hint("rebalance", *partition_by)
+    if partition_by:
+        out = out.repartition(*partition_by) if single_file else out.hint("rebalance", *partition_by)
     # Keep values exactly (a blank flag stays a blank, not an empty field).
     # Other partitions (years exported before) stay, whatever the session's overwrite mode.
     writer = (out.write.option("header", True).option("ignoreLeadingWhiteSpace", False)

@@ -16,18 +16,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimlake import schemas
 from claimlake.operators import curate
+from claimlake.operators.clean import cast_types
 from claimlake.operators.upsert import upsert
 from claimlake.plans.jobs import RunParams, gold_frames
 from claimlake.session import materialize
 from claimlake.sources import io
 
 
-def claims_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of delivered claims Parquet files (fixed bronze schema)."""
-    reader = spark.readStream.schema(schemas.CLAIMS_SCHEMA)
+def claims_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
+                  as_text: bool = False) -> DataFrame:
+    """Streaming read of delivered claims Parquet files with a fixed bronze
+    schema; ``as_text`` for deliveries that store every column as a string
+    (malformed values become NULL)."""
+    reader = spark.readStream.schema(schemas.CLAIMS_TEXT_SCHEMA if as_text else schemas.CLAIMS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(landing)
+    return cast_types(reader.parquet(landing), {"YEAR": "int", "ingestion_date": "date"})  # the rest is cast in cleaning
 
 
 def upsert_batch(batch: DataFrame, patients: DataFrame, products: DataFrame, benzo_def: DataFrame,
@@ -50,14 +54,14 @@ def upsert_batch(batch: DataFrame, patients: DataFrame, products: DataFrame, ben
 
 def start(spark: SparkSession, landing: str, checkpoint: str, patients: DataFrame, products: DataFrame,
           benzo_def: DataFrame, opioid_def: DataFrame, mme: DataFrame, p: RunParams,
-          available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+          available_now: bool = True, max_files_per_trigger: int | None = None, as_text: bool = False) -> StreamingQuery:
     """Start the incremental load. ``available_now`` processes what has
     landed and stops (a scheduled run); otherwise it keeps running. The
     static lookups are stored once, so every micro-batch reads them instead
     of recomputing them."""
     patients, products, benzo_def, opioid_def, mme = (
         materialize(df, "stream-lookup") for df in (patients, products, benzo_def, opioid_def, mme))
-    stream = claims_stream(spark, landing, max_files_per_trigger)
+    stream = claims_stream(spark, landing, max_files_per_trigger, as_text)
     writer = (stream.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, _id: upsert_batch(df, patients, products, benzo_def, opioid_def, mme, p)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -1,6 +1,7 @@
 """The incremental load: a replayed micro-batch leaves gold unchanged, and
 two deliveries give what one batch run gives."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimlake import schemas
@@ -38,16 +39,23 @@ def test_replayed_batch_is_idempotent(spark):
     assert sum(len(v) for v in after_two.values()) > 0
 
 
-def test_stream_query_processes_everything(spark):
+@pytest.mark.parametrize("as_text", [False, True])
+def test_stream_query_processes_everything(spark, as_text):
     base = shared_path(spark, "t-stream")
     landing = f"{base}/landing"
-    cv.claims_bronze(spark, SF_SMALL).repartition(4, "YEAR", "CLAIM_ID").write.parquet(landing)
+    bronze = cv.claims_bronze(spark, SF_SMALL)
+    if as_text:
+        bronze = bronze.select([F.col(c).cast("string") for c in bronze.columns])
+    bronze.repartition(4, "YEAR", "CLAIM_ID").write.parquet(landing)
     p = RunParams(base=base, run_date="2024-12-31", on_duplicate="keep")
     query = incremental.start(spark, landing, f"{base}/_ckpt", q._patients(spark, SF_SMALL),
                               q._products(spark, SF_SMALL), cv.benzo_def(spark, SF_SMALL),
                               cv.opioid_def(spark, SF_SMALL), cv.mme(spark, SF_SMALL), p,
-                              max_files_per_trigger=1)
+                              max_files_per_trigger=1, as_text=as_text)
     query.awaitTermination()
     progress = [x for x in query.recentProgress if x["numInputRows"] > 0]
     assert len(progress) >= 2  # several micro-batches
     assert sum(x["numInputRows"] for x in progress) == cv.claims(spark, SF_SMALL).count()
+    taken = sum(io.read_gold(spark, base, t).count() for t in schemas.GOLD_MARKETS)
+    left = io.read_layer(spark, base, "quarantine", "claims_unrouted").count()
+    assert taken + left >= q._silver(spark, SF_SMALL).select("CLAIM_ID", "YEAR").distinct().count()
