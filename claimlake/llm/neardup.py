@@ -15,9 +15,9 @@ similarity is ``percent`` or more; linked documents form a group.
    Groups are formed from the links; a pair inside one group needs no
    comparison, so groups of copies never turn into all their pairs. What shares
    a bucket and is still apart is compared last, unless exact counts rule the
-   pair out: the shingles that each of the two shares with any candidate, and
-   what each has in common with a centre of the bucket, bound what the two can
-   have in common.
+   pair out: the shingles that each of the two shares with any candidate bound
+   what they can have in common, and where both have been compared with the
+   bucket's least id, their differences from it tell how much that is.
 4. A comparison reads the signatures in batches of ``BATCH`` hashes and stops as
    soon as the posterior probability (uniform prior) of a similarity at or above
    the threshold falls below ``MISS``. What survives is joined with the texts
@@ -182,14 +182,16 @@ def _surviving(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b, common, linked): what the full shingle sets of each pair have in
-    common, and whether they have the similarity."""
+    """(a, b, size_a, common, linked, diff): what the full shingle sets of each
+    pair have in common, whether they have the similarity, and hashes of the
+    shingles that only one of the two has (different ones for either side)."""
     joined = (
         pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
         .select("a", "b", "ta", "tb")
     )
-    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]]).add("common", "long").add("linked", "boolean")
+    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]]).add("size_a", "long").add("common", "long").add("linked", "boolean")
+    schema = schema.add("diff", T.ArrayType(T.LongType()))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: OrderedDict[str, set] = OrderedDict()  # a bucket's centre comes up again and again
@@ -202,17 +204,24 @@ def _compared(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             recent.move_to_end(text)
             return recent[text]
 
-        for batch in batches:
-            common, linked = [], []
-            for i in range(batch.num_rows):
-                x, y = of(batch.column(2)[i].as_py()), of(batch.column(3)[i].as_py())
-                n = len(x & y)
-                common.append(n)
-                linked.append(100 * n >= percent * (len(x) + len(y) - n))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(linked)], names=schema.names)
+        def hashed(only: set, seed: int) -> list[int]:
+            return [xxhash.xxh3_64_intdigest(b" ".join(x), seed) - (1 << 63) for x in only]
 
-    # rows of one id may have several texts
-    return joined.mapInArrow(compare, schema).groupBy("a", "b").agg(F.max("common").alias("common"), F.bool_or("linked").alias("linked"))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                size, common, linked, diff = [], [], [], []
+                for i in range(batch.num_rows):
+                    x, y = of(batch.column(2)[i].as_py()), of(batch.column(3)[i].as_py())
+                    n = len(x & y)
+                    size.append(len(x))
+                    common.append(n)
+                    linked.append(100 * n >= percent * (len(x) + len(y) - n))
+                    diff.append(hashed(x - y, 1) + hashed(y - x, 2))
+                columns = [pa.array(size, pa.int64()), pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(diff, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=schema.names)
+
+    return joined.mapInArrow(compare, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -281,14 +290,7 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
         return materialize(_compared(survivors, texts, k, percent), "neardup_compared")
 
     def links_of(done: DataFrame) -> DataFrame:
-        return done.where("linked").select("a", "b")
-
-    def with_common(rows: DataFrame, done: DataFrame, centre: str, name: str) -> DataFrame:
-        """What each row has in common with its bucket's centre; NULL if that wasn't compared."""
-        a, b = F.least("id", centre), F.greatest("id", centre)
-        known = done.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("common").alias("_common"))
-        joined = rows.withColumns({"_a": a, "_b": b}).join(known, ["_a", "_b"], "left")
-        return joined.withColumn(name, F.when(F.col("id") == F.col(centre), F.col("n")).otherwise(F.col("_common"))).drop("_a", "_b", "_common")
+        return done.where("linked").select("a", "b").distinct()
 
     # rows of one id with different sets tie their classes together
     several = real.groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("id")
@@ -305,27 +307,39 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
     own = _own_shingles(texts.join(open_ids, "id", "left_semi"), k)
     size = sigs.groupBy("id").agg(F.max("n_shingles").alias("n"))
     size = size.join(open_ids, "id", "left_semi").join(own, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("s"))
-    apart = materialize(with_common(apart.join(size, "id"), done, "centre", "c"), "neardup_open")
+    # what is known of each member and its bucket's centre; ids with several texts are left unknown
+    known = done.groupBy(F.col("a").alias("centre"), F.col("b").alias("id")).agg(F.count(F.lit(1)).alias("texts"), *[F.first(c).alias(c) for c in ("size_a", "common", "diff")])
+    known = known.where("texts = 1").drop("texts")
+    itself = F.col("id") == F.col("centre")
+    apart = apart.join(size, "id").join(known, ["centre", "id"], "left").withColumns(
+        {
+            "common": F.when(itself, F.col("n")).otherwise(F.col("common")),
+            "size_a": F.when(itself, F.col("n")).otherwise(F.col("size_a")),
+            "diff": F.when(itself, F.array().cast("array<bigint>")).otherwise(F.col("diff")),
+        }
+    )
+    apart = materialize(apart, "neardup_open")
     second = apart.groupBy("key").agg(F.max_by("id", F.struct(F.when(F.col("id") != F.col("centre"), F.col("s")), "id")).alias("centre_2"))
     apart = materialize(apart.join(materialize(second, "neardup_centres"), "key"), "neardup_open")
-    # what two sets have in common is at most the smaller s; and at most what both
-    # have in common with a third, plus the smaller rest of their s
-    enough = lambda most: f"{100 + percent} * ({most}) >= {percent} * (n + n2)"
-    near = lambda c: f"coalesce({enough(f'least({c}, {c}2) + greatest(0, least(s - {c}, s2 - {c}2))')}, true)"
-    second_row = apart.where("id = centre_2").select("key", *[F.col(x).alias(y) for x, y in (("component", "component2"), ("n", "n2"), ("s", "s2"), ("c", "c2"))])
-    stars = apart.join(second_row, "key").where(f"component <> component2 AND id <> centre AND {enough('least(s, s2)')} AND {near('c')}")
+    # what two sets have in common is at most the smaller s; and it follows exactly
+    # from how each of them differs from the centre, where that is known
+    enough = lambda common: f"{100 + percent} * ({common}) >= {percent} * (n + n2)"
+    possible = f"{enough('least(s, s2)')} AND coalesce({enough('common + common2 - size_a + size(array_intersect(diff, diff2))')}, true)"
+    others = ("component", "n", "s", "common", "diff")
+    second_row = apart.where("id = centre_2").select("key", *[F.col(x).alias(f"{x}2") for x in others])
+    stars = apart.join(second_row, "key").where(f"component <> component2 AND id <> centre AND {possible}")
     done = compared(stars.select(F.least("id", "centre_2").alias("a"), F.greatest("id", "centre_2").alias("b")))
     links = links.unionByName(links_of(done))
     found = materialize(components(links), "neardup_components")
 
     # last: what is still apart, each pair in the first bucket that it shares
-    apart = with_common(_apart(apart.drop("component"), found), done, "centre_2", "d")
+    apart = _apart(apart.drop("component"), found)
     keys = apart.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most BANDS
     apart = materialize(apart.join(keys, "id"), "neardup_open")
-    left = apart.select("key", *[F.col(x).alias(f"{x}2") for x in ("id", "component", "n", "s", "c", "d", "keys")])
+    left = apart.select("key", F.col("id").alias("id2"), F.col("keys").alias("keys2"), *[F.col(x).alias(f"{x}2") for x in others])
     cross = apart.join(left, "key").where(
-        f"id < id2 AND component <> component2 AND {enough('least(s, s2)')} AND {near('c')} AND {near('d')} "
-        "AND id <> centre AND id <> centre_2 AND id2 <> centre AND id2 <> centre_2 AND key = array_min(array_intersect(keys, keys2))"
+        "id < id2 AND component <> component2 AND id <> centre AND id <> centre_2 AND id2 <> centre AND id2 <> centre_2 "
+        f"AND {possible} AND key = array_min(array_intersect(keys, keys2))"
     )
     links = links.unionByName(links_of(compared(cross.select(F.col("id").alias("a"), F.col("id2").alias("b")))))
     final = materialize(components(links), "neardup_components")
