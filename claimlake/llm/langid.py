@@ -234,13 +234,16 @@ def predict(docs: DataFrame, model: Model | None, keep: Sequence[str] = ("doc_id
     """``keep`` columns, lang_pred, score (0 to 1) and ambiguous for every row."""
     schema = T.StructType([docs.schema[c] for c in keep]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # a text that is kept goes to the tasks once
+    sent = list(keep) if "text" in keep else [*keep, "text"]
+    text_at = sent.index("text")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
-                texts = batch.column(len(keep)).to_pylist()
+                texts = batch.column(text_at).to_pylist()
                 n = len(texts)
                 lang, score, ambiguous = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n, bool)
                 known = [i for i, t in enumerate(texts) if m is not None and has_letter(t)]
@@ -251,4 +254,4 @@ def predict(docs: DataFrame, model: Model | None, keep: Sequence[str] = ("doc_id
                 columns = [batch.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(lang, pa.string()), pa.array(score), pa.array(ambiguous)], names=[f.name for f in schema.fields])
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(label, schema)
+    return docs.select(*sent).mapInArrow(label, schema)
