@@ -25,7 +25,7 @@ PRETOKENS = re.compile(
 #: Characters for which the rule above is the tokenizer's rule beyond doubt.
 SIMPLE = re.compile("[\t\n\x0b\x0c\r\x20-\x7e\xa1-\xac\xae-\xff]*")
 #: The memory of one worker is emptied at this number of pre-tokens; it is only a memory.
-MEMORY = 500_000
+MEMORY = 300_000
 
 _loaded: dict[str, Encoder] = {}
 
@@ -58,6 +58,10 @@ class Encoder:
         except KeyError:
             return b"".join([known.get(p) or self._learn(p) for p in parts])
 
+    def forget(self) -> None:
+        """Gives back the memory of pre-tokens."""
+        self.known = {}
+
     def _learn(self, part: str) -> bytes:
         ids = array("I", self.ranks.encode_ordinary(part)).tobytes()
         if len(part) <= 100:

@@ -80,6 +80,7 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str, most: int = 1024, id_co
                 *([pa.array(kept, pa.binary())] if with_ids else []),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+        enc.forget()  # the worker goes on to other work
 
     return docs.select(id_col, "text").mapInArrow(cut, T.StructType(fields))
 
