@@ -2,9 +2,10 @@
 
 Lines are compared as sequences of words (cut at ASCII white space). The edit
 distance counts words inserted, deleted or replaced; lines of ``FUZZY_WORDS`` or
-more are equal within ``BOUND`` = 1 edit, shorter ones only if all words agree,
-and lines of fewer than ``LEAST_WORDS`` words are never removed. A line goes if
-an equal line comes earlier; the earliest stays. Order: document id (null
+more are equal within ``BOUND`` = 1 edit, shorter ones only if all words agree.
+Lines of fewer than ``least_words`` words are never removed: ``LEAST_WORDS`` by
+default; the queries pass 1, so that every line with a word counts. A line goes
+if an equal line comes earlier; the earliest stays. Order: document id (null
 first), a hash of the row, line number.
 
 1. Every distinct line is reduced to a hash with its earliest place.
@@ -61,7 +62,7 @@ def _row() -> Column:
     return F.xxhash64("_id", "text")
 
 
-def _lines(docs: DataFrame, with_keys: bool) -> DataFrame:
+def _lines(docs: DataFrame, with_keys: bool, least_words: int) -> DataFrame:
     """(h, id, row, line, and half keys) of every line that can be removed."""
     schema = T.StructType([T.StructField("h", T.LongType()), docs.schema["_id"], T.StructField("row", T.LongType()), T.StructField("line", T.IntegerType())])
     if with_keys:
@@ -73,7 +74,7 @@ def _lines(docs: DataFrame, with_keys: bool) -> DataFrame:
             for i, text in enumerate(batch.column(2)):
                 for k, x in enumerate(text.as_py().split("\n")):
                     words = x.encode("utf-8", "surrogatepass").split()
-                    if len(words) >= LEAST_WORDS:
+                    if len(words) >= least_words:
                         at.append(i)
                         h.append(_hash(words))
                         line.append(k)
@@ -180,16 +181,18 @@ def near_repeats(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return pairs.select("h", "line_text", "text_2").mapInArrow(verify, "h long")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents with repeated lines taken out of ``text``, and n_lines
-    (lines before) and n_removed (lines taken out)."""
+    (lines before) and n_removed (lines taken out). Lines of fewer than
+    ``least_words`` words stay; empty lines always do."""
+    least_words = max(1, least_words)
     source = docs.select(F.col(id_col).alias("_id"), "text")
     place = F.struct(F.col("_id").alias("id"), "row", "line")
-    firsts = _lines(source, True).groupBy("h").agg(F.min(place).alias("first"), F.first("keys").alias("keys"))
+    firsts = _lines(source, True, least_words).groupBy("h").agg(F.min(place).alias("first"), F.first("keys").alias("keys"))
     firsts = materialize(firsts, "linededup_firsts")
     near = near_repeats(source, firsts).withColumn("near", F.lit(True))
     known = firsts.select("h", "first").join(near, "h", "left")
-    repeats = _lines(source, False).join(known, "h").where(F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first")))
+    repeats = _lines(source, False, least_words).join(known, "h").where(F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first")))
     removed = materialize(repeats.groupBy("row").agg(F.sort_array(F.collect_set("line")).alias("removed")), "linededup_removed")
 
     columns = docs.columns

@@ -152,7 +152,7 @@ def op7_line_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its repeated lines taken out: counts and digest."""
     from claimlake.llm import linededup
 
-    out = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents"), least_words=1)
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     return out.select("doc_id", "n_lines", "n_removed", F.length("text").alias("n_left_chars"), crc.alias("text_crc32"))
 

@@ -61,7 +61,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_own_names
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated lines out; a document with nothing left goes."""
-    found = linededup.dedup_lines(docs)
+    found = linededup.dedup_lines(docs, least_words=1)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return _with_length(found.where(~F.coalesce(emptied, F.lit(False))), F.col("n_removed") > 0).select(docs.columns)
 

@@ -273,6 +273,27 @@ def test_line_dedup_edge_and_empty(spark):
     assert linededup.dedup_lines(edge.empty(spark)).count() == 0
 
 
+def test_short_repeated_lines_go(spark, tmp_path):
+    r = random.Random(6)
+    docs = [(i, "\n".join(" ".join(r.choice("ab") for _ in range(r.randint(0, 6))) for _ in range(r.randint(1, 9)))) for i in range(60)]
+    docs += [(60, "\n".join(["menu"] * 50)), (61, "only here\n\nmenu\n  only   here")]
+    seen, want = set(), {}
+    for i, t in docs:
+        kept = []
+        for x in t.split("\n"):
+            if not x.split() or tuple(x.split()) not in seen:
+                kept.append(x)
+            seen.add(tuple(x.split()))
+        want[i] = "\n".join(kept)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    path = edge.write(spark, df, tmp_path / "short")
+    assert {x.doc_id: x.text_crc32 for x in queries.op7_line_neighbourhood(spark, path).collect()} == {i: zlib.crc32(t.encode()) for i, t in want.items()}
+    import corpus_pipeline
+
+    emptied = {i for i, t in docs if want[i] != t and not want[i].split()}
+    assert {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, df, path).collect()} == {i: t for i, t in want.items() if i not in emptied}
+
+
 # near duplicates
 
 
