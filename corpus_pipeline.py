@@ -7,9 +7,10 @@ rows as Parquet to the shared folder and reads them back for the next one, so
 that a lost executor repeats no earlier stage.
 
 Defined results: a null text has no language and goes in the first stage; rows
-with a null id go through all stages and are never near duplicates; repeated
-rows become one in the third stage; an empty table gives an empty result;
-further columns of ``documents`` are carried to the last stage.
+with a null id go through all stages and are never near duplicates; rows of
+equal id and text become one in the third stage, and different texts of one id
+are documents of their own there; an empty table gives an empty result; further
+columns of ``documents`` are carried to the last stage.
 """
 
 from __future__ import annotations
@@ -68,10 +69,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_own_names
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group (five-word shingles, 0.8)."""
-    kept = neardup.groups(docs, k=5, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    """Keeps one text of each near-duplicate group (five-word shingles, 0.8).
+    Different texts of one id are compared and kept each by itself."""
+    named = docs.where("doc_id IS NOT NULL")
+    h = F.xxhash64("text")
+    several = named.groupBy("doc_id").agg(F.min(h).alias("x"), F.max(h).alias("y")).where("x <> y")
+    # an id with one text is key enough; both keys have the same order then
+    named = named.withColumn("key", F.col("doc_id") if several.isEmpty() else F.struct("doc_id", h.alias("h")))
+    kept = neardup.groups(named, k=5, percent=80, id_col="key").where("kept").select("key").distinct()
+    one = named.join(kept, "key", "left_semi").dropDuplicates(["doc_id", "text"])
+    return one.select(docs.columns).unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 
 @_own_names

@@ -362,3 +362,15 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
     assert sizes["near_dedup"] < sizes["line_dedup"] < sizes["language_id"]
     e = edge.write(spark, edge.empty(spark), tmp_path / "empty")
     assert corpus_pipeline.run(spark, e).count() == 0
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    import corpus_pipeline
+
+    first, second = (t for i, t in edge.TEXTS if i == 14)
+    texts = {(13, first + " copied"), (14, first), (14, second), (15, edge.prose(7, 30)), (15, edge.prose(8, 30))}
+    df = spark.createDataFrame(edge.rows([*texts, (14, second)]), edge.SCHEMA).repartition(3)
+    got = [(x.doc_id, x.text) for x in corpus_pipeline.near_dedup(spark, df, "").collect()]
+    assert sorted(got) == sorted(texts - {(14, first)})
+    got = [x.text for x in corpus_pipeline.near_dedup(spark, edge.docs(spark), "").collect() if x.doc_id == 14]
+    assert sorted(got) == sorted([first, second])
