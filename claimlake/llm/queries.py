@@ -179,3 +179,112 @@ def op3_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = search.top_k(docs, docs.where(F.col("doc_id") % 100 == 0), 10)
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+def _rebuilt(placed: DataFrame) -> DataFrame:
+    """Every conversation's first h turns from the one that ends its hundred
+    (conv_id - conv_id % 100), h = crc32(conv_id) % 6, then its own after its first h."""
+    from claimlake.llm.prefixtrie import STRIDE
+
+    own = placed.groupBy("conv_id").agg(F.count("*").alias("n_own"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    own = own.select("conv_id", "n_own", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 100).alias("base"))
+    lead = placed.where((F.col("conv_id") % 100 == 0) & (F.col("pos") < 5)).withColumnRenamed("conv_id", "base")  # at most five turns
+    heads = own.join(lead, "base").where("pos < h").select("conv_id", "pos", "turn_id", "chars")
+    taken = own.join(lead.groupBy("base").agg(F.count("*").alias("n_base")), "base", "left")
+    taken = taken.withColumn("shift", F.least("h", F.coalesce("n_base", F.lit(0))) - F.col("h"))
+    # a key for every STRIDE turns: one conversation's turns don't meet in one task
+    taken = taken.withColumn("stride", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("n_own") / STRIDE))))
+    tails = placed.withColumn("stride", F.floor(F.col("pos") / STRIDE)).join(taken.select("conv_id", "stride", "h", "shift"), ["conv_id", "stride"])
+    tails = tails.where("pos >= h").select("conv_id", (F.col("pos") + F.col("shift")).alias("pos"), "turn_id", "chars")
+    return heads.unionByName(tails)
+
+
+_OP11_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(struct_pack(r := role, x := text) ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS l FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, l,
+             xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda b: CAST(ord(b) AS BIGINT))),
+                 lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]),
+                     lambda s, i: xor(s >> 1, CASE WHEN s & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT) % 6 AS h
+      FROM o),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.l, [])[1:c.h], c.l[c.h + 1:]) AS l FROM c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, len(l) AS n, unnest(range(0, len(l) + 1)) AS depth, l FROM r),
+n AS (SELECT depth, l[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+             coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '') AS ends
+      FROM p GROUP BY ALL),
+k AS (SELECT u.depth, u.path, u.conv_id, u.n_convs, u.ends, q.conv_id AS parent_conv_id
+      FROM n u LEFT JOIN n q ON q.depth = u.depth - 1 AND q.path = u.path[1:u.depth - 1]),
+g AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM k WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT k.*, coalesce(g.n_children, 0) AS n_children, CASE WHEN k.depth = 0 THEN 0 ELSE (k.n_convs - 1) * length(k.path[k.depth].x) END AS saves
+      FROM k LEFT JOIN g USING (conv_id, depth)),
+a AS (SELECT d AS depth, path[1:d] AS path, CAST(sum(saves) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.depth, m.parent_conv_id, m.n_convs, m.n_children, a.n_leaves, a.saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN a USING (depth, path)
+"""
+
+
+@register(_OP11_SQL)
+def op11_prefix_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    from claimlake.llm import prefixtrie
+
+    turns = table(spark, sf_dir, "conversations")
+    placed = prefixtrie.positions(turns)
+    tree = prefixtrie.trie(_rebuilt(placed), turns.select("conv_id"))
+    digests = prefixtrie.ends_digest(tree.ends)
+    out = tree.nodes.join(digests, ["conv_id", "depth"], "left")
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved_chars").alias("saved_tokens"), F.coalesce("ends_sha256", empty).alias("ends_sha256")
+    )
+
+
+def _op12_sql(rounds: int = 6) -> str:
+    near = "SELECT x.vec_id, x.n, x.label, x.p, x.v, min(CAST(list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS HUGEINT) * 16 + c.k) AS dk FROM x JOIN {book} c ON c.p = x.p GROUP BY ALL"
+    steps = []
+    for i in range(rounds):
+        steps.append(f"a{i} AS MATERIALIZED ({near.format(book=f'c{i}')})")
+        steps.append(
+            f"""s{i} AS (SELECT p, k, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY j) AS v FROM (
+  SELECT p, dk % 16 AS k, j, sum(v[j]) AS s, count(*) AS m FROM (SELECT *, unnest(range(1, len(v) + 1)) AS j FROM a{i}) GROUP BY ALL) GROUP BY p, k)"""
+        )
+        steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c.p, c.k, coalesce(s.v, c.v) AS v FROM c{i} c LEFT JOIN s{i} s ON s.p = c.p AND s.k = c.k)")
+    last = f"c{rounds}"
+    return f"""
+WITH kept AS (SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS n FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+x AS MATERIALIZED (SELECT vec_id, label, n, p, list_transform(embedding[p * len(embedding) // 8 + 1:(p + 1) * len(embedding) // 8], lambda e: CAST(floor(4096 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM kept, (SELECT unnest(range(0, 8)) AS p)),
+c0 AS (SELECT p, n AS k, v FROM x WHERE n < 16),
+{", ".join(steps)},
+f AS ({near.format(book=last)}),
+o AS (SELECT vec_id, n, label, string_agg(printf('%02x', CAST(dk % 16 AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(dk // 16) AS BIGINT) AS error FROM f GROUP BY vec_id, n, label),
+b AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM {last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM o, b
+"""
+
+
+@register(_op12_sql())
+def op12_bounded_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector by codebooks of eight parts after six rounds."""
+    from claimlake.llm import vectorcode
+
+    coded, books = vectorcode.train(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+    out = vectorcode.label_errors(coded)
+    code = F.lower(F.hex("codes")).alias("code")
+    return out.select(F.col("id").alias("vec_id"), code, "error", "label_error", F.lit(vectorcode.books_sha256(books[-1])).alias("codebooks_sha256"))
+
+
+@register()
+def op13_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole document and their bytes, as digests."""
+    import public_tokenizers
+
+    from claimlake.llm import chunkbpe
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = chunkbpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    out = chunkbpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
