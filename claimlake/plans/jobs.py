@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimlake import schemas
 from claimlake.operators import curate, markets, quality, stats
-from claimlake.operators.upsert import upsert
+from claimlake.operators.store import merge_into, read_store
 from claimlake.session import materialize
 from claimlake.sources import io
 
@@ -24,7 +24,9 @@ class RunParams:
     """What a run works on. ``year=None`` processes every year present in the
     claims. ``delivery`` names the delivered dataset; manifests, lookups, silver
     and quarantine are kept apart by it ("" for a single one).
-    ``on_duplicate`` holds for lookups and upserts."""
+    ``on_duplicate`` holds for lookups and
+    merges; ``latest`` names the column that decides between versions of a claim
+    where it is "latest". ``buckets`` shapes gold and quarantine when they are first made."""
 
     base: str
     year: int | None = None
@@ -33,6 +35,17 @@ class RunParams:
     broadcast_max_rows: int | None = 2_000_000
     quantile_method: str = "exact"
     delivery: str = ""
+    latest: str | None = None
+    buckets: int | None = None
+
+    @property
+    def version(self) -> str | None:
+        return self.latest if self.on_duplicate == "latest" else None
+
+    @property
+    def lookup_duplicates(self) -> str:
+        """Lookups have no column that says which row is latest."""
+        return "error" if self.on_duplicate == "latest" else self.on_duplicate
 
     def named(self, dataset: str) -> str:
         return f"{self.delivery}/{dataset}" if self.delivery else dataset
@@ -145,53 +158,61 @@ def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, prod
     return reports
 
 
-def gold_frames(silver: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame, mme: DataFrame,
-                p: RunParams) -> dict[str, DataFrame]:
-    """The gold content per table name (with GOLD_TABLE) plus two reports."""
-    g = markets.gold_input(silver)
-    split = markets.benzo_split(g, benzo_def, p.broadcast_max_rows, p.on_duplicate)
-    enriched = markets.mme_enrich(g, mme, p.broadcast_max_rows, p.on_duplicate)
-    out: dict[str, DataFrame] = {}
-    non = markets.non_opioid_gold(g, p.run_date)
-    for code, table in schemas.NON_OPIOID_MARKETS.items():
-        out[table] = non.where(F.col("MARKET_NAME") == code)
-    out["naloxone"] = markets.naloxone_gold(g, p.run_date)
-    benzo = markets.benzo_gold(split, p.run_date)
-    for code, table in schemas.BENZO_MARKETS.items():
-        out[table] = benzo.where(F.col("MARKET_NAME") == code)
-    rule = markets.prepare_rule(opioid_def, p.broadcast_max_rows, p.on_duplicate)
-    out["buprenorphine"] = markets.buprenorphine_gold(enriched, opioid_def, p.run_date, rule=rule)
-    out["opioid"] = markets.opioid_gold(enriched, opioid_def, p.run_date, rule=rule)
-    out["_unmatched_ndc"] = markets.unmatched_ndc(enriched)
-    out["_unrouted"] = markets.unrouted(g, split, enriched, opioid_def, rule=rule)
-    return out
+def write_markets(spark: SparkSession, silver: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame, mme: DataFrame,
+                  p: RunParams, run: str | None = None) -> DataFrame:
+    """Routes the claims once, stores them, and merges them into the one table
+    that holds all gold tables by (GOLD_TABLE, YEAR, bucket); claims that no
+    table takes go to the quarantine table, and those that a table takes now leave
+    it. Returns the stored routed claims.
+
+    ``run`` names a delivery (a micro-batch): done again, it replaces the rows
+    with NULL keys it added before. With ``p.version`` the order of deliveries doesn't
+    matter: of a claim's versions the latest stays in its gold table, and an
+    unrouted version stays in quarantine until a version as late is routed."""
+    routed = markets.routed(markets.gold_input(silver), benzo_def, opioid_def, mme, p.run_date, p.broadcast_max_rows, p.lookup_duplicates)
+    routed = materialize(routed, "routed")
+    gold = io.layer_path(p.base, "gold", io.GOLD_DATASET)
+    taken = routed.where(F.col("GOLD_TABLE").isNotNull()).drop("REASON")
+    merge_into(spark, taken, gold, schemas.UPSERT_KEYS, ("GOLD_TABLE", "YEAR"), p.buckets, p.on_duplicate, p.version, run, staged=True)
+    left = routed.where(F.col("GOLD_TABLE").isNull()).select(*schemas.QUARANTINE_COLUMNS)
+    if p.version:
+        left = not_superseded(spark, left, gold, p.version)
+    quarantine = io.layer_path(p.base, "quarantine", p.named("claims_unrouted"))
+    # without a run's name the delivery's: a delivery repeated replaces its rows without a key
+    merge_into(spark, left, quarantine, schemas.UPSERT_KEYS, ("YEAR",), p.buckets, "latest" if p.version else "keep", p.version,
+               run or f"{p.delivery}/{p.year}", gone=taken.select(*schemas.UPSERT_KEYS, *([p.version] if p.version else [])), staged=not p.version)
+    return routed
+
+
+def not_superseded(spark: SparkSession, left: DataFrame, gold: str, latest: str) -> DataFrame:
+    """Unrouted claims of which no gold table has a version as late. Gold is read
+    in the years of these claims only."""
+    years = [r[0] for r in left.select("YEAR").distinct().collect()]  # a row per year
+    known = read_store(spark, gold, F.col("YEAR").isin([y for y in years if y is not None]))
+    known = known.groupBy(*schemas.UPSERT_KEYS).agg(F.max(latest).alias("__to")).withColumnsRenamed({c: f"__{c}" for c in schemas.UPSERT_KEYS})
+    same = (left["CLAIM_ID"] == known["__CLAIM_ID"]) & (left["YEAR"] == known["__YEAR"])
+    return left.join(known, same & (left[latest].isNull() | (left[latest] <= known["__to"])), "left_anti")
 
 
 def gold_job(spark: SparkSession, silver: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame, mme: DataFrame,
-             p: RunParams) -> dict[str, DataFrame]:
-    """L10-L15: upsert every gold table (one write per table, each reading
-    only its market's silver folders), quarantine the claims no table takes,
-    and return the yearly totals read back from gold (L17)."""
-    frames = gold_frames(_year(silver, p.year), benzo_def, opioid_def, mme, p)
-    totals = []
-    for table in schemas.GOLD_MARKETS:
-        path = io.layer_path(p.base, "gold", table)
-        # the frame is a partition-pruned read of stored silver + broadcast lookups: no staging
-        source = frames[table].drop("GOLD_TABLE")
-        upsert(spark, source, path, schemas.UPSERT_KEYS, "YEAR", p.on_duplicate, stage_source=False)
-        totals.append(io.read_gold(spark, p.base, table, schema=source.schema).groupBy("YEAR").count()
-                      .select(F.lit(table).alias("GOLD_TABLE"), "YEAR", "count"))
-    years = [p.year] if p.year is not None else [r[0] for r in silver.select("YEAR").distinct().collect()]  # a row per year
-    io.write_year(frames["_unrouted"], p.base, "quarantine", p.named("claims_unrouted"), years=years)
-    out = {"unmatched_ndc": frames["_unmatched_ndc"]}
+             p: RunParams, run: str | None = None) -> dict[str, DataFrame]:
+    """L10-L15: every gold table and the quarantine in one routed write; returns
+    the opioid NDCs without MME attributes and the yearly totals read back from
+    gold (L17)."""
+    routed = write_markets(spark, _year(silver, p.year), benzo_def, opioid_def, mme, p, run)
+    opioid = routed.where(F.col("GOLD_TABLE").isin(list(schemas.OPIOID_MARKETS.values())) | (F.col("REASON") == "no_market_definition"))
+    out = {"unmatched_ndc": markets.unmatched_ndc(opioid.withColumn("MERGED", F.col("PRODNME").isNotNull().cast("int")))}
     io.export_csv(out["unmatched_ndc"], f"{p.base.rstrip('/')}/gold_exports/{p.named('unmatched_ndc')}/run={p.year or 'all'}", ())
-    year_totals = totals[0]
-    for t in totals[1:]:
-        year_totals = year_totals.unionByName(t)
-    out["year_totals"] = year_totals
+    stored = read_store(spark, io.layer_path(p.base, "gold", io.GOLD_DATASET))
+    out["year_totals"] = stored.groupBy("GOLD_TABLE", "YEAR").count()
     return out
 
 
+def read_quarantine(spark: SparkSession, p: RunParams) -> DataFrame:
+    """Claims that no gold table has taken, with the reason."""
+    return read_store(spark, io.layer_path(p.base, "quarantine", p.named("claims_unrouted")))
+
+
 def export_job(spark: SparkSession, p: RunParams, sink: str, tables: list[str] | None = None,
                single_file: bool = False, profile: str = "full") -> list[str]:
     """L16: CSV export of gold tables (a year or all), one folder per YEAR;

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from claimlake import schemas
 from claimlake.functions.codes import normalize_code, null_label
 from claimlake.operators import clean, curate, markets, quality, relate, stats
+from claimlake.operators.store import merge_into, read_store
 from claimlake.operators.upsert import upsert
 from claimlake.plans.oracle import RUN_DATE, STATES, norm, with_views
 from claimlake.session import shared_path
@@ -778,34 +779,110 @@ def q_upsert_duplicates(spark, sf):
     return stored.groupBy("YEAR").agg(F.count(F.lit(1)).alias("n_claims"), F.max("DISPENSE_DATE").alias("last_dispense"), F.min("DISPENSE_DATE").alias("first_dispense"))
 
 
-def queries() -> dict[str, QueryFn]:
-    return {k: fn for k, (fn, _) in QUERIES.items()}
+# ---------------------------------------------------------------- keyed store
+_SMALL_DELTA_SQL = with_views("""
+, t1 as (select *, '2024-01-01' as UPDATE_DATE from claims),
+s2 as (select *, '2024-02-01' as UPDATE_DATE from claims where MONTH_ID = 199506)
+select * from t1 where not exists (select 1 from s2 where s2.CLAIM_ID = t1.CLAIM_ID and s2.YEAR = t1.YEAR)
+union all select * from s2""", "claims")
 
 
-def oracle_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in QUERIES.items() if sql is not None}
+@register("q_upsert_small_delta", _SMALL_DELTA_SQL)
+def q_upsert_small_delta(spark, sf):
+    """All claims in a bucketed table, then one month delivered again: only its claims' buckets are read and written."""
+    path = shared_path(spark, "q_small_delta")
+    c = cv.claims(spark, sf)
+    for rows, date in ((c, "2024-01-01"), (c.where("MONTH_ID = 199506"), "2024-02-01")):
+        merge_into(spark, clean.stamp(rows, date), path, buckets=8, on_duplicate="keep")  # the view repeats some keys
+    return read_store(spark, path)
+
+
+def _store_select(columns: list[str], table: str, source: str, market: str = "MARKET_NAME") -> str:
+    """Columns of the one gold table; those that a market lacks are NULL."""
+    src = {"INGESTION_DATE": "ingestion_date", "MARKET_NAME": market}
+    types = {"STRENGTH_PER_UNIT": "double", "MME_CONVERSION_FACTOR": "double", "MOUD": "integer"}
+    cols = [f"{src.get(c, c)} as {c}" if c in columns else f"cast(null as {types.get(c, 'varchar')}) as {c}" for c in schemas.OPIOID_GOLD_COLUMNS]
+    return f"select {', '.join(cols)}, '{RUN_DATE}' as UPDATE_DATE, {table} as GOLD_TABLE from {source}"
+
+
+def _desc(columns: list[str]) -> str:
+    return ", ".join(f"{c} desc nulls last" for c in columns)
+
+
+_RESOLVED_SQL = f"""
+, b as (select s.* exclude (MARKET_NAME), f.BENZO_FLAG as MARKET_NAME
+        from silver s left join {_BENZO_FLAG_SQL} f on s.NDC = f.NDC where s.MARKET_NAME = 'B'),
+o as (select s.* exclude (MARKET_NAME), m.* exclude (NDC, NDC_Numeric), r.MARKET_NAME, case when r.MARKET_NAME = 'O' then r.MOUD end as MOUD
+      from silver s left join mme m on s.NDC = m.NDC left join {_RULE_SQL} r on s.NDC = r.NDC where s.MARKET_NAME = 'O'),
+routed as (
+  {_store_select(schemas.NON_OPIOID_GOLD_COLUMNS, _case_sql('MARKET_NAME', schemas.NON_OPIOID_MARKETS), "silver where MARKET_NAME in ('A', 'G', 'M', 'P', 'S', 'T')")}
+  union all {_store_select(schemas.OPIOID_FILE_GOLD_COLUMNS, "'naloxone'", "silver where MARKET_NAME = 'N'")}
+  union all {_store_select(schemas.OPIOID_FILE_GOLD_COLUMNS, _case_sql('MARKET_NAME', schemas.BENZO_MARKETS), 'b where MARKET_NAME is not null')}
+  union all {_store_select(schemas.OPIOID_GOLD_COLUMNS, _case_sql('MARKET_NAME', schemas.OPIOID_MARKETS), 'o where MARKET_NAME is not null')}),
+gold as (select * from routed qualify row_number() over (partition by GOLD_TABLE, CLAIM_ID, YEAR
+  order by {_desc(['DISPENSE_DATE', *[c for c in schemas.GOLD_STORE_COLUMNS if c not in ('CLAIM_ID', 'YEAR', 'DISPENSE_DATE')]])}) = 1),
+unrouted as (
+  select CLAIM_ID, YEAR, PATIENT_ID, NDC, 'B' as MARKET_NAME, DISPENSE_DATE, 'no_benzo_flag' as REASON from b where MARKET_NAME is null
+  union all select CLAIM_ID, YEAR, PATIENT_ID, NDC, 'O', DISPENSE_DATE, 'no_market_definition' from o where MARKET_NAME is null),
+quarantine as (select * from unrouted u where not exists (
+    select 1 from gold g where g.CLAIM_ID = u.CLAIM_ID and g.YEAR = u.YEAR and g.DISPENSE_DATE >= u.DISPENSE_DATE)
+  qualify row_number() over (partition by CLAIM_ID, YEAR order by {_desc(['DISPENSE_DATE', 'PATIENT_ID', 'NDC', 'MARKET_NAME', 'REASON'])}) = 1)"""
+
+
+def _gold_run(spark, sf, base: str, streamed: bool):
+    """All gold tables and the quarantine of the claims, versions of a claim resolved by DISPENSE_DATE."""
+    from claimlake.plans.jobs import RunParams, gold_job
+    p = RunParams(base=base, run_date=RUN_DATE, on_duplicate="latest", latest="DISPENSE_DATE")
+    lookups = (cv.benzo_def(spark, sf), cv.opioid_def(spark, sf), cv.mme(spark, sf))
+    if not streamed:
+        io.write_layer(_silver(spark, sf), base, "silver", "claims", ("YEAR", "MARKET_NAME"))
+        gold_job(spark, io.read_layer(spark, base, "silver", "claims"), *lookups, p)
+        return p
+    from claimlake.streaming import incremental
+    # files as they come: a claim's versions lie in several files, so in several micro-batches
+    cv.claims_bronze(spark, sf).repartition(12).write.parquet(f"{base}/landing")
+    query = incremental.start(spark, f"{base}/landing", f"{base}/_checkpoint", _patients(spark, sf), _products(spark, sf),
+                              *lookups, p, available_now=True, max_files_per_trigger=4)
+    query.awaitTermination()
+    return p
+
+
+def _gold_rows(spark, p):
+    from claimlake.plans.jobs import read_quarantine
+    gold = read_store(spark, io.layer_path(p.base, "gold", io.GOLD_DATASET))
+    return gold.unionByName(read_quarantine(spark, p), allowMissingColumns=True)
+
+
+_GOLD_ROWS_SQL = with_views(_RESOLVED_SQL + """
+select *, cast(null as varchar) as REASON from gold
+union all by name select * from quarantine""", "silver", "benzo_def", "opioid_def", "mme")
+
+
+@register("q_gold_rows", _GOLD_ROWS_SQL)
+def q_gold_rows(spark, sf):
+    """Every row of the eleven gold tables and of the quarantine (GOLD_TABLE NULL) after a batch run."""
+    return _gold_rows(spark, _gold_run(spark, sf, shared_path(spark, "q_gold_rows"), streamed=False))
 
 
 # ---------------------------------------------------------------- streaming
-@register("q_stream_gold_totals", _YEAR_TOTALS_SQL)
+@register("q_stream_gold_totals", with_views(_RESOLVED_SQL + """
+select GOLD_TABLE, YEAR, count(*) as count from gold group by GOLD_TABLE, YEAR""", "silver", "benzo_def", "opioid_def", "mme"))
 def q_stream_gold_totals(spark, sf):
-    """Incremental load: the bronze claims land as files (one file per year
-    group), a Structured Streaming query upserts every micro-batch into
-    gold; the gold totals must equal the batch run's."""
-    from claimlake.plans.jobs import RunParams
-    from claimlake.streaming import incremental
-    base = shared_path(spark, "q_stream")
-    landing = f"{base}/landing"
-    # one key never spans two files (so one micro-batch); a hot year spreads over many files
-    cv.claims_bronze(spark, sf).repartition("YEAR", "CLAIM_ID").write.parquet(landing)
-    p = RunParams(base=base, run_date=RUN_DATE, on_duplicate="keep")  # the views repeat some keys
-    query = incremental.start(spark, landing, f"{base}/_checkpoint", _patients(spark, sf), _products(spark, sf),
-                              cv.benzo_def(spark, sf), cv.opioid_def(spark, sf), cv.mme(spark, sf), p,
-                              available_now=True, max_files_per_trigger=4)
-    query.awaitTermination()
-    totals = None
-    for table in schemas.GOLD_MARKETS:
-        t = io.read_gold(spark, base, table).groupBy("YEAR").count().select(
-            F.lit(table).alias("GOLD_TABLE"), "YEAR", "count")
-        totals = t if totals is None else totals.unionByName(t)
-    return totals
+    """Incremental load: the bronze claims land as files, a Structured Streaming
+    query merges every micro-batch into gold; rows by table and YEAR."""
+    p = _gold_run(spark, sf, shared_path(spark, "q_stream"), streamed=True)
+    return read_store(spark, io.layer_path(p.base, "gold", io.GOLD_DATASET)).groupBy("GOLD_TABLE", "YEAR").count()
+
+
+@register("q_stream_gold_rows", _GOLD_ROWS_SQL)
+def q_stream_gold_rows(spark, sf):
+    """Every row of gold and quarantine after the incremental load: the batch run's rows."""
+    return _gold_rows(spark, _gold_run(spark, sf, shared_path(spark, "q_stream_rows"), streamed=True))
+
+
+def queries() -> dict[str, QueryFn]:
+    return {k: fn for k, (fn, _) in QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: sql for k, (_, sql) in QUERIES.items() if sql is not None}

@@ -141,4 +141,14 @@ OPIOID_GOLD_COLUMNS = (
     _GOLD_HEAD + ["PAT_DX_AVAIL_FLAG"] + PRODUCT_COLUMNS + MME_COLUMNS + ["MOUD", "INGESTION_DATE"]
 )  # 43
 
+# The columns of each gold table, and those of the one stored table that holds all of them.
+GOLD_COLUMNS = {
+    **{t: NON_OPIOID_GOLD_COLUMNS for t in NON_OPIOID_MARKETS.values()},
+    **{t: OPIOID_FILE_GOLD_COLUMNS for t in ["naloxone", *BENZO_MARKETS.values()]},
+    "buprenorphine": BUPRENORPHINE_GOLD_COLUMNS,
+    "opioid": OPIOID_GOLD_COLUMNS,
+}
+GOLD_STORE_COLUMNS = [*OPIOID_GOLD_COLUMNS, "UPDATE_DATE"]
+QUARANTINE_COLUMNS = ["CLAIM_ID", "YEAR", "PATIENT_ID", "NDC", "MARKET_NAME", "DISPENSE_DATE", "REASON"]
+
 UPSERT_KEYS = ["CLAIM_ID", "YEAR"]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from claimlake import schemas
 from claimlake.functions.codes import remove_thousands
+from claimlake.operators.store import read_store
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -35,9 +36,16 @@ def read_layer(spark: SparkSession, base: str, layer: str, dataset: str, year: i
     return df.where(F.col("YEAR") == year) if year is not None else df
 
 
-def read_gold(spark: SparkSession, base: str, market: str, year: int | None = None,
-              schema: T.StructType | None = None) -> DataFrame:
-    return read_layer(spark, base, "gold", market, year, schema)
+GOLD_DATASET = "markets"
+
+
+def read_gold(spark: SparkSession, base: str, market: str, year: int | None = None) -> DataFrame:
+    """A gold table, with its own columns. All of them lie in one stored table,
+    by GOLD_TABLE and YEAR; only the folders asked for are read."""
+    wanted = F.col("GOLD_TABLE") == market
+    if year is not None:
+        wanted &= F.col("YEAR") == year
+    return read_store(spark, layer_path(base, "gold", GOLD_DATASET), wanted).select(*schemas.GOLD_COLUMNS[market], "UPDATE_DATE")
 
 
 def _same_schema(df: DataFrame, path: str) -> None:

@@ -2,11 +2,12 @@
 
 New claims files land in a folder (one delivery at a time). Each micro-batch
 is cleaned with the batch functions (lookup joins, filters, NDC repair),
-split into markets and upserted into the gold tables. Because the upsert
-replaces rows by key, replaying a micro-batch after a failure (the
-``foreachBatch`` recovery contract) leaves the same gold tables, if no key
-comes twice in a batch (``on_duplicate="error"`` raises on one). Lookups are static DataFrames joined to
-each micro-batch.
+split into markets and merged into the gold tables by key. A micro-batch done
+again after a failure (the ``foreachBatch`` recovery contract) leaves the same
+tables: merged rows replace themselves, and rows with a NULL in their key lie in
+folders of their micro-batch. With ``p.latest`` the same claim may come in several
+files and in any order; ``on_duplicate="error"`` raises on a key that comes twice
+in a batch. Lookups are static DataFrames joined to each micro-batch.
 """
 
 from __future__ import annotations
@@ -17,10 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from claimlake import schemas
 from claimlake.operators import curate
 from claimlake.operators.clean import cast_types
-from claimlake.operators.upsert import upsert
-from claimlake.plans.jobs import RunParams, gold_frames
+from claimlake.plans.jobs import RunParams, write_markets
 from claimlake.session import materialize
-from claimlake.sources import io
 
 
 def claims_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
@@ -35,21 +34,15 @@ def claims_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
 
 
 def upsert_batch(batch: DataFrame, patients: DataFrame, products: DataFrame, benzo_def: DataFrame,
-                 opioid_def: DataFrame, mme: DataFrame, p: RunParams) -> None:
-    """One delivery: silver cleaning, market split, upsert of every gold table."""
-    spark = batch.sparkSession
+                 opioid_def: DataFrame, mme: DataFrame, p: RunParams, run: str | None = None) -> None:
+    """One delivery: silver cleaning, then all gold tables and the quarantine in
+    one routed write, as in a batch run. ``run`` names the delivery."""
     silver = curate.claims_silver(batch, patients, products, broadcast_max_rows=p.broadcast_max_rows,
-                                  on_duplicate=p.on_duplicate)
-    # Staged once in the shared folder so the eleven market frames read it
-    # instead of re-joining the batch (and a retry restarts from the files).
+                                  on_duplicate=p.lookup_duplicates)
+    # Stored once in the shared folder: every market reads its claims from there
+    # instead of joining the batch again (and a retry restarts from the files).
     staged = materialize(silver, "stream-batch")
-    frames = gold_frames(staged, benzo_def, opioid_def, mme, p)
-    for table in schemas.GOLD_MARKETS:
-        upsert(spark, frames[table].drop("GOLD_TABLE"), io.layer_path(p.base, "gold", table),
-               schemas.UPSERT_KEYS, "YEAR", p.on_duplicate, stage_source=False)
-    # claims that no gold table takes are kept, by the same keys, as the batch run keeps them
-    upsert(spark, frames["_unrouted"], io.layer_path(p.base, "quarantine", p.named("claims_unrouted")),
-           schemas.UPSERT_KEYS, "YEAR", "keep", stage_source=False)
+    write_markets(batch.sparkSession, staged, benzo_def, opioid_def, mme, p, run)
 
 
 def start(spark: SparkSession, landing: str, checkpoint: str, patients: DataFrame, products: DataFrame,
@@ -63,6 +56,6 @@ def start(spark: SparkSession, landing: str, checkpoint: str, patients: DataFram
         materialize(df, "stream-lookup") for df in (patients, products, benzo_def, opioid_def, mme))
     stream = claims_stream(spark, landing, max_files_per_trigger, as_text)
     writer = (stream.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, _id: upsert_batch(df, patients, products, benzo_def, opioid_def, mme, p)))
+              .foreachBatch(lambda df, n: upsert_batch(df, patients, products, benzo_def, opioid_def, mme, p, f"{checkpoint}/{n}")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

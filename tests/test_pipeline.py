@@ -27,7 +27,7 @@ def test_pipeline_twice_gives_same_gold(spark):
     second = rows(jobs.gold_job(spark, silver, *look, p)["year_totals"])
     assert first == second
     assert snapshot == {t: rows(io.read_gold(spark, base, t)) for t in schemas.GOLD_MARKETS}
-    quarantined = io.read_layer(spark, base, "quarantine", "claims_unrouted").count()
+    quarantined = jobs.read_quarantine(spark, p).count()
     routed = sum(c for _, _, c in first)
     assert routed + quarantined == silver.count()
     paths = jobs.export_job(spark, p, f"{base}/exports", tables=["naloxone"])
