@@ -104,8 +104,10 @@ def exchanged_replies(turns: DataFrame, pools: int) -> DataFrame:
     """Preference pairs from recorded conversations: the conversation itself is
     chosen; rejected is the same conversation with its last reply exchanged for
     the last reply of another one, the next in its pool by id (the last takes
-    the first's). Conversations without a reply give no pair, and neither does
-    one that is alone in its pool. Pools are dealt by a hash of the id."""
+    the first's). Every conversation with a reply gives one pair: one that is alone
+    in its pool takes the reply of the first conversation of all, or of the
+    second if it is the first itself, and an empty one if there is no other.
+    Conversations without a reply give none. Pools are dealt by a hash of the id."""
     pool = F.pmod(F.xxhash64("conv_id"), F.lit(pools)).alias("pool")
     # one exchange by pool serves both the gathering and the window
     dealt = turns.select("conv_id", "turn", "role", "text", pool).where("conv_id IS NOT NULL").repartition("pool")
@@ -114,6 +116,24 @@ def exchanged_replies(turns: DataFrame, pools: int) -> DataFrame:
     w = Window.partitionBy("pool").orderBy("conv_id")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     convs = convs.withColumns({"next": F.lead("reply").over(w), "first": F.first("reply").over(whole), "n": F.count(F.lit(1)).over(whole)})
-    other = F.coalesce("next", "first")
-    swapped = F.transform("turns", lambda t, i: F.when(i == F.col("at"), F.struct(t["turn"].alias("turn"), t["role"].alias("role"), other.alias("text"))).otherwise(t))
-    return convs.where("n > 1").select("conv_id", F.col("turns").alias("chosen_turns"), swapped.alias("rejected_turns"))
+    lone = F.when(F.get("ends", F.lit(0)) != F.col("conv_id"), F.get("replies", F.lit(0))).otherwise(F.get("replies", F.lit(1)))
+    other = F.when(F.col("n") > 1, F.coalesce("next", "first")).otherwise(F.coalesce(lone, F.lit("")))
+    swapped = F.transform("turns", lambda t, i: F.when(i == F.col("at"), F.struct(t["turn"].alias("turn"), t["role"].alias("role"), F.col("other").alias("text"))).otherwise(t))
+    # the replies of two conversations, one row
+    two = with_reply(turns).groupBy().agg(F.min("conv_id").alias("a")).select("a")
+    two = with_reply(turns).join(F.broadcast(two)).groupBy().agg(F.first("a").alias("a"), F.min(F.when(F.col("conv_id") > F.col("a"), F.col("conv_id"))).alias("b"))
+    ends = conversations(turns.join(F.broadcast(two), (F.col("conv_id") == F.col("a")) | (F.col("conv_id") == F.col("b"))).drop("a", "b"))
+    ends = ends.withColumn("reply", F.get("turns", last_reply(F.col("turns")))["text"])
+    ends = ends.agg(F.sort_array(F.collect_list(F.struct("conv_id", "reply"))).alias("e")).select(F.col("e")["conv_id"].alias("ends"), F.col("e")["reply"].alias("replies"))
+    convs = convs.join(F.broadcast(ends)).withColumn("other", other)
+    return convs.select("conv_id", F.col("turns").alias("chosen_turns"), swapped.alias("rejected_turns"))
+
+
+def with_reply(turns: DataFrame) -> DataFrame:
+    """The rows (conv_id) of assistant turns."""
+    return turns.where(F.col("conv_id").isNotNull() & (F.col("role") == "assistant")).select("conv_id")
+
+
+def pools_for(turns: DataFrame) -> int:
+    """So many pools that one holds about ``POOL`` conversations with a reply."""
+    return max(1, with_reply(turns).agg(F.count_distinct("conv_id")).first()[0] // POOL)

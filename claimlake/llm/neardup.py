@@ -306,7 +306,9 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
     open_ids = apart.select("id").distinct()
     own = _own_shingles(texts.join(open_ids, "id", "left_semi"), k)
     size = sigs.groupBy("id").agg(F.max("n_shingles").alias("n"))
-    size = size.join(open_ids, "id", "left_semi").join(own, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("s"))
+    # sizes bound what one set can share; an id with several texts has several sets, so nothing is known of it
+    size = size.join(open_ids, "id", "left_semi").join(own, "id", "left").join(several.withColumn("many", F.lit(True)), "id", "left")
+    size = size.select("id", F.when(F.col("many").isNull(), F.col("n")).alias("n"), F.when(F.col("many").isNull(), F.col("n") - F.coalesce("own", F.lit(0))).alias("s"))
     # what is known of each member and its bucket's centre; ids with several texts are left unknown
     known = done.groupBy(F.col("a").alias("centre"), F.col("b").alias("id")).agg(F.count(F.lit(1)).alias("texts"), *[F.first(c).alias(c) for c in ("size_a", "common", "diff")])
     known = known.where("texts = 1").drop("texts")
@@ -324,7 +326,7 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id
     # what two sets have in common is at most the smaller s; and it follows exactly
     # from how each of them differs from the centre, where that is known
     enough = lambda common: f"{100 + percent} * ({common}) >= {percent} * (n + n2)"
-    possible = f"{enough('least(s, s2)')} AND coalesce({enough('common + common2 - size_a + size(array_intersect(diff, diff2))')}, true)"
+    possible = f"coalesce({enough('least(s, s2)')}, true) AND coalesce({enough('common + common2 - size_a + size(array_intersect(diff, diff2))')}, true)"
     others = ("component", "n", "s", "common", "diff")
     second_row = apart.where("id = centre_2").select("key", *[F.col(x).alias(f"{x}2") for x in others])
     stars = apart.join(second_row, "key").where(f"component <> component2 AND id <> centre AND {possible}")

@@ -112,8 +112,7 @@ def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlake.llm import chat
 
     turns = table(spark, sf_dir, "conversations")
-    pools = max(1, turns.count() // (4 * chat.POOL))  # a row count of the files; about four turns make a conversation
-    out = chat.preferences(chat.exchanged_replies(turns, pools))
+    out = chat.preferences(chat.exchanged_replies(turns, chat.pools_for(turns)))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
     return out.select("conv_id", "n_common", "prompt", "chosen", spans("chosen_mask"), "rejected", spans("rejected_mask"))
 
