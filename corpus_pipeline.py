@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 from claimlake.llm import langid, linededup, neardup, packing, secrets
 from claimlake.session import materialize
 
-#: An ambiguous text goes only if no language has this score.
-LEAST_SCORE = 0.3
-
 
 def _with_length(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     """``n_chars`` follows the text where a stage has changed it."""
@@ -51,11 +48,14 @@ def _own_names(stage: Callable) -> Callable:
 
 @_own_names
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a language: null, without a letter, or ambiguous
-    with no likely language."""
+    """Rejects texts without a language: null, without a letter, or ambiguous (the
+    two nearest languages' distances are within a margin, whatever their number).
+    Where no row has a language to learn from, every text with a letter stays."""
     model = langid.fit(langid.labelled(docs))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = langid.predict(docs, model, keep=docs.columns)
-    rejected = (F.col("lang_pred") == langid.UNKNOWN) | (F.col("ambiguous") & (F.col("score") < LEAST_SCORE))
+    rejected = (F.col("lang_pred") == langid.UNKNOWN) | F.col("ambiguous")
     return found.where(~rejected).select(docs.columns)
 
 
