@@ -26,6 +26,18 @@ def cast_rejects(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFr
     return df.agg(*aggs)
 
 
+def rejected_cells(df: DataFrame, types: Mapping[str, T.DataType | str], keys: Iterable[str], table: str) -> DataFrame:
+    """(table, keys, column_name, raw_value): every value that a cast turns into
+    NULL, in one pass over the rows and without a shuffle."""
+    cells = [
+        F.when(F.col(c).isNotNull() & safe_cast(c, t).isNull(), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("raw_value")))
+        for c, t in types.items()
+        if c in df.columns
+    ]
+    found = F.explode(F.array_compact(F.array(*cells))).alias("cell")
+    return df.select(F.lit(table).alias("table_name"), *keys, found).select("table_name", *keys, "cell.column_name", "cell.raw_value")
+
+
 def exclude_value(df: DataFrame, c: str, value, keep_null: bool = True) -> DataFrame:
     """Drop rows equal to ``value``; NULL rows stay unless ``keep_null`` is False."""
     cond = differs_or_null(c, value) if keep_null else (F.col(c) != F.lit(value))

@@ -147,6 +147,51 @@ def valid_values(df: DataFrame, c: str, allowed: Iterable | None = None) -> Data
     return out
 
 
+def frequencies(df: DataFrame, sections: Mapping[str, Column]) -> DataFrame:
+    """(section, value, count) of several expressions from one aggregation (a
+    grouping set for each): every value that occurs, as text, NULL too."""
+    names = list(sections)
+    text = df.select(*[e.cast("string").alias(f"s{i}") for i, e in enumerate(sections.values())])
+    columns = text.columns
+    sets = text.groupingSets([[c] for c in columns], *columns).agg(F.count(F.lit(1)).alias("count"), F.grouping_id().alias("g"))
+    section, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, c in enumerate(columns):
+        # the bits of the columns that are not in the set are 1, the first column's is the highest
+        here = F.col("g") == ((1 << len(columns)) - 1) ^ (1 << (len(columns) - 1 - i))
+        section, value = F.when(here, F.lit(names[i])).otherwise(section), F.when(here, F.col(c)).otherwise(value)
+    return sets.select(section.alias("section"), value.alias("value"), "count")
+
+
+def value_domains(df: DataFrame, domains: Mapping[str, Iterable[str]]) -> DataFrame:
+    """(column_name, value, count, is_valid) of several columns in one pass, and
+    whether each value is among the column's declared ones (NULL never is)."""
+    found = frequencies(df, {c: F.col(c) for c in domains})
+    valid = F.lit(False)
+    for c, allowed in domains.items():
+        valid = F.when(F.col("section") == c, F.coalesce(F.col("value").isin(list(allowed)), F.lit(False))).otherwise(valid)
+    return found.select(F.col("section").alias("column_name"), "value", "count", valid.alias("is_valid"))
+
+
+def checks(df: DataFrame, rules: Mapping[str, tuple[str, Column, int]]) -> DataFrame:
+    """(name, severity, value, verdict) of ``{name: (severity, predicate, most)}``: the
+    rows that meet the predicate, counted for all rules in one pass, and ``ok`` if
+    they are at most ``most``, else ``failed``."""
+    counted = df.agg(*[F.count_if(p).alias(n) for n, (_, p, _) in rules.items()])
+    each = [
+        F.struct(F.lit(n).alias("name"), F.lit(severity).alias("severity"), F.col(n).alias("value"), F.when(F.col(n) <= most, F.lit("ok")).otherwise(F.lit("failed")).alias("verdict"))
+        for n, (severity, _, most) in rules.items()
+    ]
+    return counted.select(F.inline(F.array(*each)))
+
+
+def gate(found: DataFrame, strict: bool) -> None:
+    """Raises in a strict run if a check of severity ``error`` has failed."""
+    if strict:
+        failed = found.where("severity = 'error' AND verdict = 'failed'").collect()  # a row per rule at most
+        if failed:
+            raise ValueError("checks failed: " + ", ".join(f"{r['name']} ({r['value']} rows)" for r in failed))
+
+
 def length_violations(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
     """One row: per column, values whose length is not the expected width
     (NULL values are not counted)."""

@@ -20,6 +20,7 @@ value whose cumulative share reaches p. Three methods:
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -126,7 +127,11 @@ def _exact(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[s
         # Sketch of the current candidates of every open target (bounded size per group).
         sk = (_join_groups(data, todo, gcols, small).where(in_old)
               .groupBy(*keys).agg(F.percentile_approx("__v", pct, accuracy).alias("__grid")))
-        bounds = _narrow(todo.join(sk, keys), grid, accuracy).drop("__grid", "__n", "__done")
+        # null-safe: rows without a group are a group
+        sk = sk.withColumnsRenamed({x: f"__o_{x}" for x in keys})
+        met = functools.reduce(lambda a, b: a & b, [todo[x].eqNullSafe(sk[f"__o_{x}"]) for x in keys])
+        both = todo.join(sk, met).drop(*[f"__o_{x}" for x in keys])
+        bounds = _narrow(both, grid, accuracy).drop("__grid", "__n", "__done")
         # Count below / inside / on each end of the narrower bracket.
         v = F.col("__v")
         inside = _in_bracket("__lo2", "__hi2", "__lox2", "__hix2")
@@ -159,11 +164,15 @@ def _exact(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[s
         raise RuntimeError(f"quantile selection did not finish in {MAX_ROUNDS} rounds")
     bounds = state.select(*keys, "__k", "__n", "__lo", "__hi", "__lox", "__hix", "__done")
     done = bounds.where(F.col("__done")).select(*keys, F.col("__lo").alias("__q"))
-    few = bounds.where(~F.col("__done"))
+    # One ranked pass serves all targets that share a bracket (at first, the whole group).
+    ends = ["__lo", "__hi", "__lox", "__hix"]
+    few = (bounds.where(~F.col("__done")).groupBy(*gcols, *ends)
+           .agg(F.collect_list(F.struct("__t", "__k")).alias("__wanted"), F.min("__t").alias("__bracket")))
     cand = _join_groups(data, few, gcols, small).where(in_old)
-    w = Window.partitionBy(*keys).orderBy("__v")
-    ranked = (cand.withColumn("__rn", F.row_number().over(w))
-              .where(F.col("__rn") == F.col("__k")).select(*keys, F.col("__v").alias("__q")))
+    w = Window.partitionBy(*gcols, "__bracket").orderBy("__v")
+    hits = F.filter("__wanted", lambda x: x["__k"] == F.col("__rn"))
+    ranked = (cand.withColumn("__rn", F.row_number().over(w)).withColumn("__hit", F.explode(hits))
+              .select(*gcols, F.col("__hit.__t").alias("__t"), F.col("__v").alias("__q")))
     long = ranked.unionByName(done)
     wide = long.groupBy(*gcols).pivot("__t", list(probs)).agg(F.first("__q"))
     return wide.drop("__g") if not by else wide
@@ -262,3 +271,38 @@ def robust_summary(df: DataFrame, value: str, group: str, method: str = "exact",
         group, "total_observations", "min", "median", "mean", "stddev", "max", "count_outliers",
         ratio_pct("count_outliers", "total_observations").alias("percentage_outliers"),
     )
+
+
+def robust_summaries(df: DataFrame, values: Sequence[str], group: str, method: str = "exact",
+                     materialized: bool = False, **kw) -> DataFrame:
+    """:func:`robust_summary` of several measures at once, one row per
+    ``measure`` and group (min and max as doubles), stored in the shared folder.
+
+    The measures, and the global and group quantiles of each, are groups of
+    one unpivoted frame, so counting, narrowing and ranking are shared: the number of
+    passes doesn't grow with measures or targets."""
+    values = list(values)
+    df = _narrowed(df, [group, *values], materialized)
+    cell = lambda v, whole: F.struct(F.lit(v).alias("measure"), F.lit(whole).alias("whole"), F.col(v).cast("double").alias("v"))
+    long = df.select(group, F.explode(F.array(*[cell(v, whole) for v in values for whole in (True, False)])).alias("c"))
+    long = long.select("c.measure", "c.whole", F.when(~F.col("c.whole"), F.col(group)).alias(group), F.col("c.v").alias("v"))
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    # a row per measure and group
+    found = materialize(quantiles(long, "v", probs, by=["measure", "whole", group], method=method, **kw), "quantiles")
+    fences = {r["measure"]: r for r in found.where("whole").collect()}  # a row per measure
+    aggs = []
+    for v in values:
+        c = F.col(v).cast("double")
+        f = fences.get(v)
+        spread = None if f is None else IQR_FACTOR * (f["q3"] - f["q1"])
+        outside = F.lit(False) if f is None else (c < f["q1"] - spread) | (c > f["q3"] + spread)
+        aggs.append(F.struct(
+            F.lit(v).alias("measure"), F.count(c).alias("total_observations"), F.min(c).alias("min"), F.round(F.avg(c), 2).alias("mean"),
+            F.round(F.stddev(c), 2).alias("stddev"), F.max(c).alias("max"), F.count_if(outside).alias("count_outliers")))
+    each = df.groupBy(group).agg(F.array(*aggs).alias("a")).select(group, F.inline("a"))
+    med = found.where(~F.col("whole")).select(F.col("measure").alias("__m"), F.col(group).alias("__g"), "median")
+    out = each.join(med, (each["measure"] == med["__m"]) & each[group].eqNullSafe(med["__g"]), "left")
+    return materialize(out.select(
+        "measure", group, "total_observations", "min", "median", "mean", "stddev", "max", "count_outliers",
+        ratio_pct("count_outliers", "total_observations").alias("percentage_outliers"),
+    ), "summaries")

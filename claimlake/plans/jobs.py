@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake import schemas
+from claimlake.functions.codes import null_label
 from claimlake.operators import curate, markets, quality, stats
+from claimlake.operators.clean import rejected_cells
 from claimlake.operators.store import merge_into, read_store
 from claimlake.session import materialize
 from claimlake.sources import io
@@ -26,7 +28,8 @@ class RunParams:
     and quarantine are kept apart by it ("" for a single one).
     ``on_duplicate`` holds for lookups and
     merges; ``latest`` names the column that decides between versions of a claim
-    where it is "latest". ``buckets`` shapes gold and quarantine when they are first made."""
+    where it is "latest". ``buckets`` shapes gold and quarantine when they are first made.
+    A ``strict`` run writes nothing if a check of severity error fails."""
 
     base: str
     year: int | None = None
@@ -37,6 +40,7 @@ class RunParams:
     delivery: str = ""
     latest: str | None = None
     buckets: int | None = None
+    strict: bool = False
 
     @property
     def version(self) -> str | None:
@@ -119,6 +123,37 @@ def product_job(spark: SparkSession, bronze: DataFrame, p: RunParams, manifest:
     return reports
 
 
+def claims_checks(bronze: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The gate of a claims delivery: what must not happen (``error``) and what
+    should not (``warning``), from one pass over the claims and one over the rejects."""
+    no = lambda c: F.col(c).isNull()
+    found = quality.checks(bronze, {
+        "claim_without_id": ("error", no("CLAIM_ID"), 0),
+        "claim_without_year": ("error", no("YEAR"), 0),
+        "claim_without_month": ("warning", no("MONTH_ID"), 0),
+        "unmapped_market": ("warning", ~F.coalesce(F.col("MARKET_NAME").isin(schemas.VALUE_DOMAINS["MARKET_NAME"]), F.lit(False)), 0),
+        "ndc_not_repairable": ("warning", F.length("NDC") > schemas.NDC_WIDTH + 1, 0),
+        "npi_of_other_length": ("warning", F.length("NPI") != schemas.NPI_WIDTH, 0),
+    })
+    return found.unionByName(quality.checks(rejected, {"malformed_value": ("error", F.lit(True), 0)}))
+
+
+def claims_report(bronze: DataFrame, enriched: DataFrame) -> DataFrame:
+    """(section, value, count): the counts of the claims report in long form, one
+    pass over the delivery and one over the joined claims."""
+    state = F.col("PROVIDER_STATE")
+    delivered = quality.frequencies(bronze, {
+        "missing_month": F.col("MONTH_ID").isNull(),
+        "specialty": null_label("PROVIDER_SPCL_CD", schemas.MISSING_LABEL),
+        "missing_specialty": F.col("PROVIDER_SPCL_CD").isNull(),
+        "missing_state": state.isNull(),
+        "excluded_state": F.when(state.isin(schemas.ELIGIBLE_STATES), F.lit("eligible")).otherwise(state),
+        "ndc_length": F.length("NDC"),
+        "npi_length": F.length("NPI"),
+    })
+    return delivered.unionByName(quality.frequencies(enriched, {c: F.col(c) for c in ("merged_pat_ref", "merged_prod_ref")}))
+
+
 def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, products: DataFrame, p: RunParams,
                manifest: DataFrame | None = None, dataset: str = "claims") -> dict[str, DataFrame]:
     """L7 + L8 + L9: enrich, clean and write silver claims partitioned by
@@ -126,12 +161,21 @@ def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, prod
     quality reports are computed from the written table (one read, no
     re-join)."""
     bronze = _year(bronze, p.year)
+    # Values that the casts would lose: counted before anything is written, kept by year.
+    rejected = materialize(rejected_cells(bronze, curate.CLAIMS_CASTS, schemas.UPSERT_KEYS, p.named(dataset)), "rejected")
     # Joined once and stored: the silver table and both unmatched extracts read it.
     enriched = materialize(curate.claims_enrich(bronze, patients, products, broadcast_max_rows=p.broadcast_max_rows,
                                                 on_duplicate=p.on_duplicate), "claims-enriched")
     silver = curate.claims_clean(enriched)
+    checked = materialize(claims_checks(bronze, rejected), "checks")
+    quality.gate(checked, p.strict)  # nothing is written by a strict run that fails
     dataset = p.named(dataset)
     io.write_year(silver, p.base, "silver", dataset, ("MARKET_NAME",), None if p.year is None else [p.year])
+    if p.year is None:  # a row per year: those delivered now lose the rejects of an earlier delivery
+        years = [r[0] for r in silver.sparkSession.read.schema(silver.schema).parquet(io.layer_path(p.base, "silver", dataset)).select("YEAR").union(rejected.select("YEAR")).distinct().collect()]
+    else:
+        years = [p.year]
+    io.write_year(rejected, p.base, "quarantine", f"{dataset}_rejected", (), years)
     written = io.read_layer(spark, p.base, "silver", dataset, p.year, silver.schema)
     exports = f"{p.base.rstrip('/')}/silver/data_quality_check_exports/{dataset}"
     for flag, name in (("merged_pat_ref", "patient_notin_ref"), ("merged_prod_ref", "product_notin_ref")):
@@ -152,9 +196,15 @@ def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, prod
     }
     if manifest is not None:
         reports["months"] = quality.reconcile_months(bronze, manifest)
-    for c in ("QUANTITY", "PATIENT_PAY", "DAYS_SUPPLY"):
-        reports[f"summary_{c}"] = stats.robust_summary(written, c, "MARKET_NAME", method=p.quantile_method,
-                                                         materialized=True)
+    measures = ("QUANTITY", "PATIENT_PAY", "DAYS_SUPPLY")
+    reports["summary"] = stats.robust_summaries(written, measures, "MARKET_NAME", method=p.quantile_method, materialized=True)
+    for c in measures:
+        reports[f"summary_{c}"] = reports["summary"].where(F.col("measure") == c).drop("measure")
+    reports["checks"] = checked
+    reports["report"] = claims_report(bronze, enriched)
+    reports["keys"] = quality.key_profile(bronze, "CLAIM_ID")
+    reports["value_domains"] = quality.value_domains(written, schemas.VALUE_DOMAINS)
+    reports["rejected"] = rejected.groupBy("YEAR", "column_name").count()
     return reports
 
 

@@ -107,7 +107,30 @@ def _bronze_select() -> str:
     return "select " + ", ".join(cols) + " from claims"
 
 
+_TEXT_CHANGED = {
+    "CLAIM_ID": "case when DAYS_SUPPLY <> 70 or RX_TYPE <> 'R' then CLAIM_ID end",
+    "MARKET_NAME": "case when DAYS_SUPPLY = 50 then 'Z' else MARKET_NAME end",
+    "CHNL_CD": "case when DAYS_SUPPLY <= 40 then 'R' when DAYS_SUPPLY = 60 then 'M' end",
+    "OPIOID_LA_SA_FLAG": "case DAYS_SUPPLY when 10 then 'L' when 20 then 'S' when 30 then 'LA' end",
+    "MARKET_NEW_FLAG": "case when RX_TYPE = 'N' then 'Y' else 'N' end",
+    "DISPENSE_DATE": "case when DAYS_SUPPLY = 30 and RX_TYPE = 'N' then '1995-13-45' else cast(DISPENSE_DATE as varchar) end",
+    "QUANTITY": "case when DAYS_SUPPLY = 20 and QUANTITY > 45 then 'n/a' else cast(cast(QUANTITY as integer) as varchar) end",
+    "PATIENT_PAY": "case when DAYS_SUPPLY = 40 and QUANTITY > 40 then '12..5' else cast(cast(floor(PATIENT_PAY) as bigint) as varchar) end",
+    "DAYS_SINCE_LAST_OPIOID": "case DAYS_SUPPLY when 10 then 'unknown' when 20 then '14' end",
+}
+
+
+def _text_select() -> str:
+    """The claims as text (see ``claims_view.claims_text``)."""
+    cols = []
+    for c in schemas.CLAIMS_COLUMNS:
+        value = _TEXT_CHANGED.get(c, "null" if c in _NULL_BRONZE else c)
+        cols.append(f"cast({value} as varchar) as {c}")
+    return "select " + ", ".join(cols) + " from claims"
+
+
 DERIVED_SQL = {
+    "claims_text": _text_select(),
     # product lookup: repaired code, one row per code, latest delivery first
     "product_silver": f"""
 select NDC_CD, MKTED_PROD_NM, MKTED_PROD_FORMLTN_NM, ROUTE_ADM_NM, DOSAGE_FORM_NM, UNIFM_PROD_NM, USC_CD, ingestion_date
@@ -136,11 +159,12 @@ DEPENDS = {
     "manifest_raw": ["claims", "patient_ref", "product_ref"],
     "product_silver": ["product_ref"],
     "claims_bronze": ["claims"],
+    "claims_text": ["claims"],
     "silver": ["claims_bronze", "patient_ref", "product_silver"],
 }
 
 _ORDER = ["claims", "patient_ref", "product_ref", "benzo_def", "opioid_def", "mme", "manifest_raw",
-          "product_silver", "claims_bronze", "silver"]
+          "product_silver", "claims_bronze", "claims_text", "silver"]
 
 
 def with_views(body: str, *names: str) -> str:

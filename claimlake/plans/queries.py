@@ -411,19 +411,79 @@ def q_negative_pay(spark, sf):
                                         F.count(F.lit(1)).alias("rows"))
 
 
-@register("q_value_domains", with_views("""
-select 'RX_TYPE' as column_name, RX_TYPE as value, count(*) as count, coalesce(RX_TYPE in ('N', 'R'), false) as is_valid
-from silver group by RX_TYPE
-union all
-select 'MARKET_NAME', MARKET_NAME, count(*), coalesce(MARKET_NAME in ('A','B','G','M','N','O','P','S','T'), false)
-from silver group by MARKET_NAME""", "silver"))
+def _domain_sql(column: str, source: str, values: list[str]) -> str:
+    allowed = ", ".join(f"'{v}'" for v in values)
+    return f"""select '{column}' as column_name, {source} as value, count(*) as count, coalesce({source} in ({allowed}), false) as is_valid
+from kept group by {source}"""
+
+
+@register("q_value_domains", with_views(f"""
+, kept as (select * from claims_text where PROVIDER_SPCL_CD is distinct from 'VET' and (PROVIDER_STATE in ({STATES}) or PROVIDER_STATE is null))
+""" + " union all ".join(_domain_sql(c, "OPIOID_LA_SA_FLAG" if c == "OPIOID_ER_LA_FLAG" else c, v) for c, v in schemas.VALUE_DOMAINS.items()), "claims_text"))
 def q_value_domains(spark, sf):
-    s = _silver(spark, sf)
-    rx = quality.valid_values(s, "RX_TYPE", ["N", "R"]).select(
-        F.lit("RX_TYPE").alias("column_name"), F.col("RX_TYPE").alias("value"), "count", "is_valid")
-    mk = quality.valid_values(s, "MARKET_NAME", ALL_MARKET_CODES).select(
-        F.lit("MARKET_NAME").alias("column_name"), F.col("MARKET_NAME").alias("value"), "count", "is_valid")
-    return rx.unionByName(mk)
+    """Values of the five coded columns of the cleaned claims, a text delivery, in one aggregation."""
+    silver = curate.claims_silver(cv.claims_text(spark, sf), _patients(spark, sf), _products(spark, sf))
+    return quality.value_domains(silver, schemas.VALUE_DOMAINS)
+
+
+def _section_sql(name: str, value: str, source: str = "claims_text") -> str:
+    return f"select '{name}' as section, cast({value} as varchar) as value, count(*) as count from {source} group by all"
+
+
+_REPORT_SQL = with_views(f"""
+, joined as (
+  select case when p.PATIENT_ID_REF is not null then 1 else 0 end as merged_pat_ref, case when d.NDC_CD is not null then 1 else 0 end as merged_prod_ref
+  from claims_text c left join patient_ref p on c.PATIENT_ID = p.PATIENT_ID_REF left join product_silver d on {norm('c.NDC')} = d.NDC_CD)
+""" + " union all ".join([
+    _section_sql("missing_month", "MONTH_ID is null"),
+    _section_sql("specialty", "coalesce(PROVIDER_SPCL_CD, 'Missing')"),
+    _section_sql("missing_specialty", "PROVIDER_SPCL_CD is null"),
+    _section_sql("missing_state", "PROVIDER_STATE is null"),
+    _section_sql("excluded_state", f"case when PROVIDER_STATE in ({STATES}) then 'eligible' else PROVIDER_STATE end"),
+    _section_sql("ndc_length", "length(NDC)"),
+    _section_sql("npi_length", "length(NPI)"),
+    _section_sql("merged_pat_ref", "merged_pat_ref", "joined"),
+    _section_sql("merged_prod_ref", "merged_prod_ref", "joined"),
+]), "claims_text", "patient_ref", "product_silver")
+
+
+@register("q_claims_report", _REPORT_SQL)
+def q_claims_report(spark, sf):
+    """The claims report in long form: nine sections from two passes."""
+    from claimlake.plans.jobs import claims_report
+    bronze = cv.claims_text(spark, sf)
+    return claims_report(bronze, curate.claims_enrich(bronze, _patients(spark, sf), _products(spark, sf)))
+
+
+def _check_sql(name: str, severity: str, condition: str) -> str:
+    return f"select '{name}' as name, '{severity}' as severity, count(*) as value, if(count(*) = 0, 'ok', 'failed') as verdict from claims_text where {condition}"
+
+
+@register("q_claims_checks", with_views("\n" + " union all ".join([
+    _check_sql("claim_without_id", "error", "CLAIM_ID is null"),
+    _check_sql("claim_without_year", "error", "YEAR is null"),
+    _check_sql("claim_without_month", "warning", "MONTH_ID is null"),
+    _check_sql("unmapped_market", "warning", "not coalesce(MARKET_NAME in ('A','B','G','M','N','O','P','S','T'), false)"),
+    _check_sql("ndc_not_repairable", "warning", "length(NDC) > 12"),
+    _check_sql("npi_of_other_length", "warning", "length(NPI) <> 10"),
+    "select 'malformed_value', 'error', n, if(n = 0, 'ok', 'failed') from (select count(*) as n from (select unnest(list_filter([DISPENSE_DATE is not null and try_cast(DISPENSE_DATE as date) is null, "
+    "QUANTITY is not null and try_cast(QUANTITY as double) is null, DAYS_SUPPLY is not null and try_cast(DAYS_SUPPLY as integer) is null, PATIENT_PAY is not null and try_cast(PATIENT_PAY as double) is null, "
+    "DAYS_SINCE_LAST_OPIOID is not null and try_cast(DAYS_SINCE_LAST_OPIOID as integer) is null], lambda b: b)) from claims_text) t) u",
+]), "claims_text"))
+def q_claims_checks(spark, sf):
+    """The checks that gate a claims delivery, with severity and verdict."""
+    from claimlake.plans.jobs import claims_checks
+    bronze = cv.claims_text(spark, sf)
+    return claims_checks(bronze, clean.rejected_cells(bronze, curate.CLAIMS_CASTS, schemas.UPSERT_KEYS, "claims"))
+
+
+@register("q_cast_rejects", with_views("""
+""" + " union all ".join(
+    f"select 'claims' as table_name, CLAIM_ID, YEAR, '{c}' as column_name, {c} as raw_value from claims_text where {c} is not null and try_cast({c} as {t}) is null"
+    for c, t in {"DISPENSE_DATE": "date", "QUANTITY": "double", "DAYS_SUPPLY": "integer", "PATIENT_PAY": "double", "DAYS_SINCE_LAST_OPIOID": "integer"}.items()), "claims_text"))
+def q_cast_rejects(spark, sf):
+    """Every malformed cell of a text delivery, with its claim and raw value."""
+    return clean.rejected_cells(cv.claims_text(spark, sf), curate.CLAIMS_CASTS, schemas.UPSERT_KEYS, "claims")
 
 
 @register("q_quality_profile", with_views(f"""
@@ -499,6 +559,21 @@ register("q_robust_summary_quantity", _robust_sql("QUANTITY"))(_robust("QUANTITY
 register("q_robust_summary_days_supply", _robust_sql("DAYS_SUPPLY"))(_robust("DAYS_SUPPLY"))
 
 
+def _all_summaries_sql() -> str:
+    parts = []
+    for c in ("QUANTITY", "PATIENT_PAY", "DAYS_SUPPLY"):
+        body = _robust_sql(c)
+        parts.append(f"""select '{c}' as measure, MARKET_NAME, total_observations, cast(min as double) as min, median, mean, stddev,
+  cast(max as double) as max, count_outliers, percentage_outliers from ({body}) r""")
+    return " union all ".join(parts)
+
+
+@register("q_robust_summaries", _all_summaries_sql())
+def q_robust_summaries(spark, sf):
+    """Robust summaries of three measures by market, global fences and group medians in shared passes."""
+    return stats.robust_summaries(_silver(spark, sf), ["QUANTITY", "PATIENT_PAY", "DAYS_SUPPLY"], "MARKET_NAME")
+
+
 ORACLE_OF_QUANTILES = with_views("""
 select YEAR, cast(quantile_disc(PATIENT_PAY, 0.1) as double) as p10, cast(quantile_disc(PATIENT_PAY, 0.5) as double) as p50,
        cast(quantile_disc(PATIENT_PAY, 0.9) as double) as p90
@@ -642,21 +717,6 @@ def q_upsert(spark, sf):
     return spark.read.schema(clean.stamp(c, "x").schema).parquet(path)
 
 
-_EXPORT_SQL = with_views(f"""
-select {_gold_cols_sql([c for c in schemas.OPIOID_FILE_GOLD_COLUMNS if c not in schemas.PRODUCT_COLUMNS])},
-       '{RUN_DATE}' as UPDATE_DATE from silver where MARKET_NAME = 'N'""", "silver")
-
-
-@register("q_export_roundtrip", _EXPORT_SQL)
-def q_export_roundtrip(spark, sf):
-    """Naloxone gold exported as CSV (one folder per YEAR, product columns
-    dropped) and read back with its schema."""
-    gold = markets.naloxone_gold(_gold_input(spark, sf), RUN_DATE).drop("GOLD_TABLE")
-    out = io.export_csv(gold, shared_path(spark, "q_export"), ("YEAR",), drop=schemas.PRODUCT_COLUMNS)
-    schema = gold.drop(*schemas.PRODUCT_COLUMNS).schema
-    return io.read_export(spark, out, schema)
-
-
 _YEAR_TOTALS_SQL = with_views(f"""
 , g as (
   select {_case_sql('MARKET_NAME', schemas.NON_OPIOID_MARKETS)} as GOLD_TABLE, YEAR from silver
@@ -864,6 +924,21 @@ def q_gold_rows(spark, sf):
     return _gold_rows(spark, _gold_run(spark, sf, shared_path(spark, "q_gold_rows"), streamed=False))
 
 
+@register("q_export_roundtrip", with_views(_RESOLVED_SQL + f"""
+select * exclude ({', '.join(schemas.PRODUCT_COLUMNS)}) from gold""", "silver", "benzo_def", "opioid_def", "mme"))
+def q_export_roundtrip(spark, sf):
+    """All eleven gold tables exported as CSV (one folder per YEAR, product columns
+    left out) and read back with their schemas."""
+    from claimlake.plans.jobs import export_job
+    p = _gold_run(spark, sf, shared_path(spark, "q_export"), streamed=False)
+    out = None
+    for table, path in zip(schemas.GOLD_MARKETS, export_job(spark, p, f"{p.base}/exports", profile="without_product"), strict=True):
+        schema = io.read_gold(spark, p.base, table).drop(*schemas.PRODUCT_COLUMNS).schema
+        back = io.read_export(spark, path, schema).withColumn("GOLD_TABLE", F.lit(table))
+        out = back if out is None else out.unionByName(back, allowMissingColumns=True)
+    return out
+
+
 # ---------------------------------------------------------------- streaming
 @register("q_stream_gold_totals", with_views(_RESOLVED_SQL + """
 select GOLD_TABLE, YEAR, count(*) as count from gold group by GOLD_TABLE, YEAR""", "silver", "benzo_def", "opioid_def", "mme"))

@@ -103,6 +103,14 @@ ELIGIBLE_STATES = [
     "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI",
     "WY",
 ]
+# Allowed values of the coded claims columns (MARKET_NAME: the raw market codes).
+VALUE_DOMAINS = {
+    "RX_TYPE": ["N", "R"],
+    "MARKET_NAME": [*NON_OPIOID_MARKETS, BENZO_CODE, NALOXONE_CODE, OPIOID_CODE],
+    "CHNL_CD": ["R"],
+    "OPIOID_ER_LA_FLAG": ["L", "S"],
+    "MARKET_NEW_FLAG": ["Y", "N"],
+}
 EXCLUDED_SPECIALTY = "VET"
 # Label shown for a NULL specialty in reports (the original spelling is "Missng").
 MISSING_LABEL = "Missing"

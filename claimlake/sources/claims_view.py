@@ -205,3 +205,23 @@ def claims_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     add = {c: F.lit(None).cast(schemas.CLAIMS_TYPES[c]) for c in schemas.CLAIMS_COLUMNS if c not in df.columns}
     df = df.withColumns(add).withColumn("MONTH_ID", F.col("MONTH_ID").cast("string"))
     return df.select(*schemas.CLAIMS_COLUMNS)
+
+
+def claims_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claims as a delivery of text: every column a string, flags filled,
+    some cells malformed, some claims without an id or with an unmapped market."""
+    df = claims(spark, sf_dir)
+    d, day = F.col("DAYS_SUPPLY"), F.col("DISPENSE_DATE").cast("string")
+    changed = {
+        "CLAIM_ID": F.when((d != 70) | (F.col("RX_TYPE") != "R"), F.col("CLAIM_ID")),
+        "MARKET_NAME": F.when(d == 50, F.lit("Z")).otherwise(F.col("MARKET_NAME")),
+        "CHNL_CD": F.when(d <= 40, F.lit("R")).when(d == 60, F.lit("M")),
+        "OPIOID_LA_SA_FLAG": F.when(d == 10, F.lit("L")).when(d == 20, F.lit("S")).when(d == 30, F.lit("LA")),
+        "MARKET_NEW_FLAG": F.when(F.col("RX_TYPE") == "N", F.lit("Y")).otherwise(F.lit("N")),
+        "DISPENSE_DATE": F.when((d == 30) & (F.col("RX_TYPE") == "N"), F.lit("1995-13-45")).otherwise(day),
+        "QUANTITY": F.when((d == 20) & (F.col("QUANTITY") > 45), F.lit("n/a")).otherwise(F.col("QUANTITY").cast("int").cast("string")),
+        "PATIENT_PAY": F.when((d == 40) & (F.col("QUANTITY") > 40), F.lit("12..5")).otherwise(F.floor("PATIENT_PAY").cast("string")),
+        "DAYS_SINCE_LAST_OPIOID": F.when(d == 10, F.lit("unknown")).when(d == 20, F.lit("14")),
+    }
+    df = df.select(*[changed.get(c, F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c in schemas.CLAIMS_COLUMNS])
+    return df
