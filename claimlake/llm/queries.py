@@ -164,7 +164,7 @@ def op4_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlake.llm import pieces
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = pieces.decode(pieces.sample(table(spark, sf_dir, "documents"), model, k=2), model)
+    out = pieces.sample(table(spark, sf_dir, "documents"), model, k=2, decoded=True)
     return out.select(
         "doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("decoded").cast("binary")).alias("text_crc32")
     )

@@ -123,7 +123,7 @@ def test_search_skips_blocks_and_takes_empty_tables(spark):
 
 
 def test_samples_follow_the_distribution_without_replacement():
-    v = pieces.Vocabulary(MODEL)
+    v = pieces.Lattices(pieces.Vocabulary(MODEL))
     every = {x[0]: math.exp(x[1]) for x in pieces.segment(v, ["heth"], [1], 1000)[0]}
     assert abs(sum(every.values()) - 1) < 1e-9
     n, first, pair, total = 4000, Counter(), Counter(), 0.0
@@ -145,6 +145,7 @@ def test_samples_return_every_text(spark):
     odd = [(100 + i, t) for i, t in enumerate(["a", " a  b\n\n c ", "日本語 x", "▁a ▁▁ b", "\n\x00\n▁", "é\U0001f600\t"])]
     df = spark.createDataFrame([*edge.TEXTS, *odd], "doc_id long, text string").repartition(2)
     rows = pieces.decode(pieces.sample(df, MODEL, k=3), MODEL).collect()
+    assert Counter(rows) == Counter(pieces.sample(df, MODEL, k=3, decoded=True).collect())
     texts = defaultdict(set)
     for i, t in [*edge.TEXTS, *odd]:
         texts[i].add(t or "")
@@ -162,8 +163,17 @@ def test_samples_return_every_text(spark):
 def test_samples_do_not_depend_on_the_batch():
     v = pieces.Vocabulary(MODEL)
     texts = [edge.prose(i, 30) for i in range(6)]
-    together = pieces.segment(v, texts, range(6), 3)
-    assert all(pieces.segment(v, [t], [i], 3)[0] == together[i] for i, t in enumerate(texts))
+    together = pieces.segment(pieces.Lattices(v), texts, range(6), 3)
+    assert all(pieces.segment(pieces.Lattices(v), [t], [i], 3)[0] == together[i] for i, t in enumerate(texts))
+
+
+def test_samples_do_not_depend_on_what_the_cache_forgets(monkeypatch):
+    lattices = pieces.Lattices(pieces.Vocabulary(MODEL))
+    texts = [edge.prose(i, 30) for i in range(6)] + ["", "a" * 70000]
+    kept = [pieces.segment(lattices, [t], [i], 2)[0] for i, t in enumerate(texts)]
+    monkeypatch.setattr(pieces, "CACHE", 0)
+    assert kept == [pieces.segment(lattices, [t], [i], 2)[0] for i, t in enumerate(texts)]
+    assert kept[-2] == [(b"", 0.0, kept[-2][0][2], 1.0)]
 
 
 # language
