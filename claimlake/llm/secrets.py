@@ -21,7 +21,7 @@ an empty table gives an empty result; extra columns are kept only if named.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from re import _constants as rc
 from re import _parser
@@ -62,6 +62,8 @@ RULES = BASE + EXTRA
 
 #: Sets of literal strings larger than this are cut into separate clauses.
 MAX_STRINGS = 128
+#: Matches of a text whose positions are added up at a time.
+FOLD_BLOCK = 256
 
 Clause = frozenset[frozenset[str]]
 
@@ -167,6 +169,28 @@ def candidates(index: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     return met.where("n = n_clauses").groupBy("key").agg(F.collect_set("kind").alias("kinds"))
 
 
+def _fold(items: Column, kind: str, step: Callable[[Column, Column, Column], tuple[Column, Column]]) -> Column:
+    """struct(at, out) after all items: ``step(at, out, item)`` gives the next
+    position and list of ``kind``. ``concat`` copies the list that it extends, so
+    lists grow within blocks of items only and the blocks' lists are joined once."""
+    none = F.array().cast(f"array<{kind}>")
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1, F.lit(FOLD_BLOCK))).otherwise(F.array().cast("array<int>"))
+    blocks = F.transform(starts, lambda i: F.slice(items, i + 1, F.lit(FOLD_BLOCK)))
+
+    def inner(state: Column, x: Column) -> Column:
+        at, out = step(state["at"], state["out"], x)
+        return F.struct(at.alias("at"), out.alias("out"))
+
+    def outer(state: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(state["at"].alias("at"), none.alias("out")), inner)
+        # bound once, by a one-element array
+        grown = F.transform(F.array(done), lambda d: F.struct(d["at"].alias("at"), F.concat(state["out"], F.array(d["out"])).alias("out")))
+        return F.get(grown, F.lit(0))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return F.aggregate(blocks, zero, outer, lambda s: F.struct(s["at"].alias("at"), F.flatten(s["out"]).alias("out")))
+
+
 def _spans(rule: Rule, order: int) -> Column:
     """Spans of the rule in ``text``: the pieces between the matches and the
     matches themselves, laid end to end, give the positions."""
@@ -179,15 +203,13 @@ def _spans(rule: Rule, order: int) -> Column:
     # the piece behind the last match has no match of its own
     sizes = F.filter(sizes, lambda x: x["size"].isNotNull())
     span = "struct<start:int,order:int,kind:string,end:int>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
+    def step(at: Column, out: Column, x: Column) -> tuple[Column, Column]:
+        start = at + x["gap"]
         one = F.struct(start.alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), (start + x["size"]).alias("end"))
-        fits = x["tested"] >= rule.least
-        return F.struct((start + x["size"]).alias("at"), F.when(fits, F.concat(state["spans"], F.array(one))).otherwise(state["spans"]).alias("spans"))
+        return start + x["size"], F.when(x["tested"] >= rule.least, F.concat(out, F.array(one))).otherwise(out)
 
-    return F.aggregate(sizes, zero, step, lambda s: s["spans"])
+    return _fold(sizes, span, step)["out"]
 
 
 def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -221,19 +243,19 @@ def of_kinds(spans: Column, kinds: Sequence[str]) -> Column:
 
 def redact(scanned: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The text with every span, overlapping ones as one, replaced by ``mark``."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, s: Column) -> Column:
-        start = F.greatest(state["at"], s["start"])
-        between = F.substring(F.col("text"), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        # a span that starts inside the one before adds no mark
-        added = F.when((s["start"] >= state["at"]) | (F.size(state["parts"]) == 0), F.concat(state["parts"], F.array(between, F.lit(mark)))).otherwise(state["parts"])
-        return F.struct(F.greatest(start, s["end"]).alias("at"), added.alias("parts"))
-
-    def whole(state: Column) -> Column:
-        return F.concat(F.array_join(state["parts"], ""), F.substring(F.col("text"), state["at"] + 1, F.length("text")))
-
-    text = F.when(F.size("spans") > 0, F.aggregate("spans", zero, step, whole)).otherwise(F.col("text"))
+    # where every span begins and the furthest end so far; one that starts inside those before adds no mark
+    def furthest(at: Column, out: Column, s: Column) -> tuple[Column, Column]:
+        one = F.struct(at.alias("from"), s["start"].alias("start"), (s["start"] >= at).alias("apart"))
+        return F.greatest(at, s["end"]), F.concat(out, F.array(one))
+
+    def parts(state: Column) -> Column:
+        between = lambda x: F.substring(F.col("text"), x["from"] + 1, F.greatest(x["start"] - x["from"], F.lit(0)))
+        cut = F.transform(F.filter(state["out"], lambda x: x["apart"]), lambda x: F.concat(between(x), F.lit(mark)))
+        return F.concat(F.array_join(cut, ""), F.substring(F.col("text"), state["at"] + 1, F.length("text")))
+
+    state = _fold(F.col("spans"), "struct<from:int,start:int,apart:boolean>", furthest)
+    whole = F.get(F.transform(F.array(state), parts), F.lit(0))
+    text = F.when(F.size("spans") > 0, whole).otherwise(F.col("text"))
     return scanned.withColumn("text", text)
 
 

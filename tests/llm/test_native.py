@@ -150,6 +150,17 @@ def test_secret_spans(spark):
     assert {s.kind for r in got for s in r.spans} == {r.kind for r in secrets.RULES}
 
 
+def test_texts_with_thousands_of_spans(spark):
+    block = secrets.FOLD_BLOCK
+    texts = [(n, f"é token=abcdef{n % 7} {'0' * 24} token=x " * n) for n in (1, block - 1, block, block + 1, 6000)]
+    texts.append((0, "AKIA" + "0" * 16 + " token=" + "0" * 30))
+    got = secrets.scan(spark.createDataFrame(texts, "doc_id long, text string")).cache()
+    for r in got.collect():
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in r.spans] == _base(r.text)
+    for r, t in zip(sorted(secrets.redact(got).collect()), sorted(texts), strict=True):
+        assert r.text == ("[SECRET] [SECRET]" if t[0] == 0 else "é [SECRET] [SECRET] token=x " * t[0])
+
+
 def test_trigram_queries_lose_no_match():
     grams = lambda t: {t[i : i + 3] for i in range(len(t) - 2)}
     for rule in secrets.RULES:
