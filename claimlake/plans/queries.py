@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from claimlake import schemas
 from claimlake.functions.codes import normalize_code, null_label
-from claimlake.operators import clean, curate, markets, quality, relate, stats
+from claimlake.operators import clean, curate, markets, quality, reconcile, relate, stats
 from claimlake.operators.store import merge_into, read_store
 from claimlake.operators.upsert import upsert
 from claimlake.plans.oracle import RUN_DATE, STATES, norm, with_views
@@ -955,6 +955,46 @@ def q_stream_gold_rows(spark, sf):
     return _gold_rows(spark, _gold_run(spark, sf, shared_path(spark, "q_stream_rows"), streamed=True))
 
 
+_YEARS_SQL = """
+, y as (select cast(YEAR as varchar) as YEAR, YEAR % 3 as m, CLAIM_ID, DAYS_SUPPLY,
+  case when YEAR % 3 = 2 then floor(QUANTITY) else QUANTITY end as QUANTITY,
+  case when YEAR % 3 <> 1 then PROVIDER_STATE end as PROVIDER_STATE, case when YEAR % 3 = 2 then NPI end as NPI from claims)"""
+
+
+def _deliveries(spark, sf, name: str) -> str:
+    """Claims years written as three kinds of delivery that differ in types and columns."""
+    path = shared_path(spark, name)
+    c = cv.claims(spark, sf)
+    kinds = [
+        ("CLAIM_ID", "DAYS_SUPPLY", "QUANTITY", "PROVIDER_STATE"),
+        ("CLAIM_ID", F.col("DAYS_SUPPLY").cast("long").alias("DAYS_SUPPLY"), "QUANTITY"),
+        ("CLAIM_ID", F.col("DAYS_SUPPLY").cast("short").alias("DAYS_SUPPLY"), F.floor("QUANTITY").cast("int").alias("QUANTITY"), "PROVIDER_STATE", "NPI"),
+    ]
+    for kind, columns in enumerate(kinds):
+        c.where(F.col("YEAR") % 3 == kind).select("YEAR", *columns).write.mode("append").partitionBy("YEAR").parquet(path)
+    return path
+
+
+@register("q_schema_years", with_views(_YEARS_SQL + """
+select CLAIM_ID, DAYS_SUPPLY, QUANTITY, PROVIDER_STATE, NPI, YEAR from y""", "claims"))
+def q_schema_years(spark, sf):
+    """Years of differing types and columns read as one table through the plan of safe casts."""
+    return reconcile.read_years(spark, _deliveries(spark, sf, "q_schema_years")).select("CLAIM_ID", "DAYS_SUPPLY", "QUANTITY", "PROVIDER_STATE", "NPI", "YEAR")
+
+
+@register("q_schema_years_report", with_views(_YEARS_SQL + """
+, n as (select YEAR, m, count(CLAIM_ID) as a, count(DAYS_SUPPLY) as b, count(QUANTITY) as c, count(PROVIDER_STATE) as d, count(NPI) as e from y group by all),
+l as (select *, lag(m) over (order by YEAR) as before from n)
+select YEAR as year, 'CLAIM_ID' as "column", 'string' as stored_type, 'string' as target_type, 'same' as status, a as filled from l
+union all select YEAR, 'DAYS_SUPPLY', case m when 0 then 'int' when 1 then 'bigint' else 'smallint' end, 'bigint', case when m = 1 then 'same' else 'widened' end, b from l
+union all select YEAR, 'QUANTITY', case when m = 2 then 'int' else 'double' end, 'double', case when m = 2 then 'widened' else 'same' end, c from l
+union all select YEAR, 'PROVIDER_STATE', case when m <> 1 then 'string' end, 'string', case when m = 1 then 'missing' when before = 1 then 'added' else 'same' end, d from l
+union all select YEAR, 'NPI', case when m = 2 then 'string' end, 'string', case when m <> 2 then 'missing' when before is not null and before <> 2 then 'added' else 'same' end, e from l""", "claims"))
+def q_schema_years_report(spark, sf):
+    """What every year's schema differs in, and the values that every column has after the casts."""
+    return reconcile.report(spark, _deliveries(spark, sf, "q_schema_years_report"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in QUERIES.items()}
 

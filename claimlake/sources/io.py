@@ -48,14 +48,15 @@ def read_gold(spark: SparkSession, base: str, market: str, year: int | None = No
     return read_store(spark, layer_path(base, "gold", GOLD_DATASET), wanted).select(*schemas.GOLD_COLUMNS[market], "UPDATE_DATE")
 
 
-def _same_schema(df: DataFrame, path: str) -> None:
-    """Raises if the table at ``path`` has other columns or types."""
+def _same_schema(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Raises if the table at ``path`` has other columns or types. Partition values
+    are stored as text and have no type there."""
     try:
         old = df.sparkSession.read.parquet(path).schema
     except AnalysisException:
         return
-    want = {f.name: f.dataType for f in df.schema.fields}
-    have = {f.name: f.dataType for f in old.fields}
+    typed = lambda schema: {f.name: None if f.name in partition_by else f.dataType for f in schema.fields}
+    want, have = typed(df.schema), typed(old)
     if want != have:
         raise ValueError(f"schema change at {path}: {sorted(set(want.items()) ^ set(have.items()), key=str)}")
 
@@ -70,7 +71,7 @@ def write_layer(df: DataFrame, base: str, layer: str, dataset: str, partition_by
     stored one (names and types) and raises on a difference."""
     path = layer_path(base, layer, dataset)
     if not allow_schema_change:
-        _same_schema(df, path)
+        _same_schema(df, path, partition_by)
     writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
     return path
@@ -93,7 +94,7 @@ def write_year(df: DataFrame, base: str, layer: str, dataset: str, by: Sequence[
         raise ValueError(f"rows of years {outside} in a delivery of {years}")
     root = layer_path(base, layer, dataset)
     if not allow_schema_change:
-        _same_schema(df, root)
+        _same_schema(df, root, columns)
     try:
         old = {tuple(r) for r in df.sparkSession.read.schema(df.schema).parquet(root).select(columns).distinct().collect()}
     except AnalysisException:
