@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from claimlake import schemas
 from claimlake.functions.codes import normalize_code, null_label
-from claimlake.operators import clean, curate, markets, quality, reconcile, relate, stats
+from claimlake.operators import clean, curate, markets, profiles, quality, reconcile, relate, stats
 from claimlake.operators.store import merge_into, read_store
 from claimlake.operators.upsert import upsert
 from claimlake.plans.oracle import RUN_DATE, STATES, norm, with_views
@@ -995,6 +995,24 @@ def q_schema_years_report(spark, sf):
     return reconcile.report(spark, _deliveries(spark, sf, "q_schema_years_report"))
 
 
+_PROFILE_SQL = with_views("""
+, c as (select * from claims where not (YEAR = 1995 and MARKET_NAME in ('A', 'O')))
+""" + " union all ".join(f"""select MARKET_NAME, '{m}' as "column", count(*) as "rows", count({m}) as n, round(avg({m}), 6) as mean,
+  round(stddev_samp({m}), 6) as stddev, cast(min({m}) as double) as min, cast(max({m}) as double) as max from c group by MARKET_NAME"""
+                  for m in ("QUANTITY", "DAYS_SUPPLY", "PATIENT_PAY")), "claims")
+
+
+@register("q_profile_rerun", _PROFILE_SQL)
+def q_profile_rerun(spark, sf):
+    """Stored profile states merged over all years, after one year was delivered again without two markets."""
+    base = shared_path(spark, "q_profile_rerun")
+    c, measures = cv.claims(spark, sf), ["QUANTITY", "DAYS_SUPPLY", "PATIENT_PAY"]
+    profiles.write(c, measures, base, "profiles")
+    profiles.write(c.where("YEAR = 1995 AND MARKET_NAME NOT IN ('A', 'O')"), measures, base, "profiles")
+    out = profiles.merged(io.read_layer(spark, base, "silver", "profiles"), ("MARKET_NAME",))
+    return out.select("MARKET_NAME", "column", "rows", "n", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"), "min", "max")
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in QUERIES.items()}
 
