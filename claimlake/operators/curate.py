@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake import schemas
-from claimlake.functions.codes import normalize_code
+from claimlake.functions.codes import differs_or_null, in_or_null, normalize_code
 from claimlake.operators.clean import align_variant, cast_types, exclude_value, keep_in
+from claimlake.operators.colocate import Colocated, left_join
 from claimlake.operators.relate import (
     DEFAULT_BROADCAST_MAX_ROWS,
     assert_unique,
@@ -40,8 +41,8 @@ def product_lookup(bronze: DataFrame, width: int = schemas.NDC_WIDTH) -> DataFra
 
 
 def claims_enrich(
-    claims: DataFrame,
-    patients: DataFrame,
+    claims: DataFrame | Colocated,
+    patients: DataFrame | Colocated,
     products: DataFrame,
     normalize_before_join: bool = True,
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
@@ -54,21 +55,31 @@ def claims_enrich(
     A lookup that carries YEAR is joined within the year: a claim meets the
     lookup of its own delivery, however many years are stored.
     ``on_duplicate`` guards against lookups that repeat a key (a repeated key
-    would multiply claims)."""
+    would multiply claims). Claims and patients stored by the same buckets
+    (both, see :mod:`claimlake.operators.colocate`) are joined without moving either."""
     def lookup(df: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
         also = ["YEAR"] if "YEAR" in df.columns else []
         return assert_unique(df, [key, *also], on_duplicate, "ingestion_date").drop("ingestion_date"), also
 
-    pats, pat_also = lookup(patients, "PATIENT_ID_REF")
     prods, prod_also = lookup(products, "NDC_CD")
+    if isinstance(claims, Colocated):
+        j = left_join(claims, patients, "merged_pat_ref", broadcast_max_rows)
+    else:
+        pats, pat_also = lookup(patients, "PATIENT_ID_REF")
+        j = left_join_flag(claims, pats, "PATIENT_ID", "PATIENT_ID_REF", flag="merged_pat_ref",
+                           broadcast_max_rows=broadcast_max_rows, salt_from=["CLAIM_ID"], also=pat_also)
     if normalize_before_join:
-        claims = claims.withColumn("NDC", normalize_code("NDC"))
-    j = left_join_flag(claims, pats, "PATIENT_ID", "PATIENT_ID_REF", flag="merged_pat_ref",
-                       broadcast_max_rows=broadcast_max_rows, salt_from=["CLAIM_ID"], also=pat_also)
+        j = j.withColumn("NDC", normalize_code("NDC"))
     return left_join_flag(j, prods, "NDC", "NDC_CD", flag="merged_prod_ref",
                           broadcast_max_rows=broadcast_max_rows, salt_from=["CLAIM_ID"], also=prod_also)
 
 
+def left_out(states: list[str] = schemas.ELIGIBLE_STATES, excluded_specialty: str = schemas.EXCLUDED_SPECIALTY) -> Column:
+    """The claims that :func:`claims_clean` drops; never NULL."""
+    kept = differs_or_null("PROVIDER_SPCL_CD", excluded_specialty) & in_or_null("PROVIDER_STATE", states)
+    return ~F.coalesce(kept, F.lit(False))
+
+
 def claims_clean(
     enriched: DataFrame,
     states: list[str] = schemas.ELIGIBLE_STATES,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimlake import schemas
 from claimlake.functions.codes import null_label
-from claimlake.operators import curate, markets, quality, stats
+from claimlake.operators import colocate, curate, markets, quality, relate, stats
 from claimlake.operators.clean import rejected_cells
 from claimlake.operators.store import merge_into, read_store
 from claimlake.session import materialize
@@ -154,39 +154,63 @@ def claims_report(bronze: DataFrame, enriched: DataFrame) -> DataFrame:
     return delivered.unionByName(quality.frequencies(enriched, {c: F.col(c) for c in ("merged_pat_ref", "merged_prod_ref")}))
 
 
-def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, products: DataFrame, p: RunParams,
-               manifest: DataFrame | None = None, dataset: str = "claims") -> dict[str, DataFrame]:
+def colocate_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, p: RunParams, buckets: int,
+                 dataset: str = "claims") -> tuple[colocate.Colocated, colocate.Colocated]:
+    """J1: a delivery's claims and the patient lookup stored by patient in the same
+    buckets. ``claims_job`` takes both in place of the tables, and takes them again
+    when it is run again (``colocate.read``), without a shuffle of the claims."""
+    also = ["YEAR"] if "YEAR" in patients.columns else []
+    ref = relate.assert_unique(patients, ["PATIENT_ID_REF", *also], p.lookup_duplicates).drop("ingestion_date")
+    part, base = f"{p.named(dataset)}_by_patient/{p.year or 'all'}", p.base.rstrip("/")
+    stored = colocate.store(_year(bronze, p.year), f"{base}/bronze_{part}", ["PATIENT_ID", *also], buckets)
+    return stored, colocate.store(ref, f"{base}/lookup_{part}", ["PATIENT_ID_REF", *also], buckets, lookup=True)
+
+
+def unmatched_flags(delivery: DataFrame | colocate.Colocated, written: DataFrame, years: list, patients, products, **kw) -> DataFrame:
+    """(PATIENT_ID, CLAIM_ID, YEAR, merge flags) of every claim of a delivery. Those that
+    silver keeps have their flags there; the others, narrow, are joined for them alone.
+    The lookups' keys were checked when silver was written."""
+    key, flags = ["PATIENT_ID", "CLAIM_ID", "YEAR"], ["merged_pat_ref", "merged_prod_ref"]
+    known = [y for y in years if y is not None]
+    here = F.col("YEAR").isin(known) if len(known) == len(years) else F.col("YEAR").isin(known) | F.col("YEAR").isNull()
+    out = curate.claims_enrich(delivery.where(curate.left_out()).select(*key, "NDC"), patients, products, **kw)
+    return written.where(here).select(*key, *flags).unionByName(out.select(*key, *flags))
+
+
+def claims_job(spark: SparkSession, bronze: DataFrame | colocate.Colocated, patients: DataFrame | colocate.Colocated, products: DataFrame,
+               p: RunParams, manifest: DataFrame | None = None, dataset: str = "claims") -> dict[str, DataFrame]:
     """L7 + L8 + L9: enrich, clean and write silver claims partitioned by
     YEAR and MARKET_NAME (gold jobs then read only their market's folders);
     quality reports are computed from the written table (one read, no
-    re-join)."""
-    bronze = _year(bronze, p.year)
+    re-join). The joined table is written once, as silver; both unmatched
+    extracts read their flags there and join only the claims that silver drops.
+    ``bronze`` and ``patients`` may be what ``colocate_job`` has stored."""
+    delivery = bronze if p.year is None else bronze.where(F.col("YEAR") == p.year)
+    bronze = delivery.rows() if isinstance(delivery, colocate.Colocated) else delivery
     # Values that the casts would lose: counted before anything is written, kept by year.
     rejected = materialize(rejected_cells(bronze, curate.CLAIMS_CASTS, schemas.UPSERT_KEYS, p.named(dataset)), "rejected")
-    # Joined once and stored: the silver table and both unmatched extracts read it.
-    enriched = materialize(curate.claims_enrich(bronze, patients, products, broadcast_max_rows=p.broadcast_max_rows,
-                                                on_duplicate=p.on_duplicate), "claims-enriched")
-    silver = curate.claims_clean(enriched)
+    kw = {"broadcast_max_rows": p.broadcast_max_rows, "on_duplicate": p.on_duplicate}
+    silver = curate.claims_clean(curate.claims_enrich(delivery, patients, products, **kw))
     checked = materialize(claims_checks(bronze, rejected), "checks")
     quality.gate(checked, p.strict)  # nothing is written by a strict run that fails
     dataset = p.named(dataset)
-    io.write_year(silver, p.base, "silver", dataset, ("MARKET_NAME",), None if p.year is None else [p.year])
-    if p.year is None:  # a row per year: those delivered now lose the rejects of an earlier delivery
-        years = [r[0] for r in silver.sparkSession.read.schema(silver.schema).parquet(io.layer_path(p.base, "silver", dataset)).select("YEAR").union(rejected.select("YEAR")).distinct().collect()]
-    else:
-        years = [p.year]
+    # a row per year: a year delivered now replaces its silver and its rejects
+    years = [r[0] for r in bronze.select("YEAR").distinct().collect()] if p.year is None else [p.year]
+    io.write_year(silver, p.base, "silver", dataset, ("MARKET_NAME",), years)
     io.write_year(rejected, p.base, "quarantine", f"{dataset}_rejected", (), years)
     written = io.read_layer(spark, p.base, "silver", dataset, p.year, silver.schema)
+    flags = materialize(unmatched_flags(delivery, written, years, patients, products, broadcast_max_rows=p.broadcast_max_rows), "claims-flags")
+    lost = {name: flags.where(F.col(flag) == 0).select("PATIENT_ID", "CLAIM_ID", "YEAR")
+            for flag, name in (("merged_pat_ref", "patient_notin_ref"), ("merged_prod_ref", "product_notin_ref"))}
     exports = f"{p.base.rstrip('/')}/silver/data_quality_check_exports/{dataset}"
-    for flag, name in (("merged_pat_ref", "patient_notin_ref"), ("merged_prod_ref", "product_notin_ref")):
-        io.export_csv(enriched.where(F.col(flag) == 0).select("PATIENT_ID", "CLAIM_ID", "YEAR"),
-                      f"{exports}/{name}", ("YEAR",))
+    for name, rows in lost.items():
+        io.export_csv(rows, f"{exports}/{name}", ("YEAR",))
     reports = {
         "schema": quality.schema_diff(bronze, _typed(bronze, schemas.CLAIMS_COLUMNS)),
         "pivot": quality.pivot_counts(bronze, ["YEAR", "MONTH_ID"], "MARKET_NAME", sorted(
             list(schemas.NON_OPIOID_MARKETS) + [schemas.BENZO_CODE, schemas.NALOXONE_CODE, schemas.OPIOID_CODE])),
-        "unmatched_patients": enriched.where(F.col("merged_pat_ref") == 0).select("PATIENT_ID", "CLAIM_ID", "YEAR"),
-        "unmatched_products": enriched.where(F.col("merged_prod_ref") == 0).select("PATIENT_ID", "CLAIM_ID", "YEAR"),
+        "unmatched_patients": lost["patient_notin_ref"],
+        "unmatched_products": lost["product_notin_ref"],
         "missing": quality.missing_counts(written, long=True),
         "profile": quality.profile(written, {
             "negative_pay": F.col("PATIENT_PAY") < 0,
@@ -201,7 +225,7 @@ def claims_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, prod
     for c in measures:
         reports[f"summary_{c}"] = reports["summary"].where(F.col("measure") == c).drop("measure")
     reports["checks"] = checked
-    reports["report"] = claims_report(bronze, enriched)
+    reports["report"] = claims_report(bronze, flags)
     reports["keys"] = quality.key_profile(bronze, "CLAIM_ID")
     reports["value_domains"] = quality.value_domains(written, schemas.VALUE_DOMAINS)
     reports["rejected"] = rejected.groupBy("YEAR", "column_name").count()

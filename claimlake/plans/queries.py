@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from claimlake import schemas
 from claimlake.functions.codes import normalize_code, null_label
-from claimlake.operators import clean, curate, markets, profiles, quality, reconcile, relate, stats
+from claimlake.operators import clean, colocate, curate, markets, profiles, quality, reconcile, relate, stats
 from claimlake.operators.store import merge_into, read_store
 from claimlake.operators.upsert import upsert
 from claimlake.plans.oracle import RUN_DATE, STATES, norm, with_views
@@ -322,6 +322,16 @@ def q_left_patient(spark, sf):
                     "merged_pat_ref")
 
 
+@register("q_left_patient_colocated", _LEFT_PAT_SQL)
+def q_left_patient_colocated(spark, sf):
+    """The patient join of tables stored by patient in the same buckets: neither side moves."""
+    base, buckets = shared_path(spark, "q_colocated"), 8
+    claims = colocate.store(cv.claims(spark, sf), f"{base}/claims", ["PATIENT_ID"], buckets)
+    patients = colocate.store(_patients(spark, sf).drop("ingestion_date"), f"{base}/patients", ["PATIENT_ID_REF"], buckets, lookup=True)
+    j = colocate.left_join(claims, patients, "merged_pat_ref")
+    return j.select("CLAIM_ID", "YEAR", "PATIENT_ID", "PATIENT_ID_REF", "PATIENT_BRTH_YR", "PATIENT_GENDER", "merged_pat_ref")
+
+
 _LEFT_PROD_SQL = with_views(f"""
 select c.CLAIM_ID, c.YEAR, {norm('c.NDC')} as NDC, d.NDC_CD, d.USC_CD, d.ROUTE_ADM_NM,
        case when d.NDC_CD is not null then 1 else 0 end as merged_prod_ref
@@ -366,6 +376,28 @@ def q_unmatched_product(spark, sf):
     return relate.unmatched(c, _products(spark, sf), "NDC", "NDC_CD").select("PATIENT_ID", "CLAIM_ID", "YEAR", "NDC")
 
 
+@register("q_unmatched_extracts", with_views(f"""
+select 'patient' as lookup, PATIENT_ID, CLAIM_ID, YEAR from claims c
+where not exists (select 1 from patient_ref p where p.PATIENT_ID_REF = c.PATIENT_ID)
+union all
+select 'product' as lookup, PATIENT_ID, CLAIM_ID, YEAR from claims c
+where not exists (select 1 from product_silver d where d.NDC_CD = {norm('c.NDC')})""", "claims", "patient_ref", "product_silver"))
+def q_unmatched_extracts(spark, sf):
+    """Both extracts of a claims run over co-located tables: from the flags of the
+    silver table written, and a narrow join of the claims that silver drops."""
+    from claimlake.plans.jobs import RunParams, colocate_job, unmatched_flags
+    p = RunParams(base=shared_path(spark, "q_extracts"), on_duplicate="keep")
+    products = _products(spark, sf)
+    claims, patients = colocate_job(spark, cv.claims_bronze(spark, sf), _patients(spark, sf), p, 8)
+    silver = curate.claims_clean(curate.claims_enrich(claims, patients, products))
+    years = [r[0] for r in claims.rows().select("YEAR").distinct().collect()]
+    io.write_year(silver, p.base, "silver", "claims", ("MARKET_NAME",), years)
+    written = io.read_layer(spark, p.base, "silver", "claims", schema=silver.schema)
+    flags = unmatched_flags(claims, written, years, patients, products)
+    lost = F.explode(F.array_compact(F.array(*[F.when(F.col(flag) == 0, F.lit(name)) for flag, name in (("merged_pat_ref", "patient"), ("merged_prod_ref", "product"))])))
+    return flags.select(lost.alias("lookup"), "PATIENT_ID", "CLAIM_ID", "YEAR")
+
+
 @register("q_claims_silver", with_views("select * from silver", "silver"))
 def q_claims_silver(spark, sf):
     """The silver claims table: enriched with both lookups (merge flags),
