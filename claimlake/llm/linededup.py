@@ -20,6 +20,10 @@ first), a hash of the row, line number.
    words is verified, then the later line is marked.
 5. Marked lines, and repeats of equal lines, are taken out of the texts.
 
+On demand every document also tells how many words it keeps, and how many of its
+distinct lines' words went because another document has them earlier (not those
+that repeat a line of its own): a near copy keeps few and lost many.
+
 Defined results: null texts stay null, empty texts and empty lines stay; rows of
 equal id and text are one document (they lose the same lines); a document
 that loses all its lines keeps an empty text; an empty table gives an empty
@@ -28,7 +32,7 @@ result; other columns are kept as they are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -158,8 +162,9 @@ def _candidate_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return materialize(lines.dropDuplicates(["h"]), "linededup_candidates")
 
 
-def near_repeats(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(h) of the distinct lines that have an earlier line within the bound."""
+def near_repeats(docs: DataFrame, firsts: DataFrame, sources: bool = False) -> DataFrame:
+    """(h) of the distinct lines that have an earlier line within the bound;
+    with ``sources`` also the row of that line, ``source``."""
     lines = _candidate_lines(docs, firsts)
     variants = _variants(lines)
     meet = variants.groupBy("v").agg(F.min("h").alias("x"), F.max("h").alias("y")).where("x <> y").select("v")
@@ -170,54 +175,74 @@ def near_repeats(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     other = F.when(F.col("tag") == 0, F.col("p")).when(F.col("tag") == 1, F.col("w")).otherwise(F.col("d"))
     # the earliest of each key decides; lines meet a key only with their own tag's partner
     found = met.join(by_key, "v").withColumn("other", other).where(F.col("other.first") < F.col("first"))
-    witness = found.groupBy("h").agg(F.min("other").alias("other")).select("h", F.col("other.h").alias("h2"))
+    own = ["source"] if sources else []
+    witness = found.groupBy("h").agg(F.min("other").alias("other")).select("h", F.col("other.h").alias("h2"), *[F.col("other.first.row").alias(c) for c in own])
     pairs = witness.join(lines.select("h", "line_text"), "h").join(lines.select(F.col("h").alias("h2"), F.col("line_text").alias("text_2")), "h2")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [[x.as_py().encode("utf-8", "surrogatepass").split() for x in batch.column(c)] for c in (1, 2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array([within_bound(a, b) for a, b in zip(*words, strict=True)], pa.bool_()))], names=["h"])
+            near = pa.array([within_bound(a, b) for a, b in zip(*words, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(near) for c in (0, *range(3, 3 + len(own)))], names=["h", *own])
+
+    return pairs.select("h", "line_text", "text_2", *own).mapInArrow(verify, ", ".join(f"{c} long" for c in ("h", *own)))
+
 
-    return pairs.select("h", "line_text", "text_2").mapInArrow(verify, "h long")
+def _words(lines: Iterable[str]) -> int:
+    """Words of the distinct lines."""
+    return sum(len(x) for x in {tuple(line.encode("utf-8", "surrogatepass").split()) for line in lines})
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", least_words: int = LEAST_WORDS, count_words: bool = False) -> DataFrame:
     """The documents with repeated lines taken out of ``text``, and n_lines
     (lines before) and n_removed (lines taken out). Lines of fewer than
-    ``least_words`` words stay; empty lines always do."""
+    ``least_words`` words stay; empty lines always do. With ``count_words`` also
+    n_words_left and n_words_elsewhere (words of the distinct lines that are left,
+    and of those that another document has earlier), 0 where no line went."""
     least_words = max(1, least_words)
     source = docs.select(F.col(id_col).alias("_id"), "text")
     place = F.struct(F.col("_id").alias("id"), "row", "line")
     firsts = _lines(source, True, least_words).groupBy("h").agg(F.min(place).alias("first"), F.first("keys").alias("keys"))
     firsts = materialize(firsts, "linededup_firsts")
-    near = near_repeats(source, firsts).withColumn("near", F.lit(True))
+    near = near_repeats(source, firsts, count_words).withColumn("near", F.lit(True))
     known = firsts.select("h", "first").join(near, "h", "left")
     repeats = _lines(source, False, least_words).join(known, "h").where(F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first")))
-    removed = materialize(repeats.groupBy("row").agg(F.sort_array(F.collect_set("line")).alias("removed")), "linededup_removed")
+    lists = [F.sort_array(F.collect_set("line")).alias("removed")]
+    if count_words:
+        lists.append(F.collect_set(F.when(F.coalesce("source", F.col("first.row")) != F.col("row"), F.col("line"))).alias("elsewhere"))
+    removed = materialize(repeats.groupBy("row").agg(*lists), "linededup_removed")
 
     columns = docs.columns
     renamed = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     text = f"c{columns.index('text')}"
     joined = renamed.withColumn("row", F.xxhash64(f"c{columns.index(id_col)}", text)).join(removed, "row", "left")
     schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.IntegerType()), T.StructField("n_removed", T.IntegerType())])
+    counts = ["n_words_left", "n_words_elsewhere"] if count_words else []
+    for c in counts:
+        schema = schema.add(c, T.LongType())
 
     others = [c for c in renamed.columns if c != text]
     whole = T.StructType([*(renamed.schema[c] for c in others), *schema.fields])
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, before, out = [], [], []
-            for text, gone in zip(batch.column(len(others)), batch.column(len(others) + 1), strict=True):
+            texts, before, out, words = [], [], [], [[] for _ in counts]
+            for i, (text, gone) in enumerate(zip(batch.column(len(others)), batch.column(len(others) + 1), strict=True)):
                 t, g = text.as_py(), gone.as_py()
                 lines = t.split("\n") if t is not None else []
                 drop = set(g or ())
                 texts.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else t)
                 before.append(len(lines))
                 out.append(len(drop))
+                if counts:
+                    away = batch.column(len(others) + 2)[i].as_py() or ()
+                    words[0].append(_words(x for k, x in enumerate(lines) if k not in drop) if drop else 0)
+                    words[1].append(_words(lines[k] for k in away))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(others))), pa.array(texts, pa.string()), pa.array(before, pa.int32()), pa.array(out, pa.int32())], names=whole.names
+                [*(batch.column(i) for i in range(len(others))), pa.array(texts, pa.string()), pa.array(before, pa.int32()), pa.array(out, pa.int32()), *(pa.array(w, pa.int64()) for w in words)],
+                names=whole.names,
             )
 
-    rebuilt = joined.select(*others, text, "removed").mapInArrow(rebuild, whole)
+    rebuilt = joined.select(*others, text, "removed", *(["elsewhere"] if count_words else [])).mapInArrow(rebuild, whole)
     back = [F.col("text") if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(columns)]
-    return rebuilt.select(*back, *[F.col(n) for n in ("n_lines", "n_removed")])
+    return rebuilt.select(*back, *[F.col(n) for n in ("n_lines", "n_removed", *counts)])

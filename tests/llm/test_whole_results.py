@@ -87,3 +87,43 @@ def test_ambiguity_does_not_depend_on_the_number_of_languages(spark):
     docs = spark.createDataFrame([*rows, (900, half, None, "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
     assert set(range(200)) <= kept
+
+
+def _prose(rng: random.Random, lines: int = 10, words: int = 12) -> list[list[str]]:
+    return [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(words)] for _ in range(lines)]
+
+
+def _text(lines: list[list[str]]) -> str:
+    return "\n".join(" ".join(x) for x in lines)
+
+
+@pytest.mark.parametrize("changes", [0, 1, 3, 6])
+def test_near_copies_go_whole_and_originals_stay(spark, changes):
+    rng = random.Random(changes)
+    originals = [_prose(rng) for _ in range(100)]
+    copies = []
+    for lines in originals:
+        copy = [list(x) for x in lines]
+        for _ in range(changes):  # also several in one line
+            copy[rng.randrange(10)][rng.randrange(12)] = "zz" + str(rng.randrange(10**6))
+        copies.append(copy)
+    rows = [(i, _text(x)) for i, x in enumerate(originals + copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, docs, ""), "").collect()}
+    assert all(got.get(i) == text for i, text in rows[:100])
+    left = {i for i in got if i >= 100}
+    # a copy can stay only if more than a fifth of its lines differ by two words or more
+    assert all(5 * sum(sum(a != b for a, b in zip(x, y, strict=True)) > 1 for x, y in zip(originals[i - 100], copies[i - 100], strict=True)) > 10 for i in left)
+    assert len(left) <= 2
+
+
+def test_lines_of_its_own_and_shared_headers_take_no_document_out(spark):
+    rng = random.Random(5)
+    header, body, other = _prose(rng, 6), _prose(rng, 4), _prose(rng, 4)
+    template = _prose(rng, 1)[0]
+    listing = [[*template[:-1], f"n{i}"] for i in range(50)]  # each within one edit of the first
+    rows = [(1, _text(header + body)), (2, _text(header + other)), (3, _text(listing)), (4, _text([body[0]] * 30 + _prose(rng, 5)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert sorted(got) == [1, 2, 3, 4]
+    assert got[1] == rows[0][1] and got[2] == _text(other) and got[3] == " ".join(listing[0])
