@@ -24,6 +24,11 @@ from pyspark.sql import functions as F
 from claimlake.llm import langid, linededup, neardup, packing, secrets
 from claimlake.session import materialize
 
+#: The share of near duplicates, held against lines.
+COPIED_PERCENT = 80
+#: The length above which a repeated passage counts as copied.
+COPIED_WORDS = 50
+
 
 def _with_length(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     """``n_chars`` follows the text where a stage has changed it."""
@@ -61,10 +66,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_own_names
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated lines out; a document with nothing left goes."""
-    found = linededup.dedup_lines(docs, least_words=1)
-    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return _with_length(found.where(~F.coalesce(emptied, F.lit(False))), F.col("n_removed") > 0).select(docs.columns)
+    """Takes repeated lines out; a document with nothing left goes. One that has lost
+    more than ``COPIED_WORDS`` words to earlier documents, and ``COPIED_PERCENT`` or
+    more of all, is a copy and goes whole, so that none is left as a fragment.
+    Repeats of a document's own lines don't count for that, and a short text under a
+    shared header stays."""
+    found = linededup.dedup_lines(docs, least_words=1, count_words=True)
+    left, elsewhere = F.col("n_words_left"), F.col("n_words_elsewhere")
+    emptied = (left == 0) | ((elsewhere > COPIED_WORDS) & (100 * elsewhere >= COPIED_PERCENT * (left + elsewhere)))
+    copied = (F.col("n_removed") > 0) & emptied
+    return _with_length(found.where(~copied), F.col("n_removed") > 0).select(docs.columns)
 
 
 @_own_names
