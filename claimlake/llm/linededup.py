@@ -189,8 +189,15 @@ def near_repeats(docs: DataFrame, firsts: DataFrame, sources: bool = False) -> D
 
 
 def _words(lines: Iterable[str]) -> int:
-    """Words of the distinct lines."""
-    return sum(len(x) for x in {tuple(line.encode("utf-8", "surrogatepass").split()) for line in lines})
+    """Words of the distinct lines, a line's words at a time."""
+    seen, total = set(), 0
+    for line in lines:
+        words = line.encode("utf-8", "surrogatepass").split()
+        key = xxhash.xxh3_128_digest(b" ".join(words))
+        if key not in seen:
+            seen.add(key)
+            total += len(words)
+    return total
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", least_words: int = LEAST_WORDS, count_words: bool = False) -> DataFrame:
