@@ -62,6 +62,13 @@ def half_keys(words: list[bytes]) -> list[int]:
     return [_hash([b"<", *words[:p]]) for p in sorted(ahead)] + [_hash([b">", *words[n - s :]]) for s in sorted(behind)]
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, which bound what a task holds and gives back at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def _row() -> Column:
     return F.xxhash64("_id", "text")
 
@@ -73,7 +80,7 @@ def _lines(docs: DataFrame, with_keys: bool, least_words: int) -> DataFrame:
         schema = schema.add("keys", T.ArrayType(T.LongType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             at, h, line, keys = [], [], [], []
             for i, text in enumerate(batch.column(2)):
                 for k, x in enumerate(text.as_py().split("\n")):
@@ -180,7 +187,7 @@ def near_repeats(docs: DataFrame, firsts: DataFrame, sources: bool = False) -> D
     pairs = witness.join(lines.select("h", "line_text"), "h").join(lines.select(F.col("h").alias("h2"), F.col("line_text").alias("text_2")), "h2")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             words = [[x.as_py().encode("utf-8", "surrogatepass").split() for x in batch.column(c)] for c in (1, 2)]
             near = pa.array([within_bound(a, b) for a, b in zip(*words, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(near) for c in (0, *range(3, 3 + len(own)))], names=["h", *own])
@@ -232,7 +239,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", least_words: int = LEAS
     whole = T.StructType([*(renamed.schema[c] for c in others), *schema.fields])
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             texts, before, out, words = [], [], [], [[] for _ in counts]
             for i, (text, gone) in enumerate(zip(batch.column(len(others)), batch.column(len(others) + 1), strict=True)):
                 t, g = text.as_py(), gone.as_py()
