@@ -94,7 +94,45 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register()
+def _op9_sql() -> str:
+    """Positions from the pieces between the matches. The expressions are those of the
+    contract and of the published formats, with letters of either case written out
+    (DuckDB's case folding goes beyond ASCII) and the vertical tab among white space."""
+    either = lambda word: "".join(f"[{x}{x.upper()}]" if x.isalpha() else x for x in word)
+    names = "|".join([*map(either, ("password", "passwd", "secret", "token")), either("api") + "_?" + either("key")])
+    key_name = r"(?:[A-Z]{1,20} ){0,4}PRIVATE KEY-----"
+    rules = [
+        ("assign", rf"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        ("access", "AKIA[A-Z0-9]+", 0, 20),
+        ("hex", "[0-9a-f]+", 0, 24),
+        ("private_key", rf"-----BEGIN {key_name}[A-Za-z0-9+/=\s\x0B]*(?:-----END {key_name})?", 0, 0),
+        ("code_host", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+        ("chat_token", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+        ("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 0),
+        ("cloud_key", "AIza[A-Za-z0-9_-]{35,}", 0, 0),
+        ("payment_key", "sk_live_[A-Za-z0-9]{16,}", 0, 0),
+        ("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s\x0B:/@]{1,256}:[^\s\x0B:/@]{3,256}@[A-Za-z0-9.-]+", 0, 0),
+    ]
+    found = []
+    for i, (kind, pattern, group, least) in enumerate(rules):
+        p = "'" + pattern.replace("'", "''") + "'"
+        found.append(f"""SELECT n, {i} AS o, '{kind}' AS kind, {least} AS least, unnest(range(1, len(m) + 1)) AS i, gaps, m, g
+FROM (SELECT n, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}) AS m, regexp_extract_all(text, {p}, {group}) AS g FROM d)""")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({" UNION ALL ".join(found)}),
+l AS (SELECT n, o, kind, least, i, length(gaps[i]) AS gap, length(m[i]) AS size, length(g[i]) AS tested FROM f),
+s AS (SELECT n, o, kind, least, tested, size, CAST(sum(gap + size) OVER (PARTITION BY n, o ORDER BY i) - size AS BIGINT) AS start FROM l),
+k AS (SELECT n, o, kind, start, kind || ':' || start || ':' || (start + size) AS span FROM s WHERE tested >= least),
+a AS (SELECT n, count(*) FILTER (WHERE o = 0) AS n_assign, count(*) FILTER (WHERE o = 1) AS n_access, count(*) FILTER (WHERE o = 2) AS n_hex,
+             string_agg(span, ',' ORDER BY start, o) FILTER (WHERE o < 3) AS base, string_agg(span, ',' ORDER BY start, o) AS spans FROM k GROUP BY n)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (n)
+"""
+
+
+@register(_op9_sql())
 def op9_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: counts and digest of the base kinds, all spans."""
     from claimlake.llm import secrets as s
@@ -138,7 +176,26 @@ def op6_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-@register()
+#: Equal sets first; sets that share enough have one of their rarest shingles in common
+#: (so many that the others alone would not be enough), and are compared whole then.
+_OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+d AS MATERIALIZED (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 1 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END)) AS sh FROM w),
+c AS MATERIALIZED (SELECT sh, min(doc_id) AS rep FROM d WHERE len(sh) > 0 GROUP BY sh),
+u AS (SELECT rep, len(sh) AS n, unnest(sh) AS g FROM c),
+r AS (SELECT rep, n, g, row_number() OVER (PARTITION BY rep ORDER BY df, g) AS i FROM u JOIN (SELECT g, count(*) AS df FROM u GROUP BY g) USING (g)),
+p AS MATERIALIZED (SELECT rep, n, g FROM r WHERE i <= n - (80 * n + 99) // 100 + 1),
+q AS MATERIALIZED (SELECT DISTINCT x.rep AS a, y.rep AS b FROM p x JOIN p y ON x.g = y.g AND x.rep < y.rep AND 100 * x.n >= 80 * y.n AND 100 * y.n >= 80 * x.n),
+l AS MATERIALIZED (SELECT a, b FROM (SELECT a, b, len(list_intersect(x.sh, y.sh)) AS m, len(x.sh) + len(y.sh) AS t FROM q JOIN c x ON x.rep = a JOIN c y ON y.rep = b) WHERE 100 * m >= 80 * (t - m)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+z(a, least_id) AS (SELECT rep, rep FROM c UNION SELECT e.b, z.least_id FROM z JOIN e ON e.a = z.a WHERE z.least_id < e.b),
+k AS (SELECT a, min(least_id) AS component FROM z GROUP BY a)
+SELECT d.doc_id, CAST(len(d.sh) AS BIGINT) AS n_shingles, coalesce(k.component, d.doc_id) AS component_id, coalesce(k.component, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN c ON c.sh = d.sh LEFT JOIN k ON k.a = c.rep
+"""
+
+
+@register(_OP10_SQL)
 def op10_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by two-word shingles."""
     from claimlake.llm import neardup
