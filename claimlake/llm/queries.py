@@ -143,7 +143,55 @@ def op9_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), s.listed(F.col("spans")).alias("spans"))
 
 
-@register()
+def _xxhash64_sql(x: str) -> str:
+    """Spark's xxhash64 of a bigint column, as a bigint; the numbers are the hash's published primes."""
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+    word, seed = f"{2**64}::UHUGEINT", 42
+    turn = lambda h, r: f"(({h} * {2**r}::UHUGEINT) % {word} + {h} // {2 ** (64 - r)}::UHUGEINT)"
+    steps = [
+        f"(CASE WHEN {x} < 0 THEN CAST({x} AS HUGEINT) + {2**64}::HUGEINT ELSE CAST({x} AS HUGEINT) END)::UHUGEINT",
+        f"(h * {p2}::UHUGEINT) % {word}",
+        f"xor({seed + p5 + 8}::UHUGEINT, {turn('h', 31)} * {p1}::UHUGEINT % {word})",
+        f"({turn('h', 27)} * {p1}::UHUGEINT % {word} + {p4}::UHUGEINT) % {word}",
+        f"xor(h, h // {2**33}::UHUGEINT) * {p2}::UHUGEINT % {word}",
+        f"xor(h, h // {2**29}::UHUGEINT) * {p3}::UHUGEINT % {word}",
+        f"xor(h, h // {2**32}::UHUGEINT)",
+        f"CAST(CASE WHEN h >= {2**63}::UHUGEINT THEN h::HUGEINT - {2**64}::HUGEINT ELSE h::HUGEINT END AS BIGINT)",
+    ]
+    out = f"list_value({steps[0]})"  # a list of one value, so that each step names it once
+    for step in steps[1:]:
+        out = f"list_transform({out}, lambda h: {step})"
+    return f"({out})[1]"
+
+
+def _op5_sql() -> str:
+    rendered = lambda l: f"array_to_string(list_transform({l}, lambda t: '<|' || t.r || '|>' || chr(10) || t.x || '<|end|>' || chr(10)), '')"
+
+    def masked(l: str) -> str:
+        sizes = f"list_transform({l}, lambda t: length(t.r) + length(t.x) + 13)"
+        upto = lambda i: f"CAST(coalesce(list_sum(({sizes})[1:{i}]), 0) AS BIGINT)"
+        trained = f"list_filter(range(1, len({l}) + 1), lambda i: ({l})[i].r = 'assistant')"
+        return f"array_to_string(list_transform({trained}, lambda i: ({upto('i - 1')} + length(({l})[i].r) + 5) || ':' || {upto('i')}), ',')"
+
+    return f"""
+WITH t AS (SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(struct_pack(r := role, x := text) ORDER BY turn NULLS FIRST, role, text) AS l FROM t GROUP BY conv_id),
+w AS (SELECT conv_id, l, list_max(list_filter(range(1, len(l) + 1), lambda i: l[i].r = 'assistant')) AS k FROM c WHERE len(list_filter(l, lambda t: t.r = 'assistant')) > 0),
+n AS (SELECT greatest(1, count(*) // 128) AS pools FROM w),
+p AS (SELECT conv_id, l, k, l[k].x AS reply, (({_xxhash64_sql('conv_id')} % pools) + pools) % pools AS pool FROM w, n),
+o AS (SELECT *, lead(reply) OVER (PARTITION BY pool ORDER BY conv_id) AS after_it, first_value(reply) OVER (PARTITION BY pool ORDER BY conv_id) AS first_one,
+             count(*) OVER (PARTITION BY pool) AS together FROM p),
+e AS (SELECT list(struct_pack(id := conv_id, reply := reply) ORDER BY conv_id) AS two FROM (SELECT conv_id, reply FROM p ORDER BY conv_id LIMIT 2)),
+x AS (SELECT conv_id, l, k, reply, CASE WHEN together > 1 THEN coalesce(after_it, first_one) ELSE coalesce(CASE WHEN two[1].id <> conv_id THEN two[1].reply ELSE two[2].reply END, '') END AS other FROM o, e),
+s AS (SELECT conv_id, l, list_transform(l, lambda t, i: CASE WHEN i = k THEN struct_pack(r := t.r, x := other) ELSE t END) AS m, CASE WHEN other = reply THEN len(l) ELSE k - 1 END AS n FROM x),
+y AS (SELECT conv_id, n, l[1:n] AS shared, l[n + 1:] AS a, m[n + 1:] AS b FROM s)
+SELECT conv_id, CAST(n AS INTEGER) AS n_common, {rendered('shared')} AS prompt, {rendered('a')} AS chosen, {masked('a')} AS chosen_mask,
+       {rendered('b')} AS rejected, {masked('b')} AS rejected_mask
+FROM y
+"""
+
+
+@register(_op5_sql())
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt and masked completions for every conversation with a reply, the
     rejected side made by exchanging the last reply within a pool."""
