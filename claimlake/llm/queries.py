@@ -275,7 +275,22 @@ def op4_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register()
+_OP3_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS ts FROM documents),
+d AS (SELECT doc_id, len(ts) AS n, ts FROM t WHERE len(ts) > 0),
+c AS MATERIALIZED (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM c GROUP BY term),
+g AS (SELECT count(*) AS docs, avg(n) AS mean FROM d),
+w AS (SELECT term, ln(1 + (docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) AS idf FROM f, g),
+q AS (SELECT doc_id AS query_id, term, idf FROM c JOIN w USING (term) WHERE doc_id % 100 = 0),
+s AS (SELECT query_id, doc_id, sum(idf * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / mean)) ORDER BY term) AS score
+      FROM q JOIN c USING (term), g GROUP BY query_id, doc_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM s)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+
+@register(_OP3_SQL)
 def op3_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents for every document whose id is divisible by 100."""
     from claimlake.llm import search
