@@ -50,13 +50,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Mark ``df`` for broadcast only when its size is checked to be small.
 
-    Returns (frame, broadcast?). Above the bound the frame is returned as is
-    and the join shuffles (AQE may still pick a broadcast from runtime sizes).
+    Returns (frame, broadcast?). A frame counted to be above the bound is marked
+    for a join that shuffles: Spark's estimate does not see rows that an explode
+    adds, so left to itself it may collect such a frame on the driver.
     ``max_rows=None`` skips the check and leaves the choice to Spark.
     """
-    if max_rows is not None and fits_broadcast(df, max_rows):
+    if max_rows is None:
+        return df, False
+    if fits_broadcast(df, max_rows):
         return F.broadcast(df), True
-    return df, False
+    return df.hint("merge"), False
 
 
 def null_salt(keys: Sequence[str], salt_from: Sequence[str]) -> Column:

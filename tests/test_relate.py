@@ -43,6 +43,16 @@ def test_bounded_broadcast_checks_size(spark):
     assert relate.bounded_broadcast(df, None)[1] is False
 
 
+def test_a_lookup_counted_above_the_bound_is_not_broadcast(spark, claims):
+    # Spark's estimate of an exploded frame is that of the frame before
+    some = spark.range(2).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("PATIENT_ID_REF"))
+    every = some.withColumn("YEAR", F.explode(F.sequence(F.lit(1990), F.lit(2010))))
+    joined = relate.left_join_flag(claims.withColumn("YEAR", F.lit(2000)), every, "PATIENT_ID", "PATIENT_ID_REF", flag="m", broadcast_max_rows=20, also=["YEAR"])
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    missing = relate.unmatched(claims, every, "PATIENT_ID", "PATIENT_ID_REF", broadcast_max_rows=0)
+    assert "BroadcastHashJoin" not in missing._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("bound", [relate.DEFAULT_BROADCAST_MAX_ROWS, 0])
 def test_unmatched_includes_null_keys(spark, claims, pats, bound):
     out = relate.unmatched(claims, pats, "PATIENT_ID", "PATIENT_ID_REF", broadcast_max_rows=bound)
