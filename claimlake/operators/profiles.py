@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlake.session import materialize
 from claimlake.sources import io
 
 LG_K = 14
@@ -41,8 +42,10 @@ def partial(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("YEAR",
 
 
 def write(df: DataFrame, columns: Sequence[str], base: str, dataset: str, by: Sequence[str] = ("MARKET_NAME",), years: Sequence[int] | None = None) -> str:
-    """Stores the states of the years in ``df`` (or ``years``) in place of earlier ones."""
-    return io.write_year(partial(df, columns, ("YEAR", *by)), base, "silver", dataset, years=years)
+    """Stores the states of the years in ``df`` (or ``years``) in place of earlier ones.
+    They are stored aside first: the write reads them twice, the table is read once."""
+    states = materialize(partial(df, columns, ("YEAR", *by)), "profile-states")
+    return io.write_year(states, base, "silver", dataset, years=years)
 
 
 def merged(states: DataFrame, by: Sequence[str] = (), quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:

@@ -55,3 +55,16 @@ def test_a_year_again_leaves_the_others(spark):
     assert sorted(spark.read.parquet(f"{path}/YEAR=2020").inputFiles()) == before
     got = {r.YEAR: (r.n, r["mean"]) for r in profiles.merged(stored, ("YEAR",)).collect()}
     assert got == {2020: (10, 2022.0), 2021: (5, pytest.approx(1.0))}
+
+
+def test_the_table_is_read_once_to_store_its_states(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(x):
+        seen.add(1)
+        return float(x)
+
+    df = spark.range(40).select(F.lit(2000).alias("YEAR"), F.lit("A").alias("MARKET_NAME"), value("id").alias("x"))
+    profiles.write(df.withColumn("MARKET_NAME", F.when(F.col("x") > 9, "A").otherwise("B")), ["x"], shared_path(spark, "t-profile-once"), "profiles")
+    assert seen.value == 40
