@@ -95,9 +95,11 @@ MAX_ROUNDS = 200
 
 
 def _exact(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str],
-           max_exact_rows: int, accuracy: int, grid: int) -> DataFrame:
+           max_exact_rows: int, accuracy: int, grid: int, materialized: bool) -> DataFrame:
     shared_root(df.sparkSession)  # checkpoint() below needs the shared folder
     data, gcols = _data(df, value, by)
+    if not materialized:
+        data = materialize(data, "quantile-values")  # read twice a round
     pct = [i / grid for i in range(grid + 1)]
     keys = [*gcols, "__t"]
     nul_d, no = F.lit(None).cast("double"), F.lit(False)
@@ -180,13 +182,15 @@ def _exact(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[s
 
 def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (),
               method: str = "exact", max_exact_rows: int = MAX_EXACT_ROWS,
-              accuracy: int = SKETCH_ACCURACY, grid: int = GRID) -> DataFrame:
+              accuracy: int = SKETCH_ACCURACY, grid: int = GRID, materialized: bool = False) -> DataFrame:
     """Discrete quantiles of ``value`` (NULLs ignored) per ``by`` group, one
     double column per ``probs`` entry. Without ``by`` the result has one row
-    (none when every value is NULL)."""
+    (none when every value is NULL). The exact method reads its groups and values
+    several times: they are written once to the shared folder unless ``df`` is a
+    cheap read of a stored table (``materialized``)."""
     by = list(by)
     if method == "exact":
-        return _exact(df, value, probs, by, max_exact_rows, accuracy, grid)
+        return _exact(df, value, probs, by, max_exact_rows, accuracy, grid, materialized)
     v = F.col(value)
     if method == "disc":
         aggs = [F.expr(f"percentile_disc({float(p)}) within group (order by `{value}`)").cast("double").alias(n)
@@ -241,7 +245,7 @@ def count_outliers(df: DataFrame, value: str, group: str, method: str = "exact",
     """Per group, values outside the *global* 1.5 x IQR fences; groups without
     outliers are absent."""
     df = _narrowed(df, [group, value], materialized)
-    fences = iqr_fences(df, value, method=method, **kw)
+    fences = iqr_fences(df, value, method=method, materialized=True, **kw)
     return (df.where(_is_outlier(value, fences)).groupBy(group)
             .agg(F.count(F.lit(1)).alias("outlier_count")))
 
@@ -256,7 +260,7 @@ def robust_summary(df: DataFrame, value: str, group: str, method: str = "exact",
     ``df`` is already a stored table) and every pass reads them."""
     df = _narrowed(df, [group, value], materialized)
     v = F.col(value)
-    fences = iqr_fences(df, value, method=method, **kw)
+    fences = iqr_fences(df, value, method=method, materialized=True, **kw)
     stats = df.groupBy(group).agg(
         F.count(v).alias("total_observations"),
         F.min(v).alias("min"),
@@ -265,7 +269,7 @@ def robust_summary(df: DataFrame, value: str, group: str, method: str = "exact",
         F.max(v).alias("max"),
         F.count_if(_is_outlier(value, fences)).alias("count_outliers"),
     )
-    med = quantiles(df, value, {"median": 0.5}, by=[group], method=method, **kw).withColumnRenamed(group, "__grp")
+    med = quantiles(df, value, {"median": 0.5}, by=[group], method=method, materialized=True, **kw).withColumnRenamed(group, "__grp")
     out = stats.join(med, stats[group].eqNullSafe(med["__grp"]), "left").drop("__grp")
     return out.select(
         group, "total_observations", "min", "median", "mean", "stddev", "max", "count_outliers",
@@ -288,7 +292,7 @@ def robust_summaries(df: DataFrame, values: Sequence[str], group: str, method: s
     long = long.select("c.measure", "c.whole", F.when(~F.col("c.whole"), F.col(group)).alias(group), F.col("c.v").alias("v"))
     probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     # a row per measure and group
-    found = materialize(quantiles(long, "v", probs, by=["measure", "whole", group], method=method, **kw), "quantiles")
+    found = materialize(quantiles(long, "v", probs, by=["measure", "whole", group], method=method, materialized=True, **kw), "quantiles")
     fences = {r["measure"]: r for r in found.where("whole").collect()}  # a row per measure
     aggs = []
     for v in values:
