@@ -30,6 +30,8 @@ from claimlake.operators.relate import DEFAULT_BROADCAST_MAX_ROWS, left_join_fla
 
 #: A key with more rows than a bucket's fair share divided by this lies apart.
 HOT_PARTS = 4
+#: Rows of a bucket, which one task sorts: a larger table gets more buckets than asked for.
+ROWS_PER_BUCKET = 500_000
 _NOTE = "buckets int, keys string, schema string"
 
 
@@ -62,17 +64,18 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], buckets: int, rows: int | None = None) -> DataFrame:
     """Keys with more rows than a ``HOT_PARTS``-th of a bucket's fair share: at most
     ``HOT_PARTS * buckets``. Counts start in each task, so a hot key moves as a row per task."""
     whole = df.dropna(subset=list(keys))
-    bound = max(1, whole.count() // (HOT_PARTS * buckets))
+    bound = max(1, (whole.count() if rows is None else rows) // (HOT_PARTS * buckets))
     return whole.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound).drop("n")
 
 
 def store(df: DataFrame, path: str, keys: Sequence[str], buckets: int, lookup: bool = False) -> Colocated:
-    """Store ``df`` by ``keys`` in ``buckets`` buckets, one file each (one shuffle).
-    ``df`` is read several times and should be a stored table. A ``lookup`` holds about one row a key: none of its keys is hot, and its rows
+    """Store ``df`` by ``keys`` in ``buckets`` buckets, one file each (one shuffle), or in
+    as many as keep ``ROWS_PER_BUCKET`` rows a bucket; a ``lookup`` is stored in exactly
+    ``buckets``, those of the table it goes with. ``df`` is read several times and should be a stored table. A ``lookup`` holds about one row a key: none of its keys is hot, and its rows
     with a NULL key, which no row can meet, stay out."""
     spark, path = df.sparkSession, path.rstrip("/")
     missing = [k for k in keys if k not in df.columns]
@@ -80,7 +83,10 @@ def store(df: DataFrame, path: str, keys: Sequence[str], buckets: int, lookup: b
         raise ValueError(f"no columns {missing}" if missing else f"not a number of buckets: {buckets}")
     whole = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     none = df.select(*keys).limit(0)
-    (none if lookup else hot_keys(df, keys, buckets)).write.mode("overwrite").parquet(f"{path}/hot")
+    if not lookup:
+        rows = df.where(whole).count()
+        buckets = max(buckets, -(-rows // ROWS_PER_BUCKET))
+    (none if lookup else hot_keys(df, keys, buckets, rows)).write.mode("overwrite").parquet(f"{path}/hot")
     hot = F.broadcast(spark.read.schema(none.schema).parquet(f"{path}/hot"))
     near = df.where(whole)
     if lookup:

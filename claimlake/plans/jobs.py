@@ -157,13 +157,13 @@ def claims_report(bronze: DataFrame, enriched: DataFrame) -> DataFrame:
 def colocate_job(spark: SparkSession, bronze: DataFrame, patients: DataFrame, p: RunParams, buckets: int,
                  dataset: str = "claims") -> tuple[colocate.Colocated, colocate.Colocated]:
     """J1: a delivery's claims and the patient lookup stored by patient in the same
-    buckets. ``claims_job`` takes both in place of the tables, and takes them again
+    buckets (more than ``buckets`` if these would be too large). ``claims_job`` takes both in place of the tables, and takes them again
     when it is run again (``colocate.read``), without a shuffle of the claims."""
     also = ["YEAR"] if "YEAR" in patients.columns else []
     ref = relate.assert_unique(patients, ["PATIENT_ID_REF", *also], p.lookup_duplicates).drop("ingestion_date")
     part, base = f"{p.named(dataset)}_by_patient/{p.year or 'all'}", p.base.rstrip("/")
     stored = colocate.store(_year(bronze, p.year), f"{base}/bronze_{part}", ["PATIENT_ID", *also], buckets)
-    return stored, colocate.store(ref, f"{base}/lookup_{part}", ["PATIENT_ID_REF", *also], buckets, lookup=True)
+    return stored, colocate.store(ref, f"{base}/lookup_{part}", ["PATIENT_ID_REF", *also], stored.buckets, lookup=True)
 
 
 def unmatched_flags(delivery: DataFrame | colocate.Colocated, written: DataFrame, years: list, patients, products, **kw) -> DataFrame:

@@ -327,7 +327,7 @@ def q_left_patient_colocated(spark, sf):
     """The patient join of tables stored by patient in the same buckets: neither side moves."""
     base, buckets = shared_path(spark, "q_colocated"), 8
     claims = colocate.store(cv.claims(spark, sf), f"{base}/claims", ["PATIENT_ID"], buckets)
-    patients = colocate.store(_patients(spark, sf).drop("ingestion_date"), f"{base}/patients", ["PATIENT_ID_REF"], buckets, lookup=True)
+    patients = colocate.store(_patients(spark, sf).drop("ingestion_date"), f"{base}/patients", ["PATIENT_ID_REF"], claims.buckets, lookup=True)
     j = colocate.left_join(claims, patients, "merged_pat_ref")
     return j.select("CLAIM_ID", "YEAR", "PATIENT_ID", "PATIENT_ID_REF", "PATIENT_BRTH_YR", "PATIENT_GENDER", "merged_pat_ref")
 

@@ -111,3 +111,14 @@ def test_claims_job_over_colocated_tables_equals_the_plain_one(spark):
     assert rows(a["unmatched_patients"]) == rows(want, "PATIENT_ID", "CLAIM_ID", "YEAR")
     kept = silver.where("merged_pat_ref = 0").count()
     assert 0 < kept < want.count()
+
+
+def test_a_large_table_gets_more_buckets(spark, monkeypatch):
+    monkeypatch.setattr(colocate, "ROWS_PER_BUCKET", 100)
+    p = jobs.RunParams(base=shared_path(spark, "t-colocate-large"))
+    c, lookup = jobs.colocate_job(spark, _claims(spark), _patients(spark).withColumn("ingestion_date", F.lit(None).cast("date")), p, 2)
+    keyed = _claims(spark).where("PATIENT_ID IS NOT NULL").count()
+    assert c.buckets == lookup.buckets == -(-keyed // 100) > 2
+    assert rows(c.rows()) == rows(_claims(spark))
+    want = relate.left_join_flag(_claims(spark), _patients(spark), "PATIENT_ID", "PATIENT_ID_REF", flag="m")
+    assert rows(colocate.left_join(c, lookup, "m"), *want.columns) == rows(want)
