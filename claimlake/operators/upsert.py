@@ -28,9 +28,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from claimlake.operators.relate import assert_unique, bounded_broadcast, null_salt
+from claimlake.operators.relate import assert_unique, bounded_broadcast, fits_broadcast, null_salt
 from claimlake.session import materialize
 
+#: A delivery of at most so many rows has its keys sent to the stored rows, which then
+#: move once, to their files; the stored rows move by key to a larger one's, and stay there.
+SMALL_DELTA_ROWS = 500_000
+
 
 def table_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> bool:
     """True when ``path`` holds a Parquet table. Without ``schema`` a folder
@@ -45,10 +49,11 @@ def table_exists(spark: SparkSession, path: str, schema: StructType | None = Non
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 partition_by: str | None = "YEAR") -> DataFrame:
+                 partition_by: str | None = "YEAR", join: str | None = None) -> DataFrame:
     """The upserted content of the touched partitions (pure DataFrame, no
     write). Target rows with a NULL partition value belong to the partition of
-    NULLs and stay like others."""
+    NULLs and stay like others. ``join`` is the hint (``broadcast``, ``merge``)
+    for the source's keys, by default Spark's choice."""
     keys = list(keys)
     missing = [c for c in target.columns if c not in source.columns]
     extra = [c for c in source.columns if c not in target.columns]
@@ -64,7 +69,9 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
             target.where(F.col(partition_by).isNull()).withColumn("__touched", F.lit(0))
             .join(F.broadcast(nulls.select(F.lit(0).alias("__touched"))), "__touched", "left_semi").drop("__touched"))  # one row
     whole = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    src_keys = source.select(*keys).where(whole).distinct().withColumn("__salt", F.lit(0))
+    src_keys = source.select(*keys).where(whole).withColumn("__salt", F.lit(0))
+    if join:
+        src_keys = src_keys.hint(join)
     left = target.withColumn("__salt", null_salt(keys, target.columns))
     kept = left.join(src_keys, [*keys, "__salt"], "left_anti").select(*target.columns)
     return kept.unionByName(source.select(*target.columns))
@@ -93,25 +100,30 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     source rows per key (all are written, all replace the target rows of that
     key, which keeps re-runs idempotent). The source must have the table's
     columns and types.
-    ``num_partitions`` only shapes the first load (must be >= 1); later
-    writes are rebalanced by AQE. ``stage_source=False`` skips storing the
-    source first, for sources that are a cheap read of a stored table (the
-    merge reads the source three times).
+    ``num_partitions`` only shapes the first load (must be >= 1); other
+    writes move a row once at most: a write whose rows have moved by key already,
+    or are read from a stored table, goes to its years from there, with a file a
+    task and year. ``stage_source=False`` skips storing the source first, for sources that are a
+    cheap read of a stored table (the merge reads the source four times).
     """
     if num_partitions is not None and num_partitions < 1:
         raise ValueError("Number of partitions must be greater than or equal to 1.")
     source = assert_unique(source, keys, on_duplicate, latest)
     writer_opts = {"partitionOverwriteMode": "dynamic"}
     if not table_exists(spark, path, source.schema):
-        out = source.repartition(num_partitions) if num_partitions else source.hint("rebalance", partition_by)
+        if num_partitions:
+            out = source.repartition(num_partitions)
+        else:
+            out = source if on_duplicate == "latest" or not stage_source else source.hint("rebalance", partition_by)
         out.write.mode("overwrite").options(**writer_opts).partitionBy(partition_by).parquet(path)
         return path
     # The source is computed once and stored: the touched years, the keys
     # for the anti join and the inserted rows all read the stored copy.
     if stage_source:
-        source = materialize(source, "upsert-source", partition_by=(partition_by,))
+        source = materialize(source, "upsert-source")
     target = stored(spark, path, source.schema)
-    merged = merge_frames(target, source, keys, partition_by)
-    (merged.hint("rebalance", partition_by).write.mode("overwrite").options(**writer_opts)
+    small = fits_broadcast(source.select(*keys), SMALL_DELTA_ROWS)
+    merged = merge_frames(target, source, keys, partition_by, "broadcast" if small else "merge")
+    ((merged.hint("rebalance", partition_by) if small else merged).write.mode("overwrite").options(**writer_opts)
      .partitionBy(partition_by).parquet(path))
     return path

@@ -19,7 +19,7 @@ from claimlake.operators import clean, colocate, curate, markets, profiles, qual
 from claimlake.operators.store import merge_into, read_store
 from claimlake.operators.upsert import upsert
 from claimlake.plans.oracle import RUN_DATE, STATES, norm, with_views
-from claimlake.session import shared_path
+from claimlake.session import materialize, shared_path
 from claimlake.sources import claims_view as cv
 from claimlake.sources import io
 
@@ -741,11 +741,11 @@ def q_upsert(spark, sf):
     """Initial load of every claim, then refills re-delivered twice with a new
     UPDATE_DATE (upsert on CLAIM_ID, YEAR); the table is read back."""
     path = shared_path(spark, "q_upsert")
-    c = cv.claims(spark, sf)
-    upsert(spark, clean.stamp(c, "2024-01-01"), path, on_duplicate="keep")  # the view repeats some keys
+    c = materialize(cv.claims(spark, sf), "q_upsert-claims")  # joined once for all deliveries
+    upsert(spark, clean.stamp(c, "2024-01-01"), path, on_duplicate="keep", stage_source=False)  # the view repeats some keys
     refills = clean.stamp(c.where(F.col("RX_TYPE") == "R"), "2024-02-01")
-    upsert(spark, refills, path, on_duplicate="keep")
-    upsert(spark, refills, path, on_duplicate="keep")  # a re-run changes nothing
+    upsert(spark, refills, path, on_duplicate="keep", stage_source=False)
+    upsert(spark, refills, path, on_duplicate="keep", stage_source=False)  # a re-run changes nothing
     return spark.read.schema(clean.stamp(c, "x").schema).parquet(path)
 
 
@@ -864,7 +864,7 @@ select YEAR, count(*) as n_claims, max(DISPENSE_DATE) as last_dispense, min(DISP
 def q_upsert_duplicates(spark, sf):
     """Repeated keys resolved to the latest dispense before they are stored; a second delivery changes nothing."""
     path = shared_path(spark, "q_upsert_dup")
-    c = cv.claims(spark, sf)
+    c = materialize(cv.claims(spark, sf), "q_upsert_dup-claims")  # joined once for both deliveries
     for _ in range(2):
         upsert(spark, c, path, on_duplicate="latest", latest="DISPENSE_DATE")
     stored = spark.read.schema(c.schema).parquet(path)

@@ -1,5 +1,6 @@
 import pytest
 
+from claimlake.operators import upsert as upserts
 from claimlake.operators.upsert import table_exists, upsert
 from claimlake.session import shared_path
 from tests.conftest import rows
@@ -69,3 +70,21 @@ def test_upsert_keeps_rows_without_a_year_and_checks_columns(spark):
     with pytest.raises(ValueError, match="missing"):
         upsert(spark, spark.createDataFrame([("b", 2020, "1")], SCHEMA), wider)
     assert spark.read.parquet(wider).first().W == "w"
+
+
+@pytest.mark.parametrize("small", [500_000, 0])
+def test_a_merge_moves_the_stored_rows_once(spark, monkeypatch, small):
+    monkeypatch.setattr(upserts, "SMALL_DELTA_ROWS", small)
+    path = shared_path(spark, "t-upsert-once")
+    first = [(f"k{i % 40}" if i % 5 else None, 2000 + i % 3 if i % 7 else None, f"a{i}") for i in range(100)]
+    second = [(f"k{i}" if i % 6 else None, 2000 + i % 3, f"b{i}") for i in range(30)]
+    merged = []
+    frames = upserts.merge_frames
+    monkeypatch.setattr(upserts, "merge_frames", lambda *a, **kw: merged.append(frames(*a, **kw)) or merged[-1])
+    upsert(spark, spark.createDataFrame(first, SCHEMA), path, on_duplicate="keep")
+    upsert(spark, spark.createDataFrame(second, SCHEMA), path, on_duplicate="keep")
+    new = {r[:2] for r in second if r[0] is not None}
+    want = [r for r in first if r[:2] not in new] + second
+    assert _read(spark, path) == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
+    plan = merged[0]._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" in plan) == (small == 0), plan
