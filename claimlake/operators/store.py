@@ -172,6 +172,8 @@ def merge_into(spark: SparkSession, source: DataFrame, path: str, keys: Sequence
     touched = source.select(*found.folder).distinct().collect()  # a row per folder
     stored = spark.read.schema(found.stored).parquet(path)
     hit: list[Row] = []
+    if fresh:
+        gone = None  # nothing is stored that it could delete
     if gone is not None:
         gone = materialize(bucketed(gone, found).where(F.col(BUCKET) >= 0), "store-gone")
         # an existing folder is opened only if its key hash occurs among the rows to delete

@@ -220,3 +220,15 @@ def test_replayed_batch_adds_no_null_keys(spark):
     incremental.upsert_batch(batch, *look, p, "ckpt/0")
     assert stored() == first and any(r[3] is None for r in first[0]) and any(r[0] is None for r in first[1])
     assert schemas.GOLD_STORE_COLUMNS[3] == "CLAIM_ID"
+
+
+def test_nothing_is_deleted_from_a_table_just_made(spark, monkeypatch):
+    staged = []
+    keep = store.materialize
+    monkeypatch.setattr(store, "materialize", lambda df, *parts: staged.append(parts[0]) or keep(df, *parts))
+    path = shared_path(spark, "t-store-fresh")
+    df = spark.createDataFrame([("a", 2020, 1), ("b", 2021, 2)], "CLAIM_ID string, YEAR int, V int")
+    for n in range(2):
+        merge_into(spark, df, path, buckets=2, gone=spark.createDataFrame([("a", 2020), ("c", 2020)], "CLAIM_ID string, YEAR int"))
+        assert ("store-gone" in staged) == (n == 1)  # the second merge has stored rows to delete
+        assert rows(read_store(spark, path)) == rows(df)
