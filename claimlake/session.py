@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     # Parquet overwrite of a YEAR-partitioned table only replaces the years written.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Plans are checked by their text: filters must not be cut in it.
+    "spark.sql.maxMetadataStringLength": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # RDD checkpoints (quantile state) are removed once nothing refers to them.
