@@ -9,9 +9,13 @@ that a score doesn't depend on the shard it was computed in.
 ``search`` runs blocks of ``QUERIES`` queries against every shard. A shard's
 documents are cut into blocks of ``BLOCK``; for each term the largest
 contribution in each block is known, and the sum over a query's terms bounds
-every score in the block. Blocks are entered best bound first, and those whose
-bound is below the k-th best score so far (over all shards that the task has
-seen) are skipped: nothing that they hold can be among the k best. Each task
+every score in the block. Blocks whose bound is below the k-th best score so far
+(over all shards that the task has seen) are skipped: nothing that they hold can
+be among the k best. In the others every document gets a bound of its own: the
+contributions of terms that are in many of the shard's documents lie in a dense
+matrix, whose product with the weights of ``GROUP`` queries at a time is added to
+those of the other terms' postings. Documents whose bound reaches the k-th best
+score are scored, in double precision and in one order of terms. Each task
 hands on its k best per query; these are merged, in two steps, to the exact
 result.
 
@@ -46,6 +50,10 @@ SHARD_CHARS = 1 << 24
 BLOCK = 64
 #: Queries that are sent to the tasks at a time; bounds what is broadcast.
 QUERIES = 4096
+#: Queries whose bounds are computed together, and documents that are scored together.
+GROUP, SCORED = 64, 512
+#: A term in more than one of ``DENSE_SHARE`` documents of a shard goes to its dense matrix, ``DENSE_TERMS`` terms at most.
+DENSE_SHARE, DENSE_TERMS = 32, 1024
 _TERM = re.compile(r"\w+")
 
 
@@ -141,7 +149,8 @@ def weighted_queries(queries: DataFrame, df: DataFrame, n_docs: int, id_col: str
 
 
 class Shard:
-    """One shard, with contributions by posting and their block maxima."""
+    """One shard: contributions of frequent terms as a matrix, those of other terms by
+    posting, all with their block maxima."""
 
     def __init__(self, row: dict, mean: float):
         self.ids = row["ids"]
@@ -151,7 +160,21 @@ class Shard:
         self.docs = np.frombuffer(row["postings"], "<u2").astype(np.int64)
         tf = np.frombuffer(row["counts"], "<u4").astype(np.float64)
         self.part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
-        # entries: runs of postings of one term in one block
+        self.blocks = int(-(-len(self.ids) // BLOCK))
+        n = np.diff(starts)
+        # frequent terms, by document
+        dense = np.flatnonzero(n > len(self.ids) / DENSE_SHARE)
+        dense = dense[np.argsort(-n[dense], kind="stable")[:DENSE_TERMS]]
+        self.dense = np.full(len(n), -1)
+        self.dense[dense] = np.arange(len(dense))
+        self.exact = np.zeros((self.blocks * BLOCK, len(dense)))
+        at = _ranges(starts[dense], starts[dense + 1])
+        self.exact[self.docs[at], np.repeat(np.arange(len(dense)), n[dense])] = self.part[at]
+        self.matrix = np.ascontiguousarray(self.exact.T, np.float32)
+        self.most = self.matrix.reshape(len(dense), self.blocks, BLOCK).max(2)
+        # single precision and another order of additions change a sum of positive numbers by less than this share
+        self.slack = (len(dense) + 16) * 2.0**-22
+        # other terms' entries: runs of postings of one term in one block
         block = self.docs // BLOCK
         new = np.r_[True, block[1:] != block[:-1]]
         new[starts[:-1]] = True
@@ -160,7 +183,6 @@ class Shard:
         self.entry_block = block[self.entry_at]
         self.entry_most = np.maximum.reduceat(self.part, self.entry_at)
         self.term_entry = np.searchsorted(self.entry_at, starts)
-        self.blocks = int(-(-len(self.ids) // BLOCK))
 
 
 def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -181,39 +203,94 @@ class Top:
             self.floor = self.rows[-1][0]
 
 
-def run_query(s: Shard, term: np.ndarray, weight: np.ndarray, top: Top) -> int:
-    """Adds the shard's part to ``top``; gives the number of blocks entered."""
-    at = np.searchsorted(s.terms, term)
-    hit = np.flatnonzero(s.terms[np.minimum(at, len(s.terms) - 1)] == term)
-    if not len(hit):
+class Queries:
+    """Queries with their terms as numbers in one sorted list."""
+
+    def __init__(self, terms: list[np.ndarray], weights: list[np.ndarray]):
+        self.weights = weights
+        self.terms, number = np.unique(np.concatenate([np.zeros(0, np.uint64), *terms]), return_inverse=True)
+        self.numbers = np.split(number, np.cumsum([len(t) for t in terms])[:-1]) if terms else []
+
+    def __len__(self) -> int:
+        return len(self.weights)
+
+
+def run_queries(s: Shard, asked: Queries, tops: list[Top]) -> int:
+    """Adds the shard's part to every query's ``Top``; gives the number of blocks entered."""
+    at = np.minimum(np.searchsorted(s.terms, asked.terms), len(s.terms) - 1)
+    place = np.where(s.terms[at] == asked.terms, at, -1)
+    return sum(_run_group(s, place, asked, tops, range(i, min(i + GROUP, len(asked)))) for i in range(0, len(asked), GROUP))
+
+
+def _run_group(s: Shard, place: np.ndarray, asked: Queries, tops: list[Top], group: range) -> int:
+    # the queries' terms that the shard has, one query after the other; ``row`` is the query
+    row = np.repeat(np.arange(len(group)), [len(asked.numbers[i]) for i in group])
+    term, weight = place[np.concatenate([asked.numbers[i] for i in group])], np.concatenate([asked.weights[i] for i in group])
+    row, term, weight = row[term >= 0], term[term >= 0], weight[term >= 0]
+    if not len(term):
         return 0
-    lo, hi = s.term_entry[at[hit]], s.term_entry[at[hit] + 1]
-    entries = _ranges(lo, hi)
-    w = np.repeat(weight[hit], hi - lo)
-    blocks = s.entry_block[entries]
-    bound = np.bincount(blocks, w * s.entry_most[entries], s.blocks) * (1 + 1e-9)
-    open_blocks, entered = bound > 0, 0
-    order = np.argsort(-bound)
-    for some in (order[:2], order[2:8], order[8:]):
-        chosen = np.zeros(s.blocks, bool)
-        chosen[some] = True
-        chosen &= open_blocks & (bound >= top.floor)
+    column, size = s.dense[term], s.blocks * BLOCK
+    frequent, other = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
+    dense = np.zeros((len(group), len(s.matrix)), np.float32)
+    dense[row[frequent], column[frequent]] = weight[frequent]
+    bounds, sums = dense @ s.most, dense @ s.matrix
+    lo, hi = s.term_entry[term[other]], s.term_entry[term[other] + 1]
+    entries, of = _ranges(lo, hi), np.repeat(other, hi - lo)
+    block = row[of] * s.blocks + s.entry_block[entries]
+    bounds = (bounds + np.bincount(block, weight[of] * s.entry_most[entries], bounds.size).reshape(bounds.shape)) * (1 + s.slack)
+    # the best blocks first for queries that have no k-th best score yet
+    ahead = np.zeros(bounds.shape, bool)
+    np.put_along_axis(ahead, np.argsort(-bounds, axis=1)[:, :2], True, 1)
+    ahead &= np.array([tops[i].floor < 0 for i in group])[:, None]
+    entered = 0
+    for part in (ahead, ~ahead):
+        floor = np.array([tops[i].floor for i in group])
+        chosen = part & (bounds > 0) & (bounds >= floor[:, None])
         if not chosen.any():
             continue
         entered += int(chosen.sum())
-        take = chosen[blocks]
+        take = chosen.ravel()[block]
         first, last = s.entry_at[entries[take]], s.entry_end[entries[take]]
-        postings = _ranges(first, last)
-        scores = np.bincount(s.docs[postings], np.repeat(w[take], last - first) * s.part[postings], len(s.ids))
-        best = np.flatnonzero((scores > 0) & (scores >= top.floor))
-        if len(best) > top.k:
-            cut = np.partition(scores[best], len(best) - top.k)[len(best) - top.k]
-            best = best[scores[best] >= cut]
-        if len(best):
-            top.add(scores[best], [s.ids[i] for i in best])
+        postings, word = _ranges(first, last), np.repeat(of[take], last - first)
+        key, parts = row[word] * size + s.docs[postings], weight[word] * s.part[postings]
+        most = (sums + np.bincount(key, parts, sums.size).reshape(sums.shape)) * (1 + s.slack)
+        most[~np.repeat(chosen, BLOCK, axis=1)] = 0
+        if size > tops[0].k:  # those that can be among the k best of these blocks
+            floor = np.maximum(floor, np.partition(most, size - tops[0].k, axis=1)[:, size - tops[0].k] * (1 - 3 * s.slack))
+        query, doc = np.nonzero((most > 0) & (most >= floor[:, None]))
+        for i in range(0, len(query), SCORED):
+            q, d = query[i : i + SCORED], doc[i : i + SCORED]
+            scores = _scores(s, q, d, (row, weight, column), (key, word, parts))
+            cuts = np.flatnonzero(np.diff(q)) + 1
+            for own in np.split(np.arange(len(q)), cuts):
+                top = tops[group[q[own[0]]]]
+                best = own[(scores[own] > 0) & (scores[own] >= top.floor)]
+                if len(best):
+                    top.add(scores[best], [s.ids[j] for j in d[best]])
     return entered
 
 
+def _scores(s: Shard, query: np.ndarray, doc: np.ndarray, terms: tuple[np.ndarray, ...], found: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Exact scores of documents for queries, added up in the order of the query's terms."""
+    (row, weight, column), (key, word, parts) = terms, found
+    start = np.searchsorted(row, np.arange(row[-1] + 2))
+    n = start[query + 1] - start[query]
+    pair, term = np.repeat(np.arange(len(query)), n), _ranges(start[query], start[query + 1])
+    value = np.zeros(len(term))
+    dense = np.flatnonzero(column[term] >= 0)
+    value[dense] = s.exact[doc[pair[dense]], column[term[dense]]] * weight[term[dense]]
+    slot = np.full((row[-1] + 1) * s.blocks * BLOCK, -1)
+    slot[query * s.blocks * BLOCK + doc] = np.cumsum(n) - n
+    mine = np.flatnonzero(slot[key] >= 0)
+    value[slot[key[mine]] + word[mine] - start[row[word[mine]]]] = parts[mine]
+    return np.bincount(pair, value, len(query))
+
+
+def run_query(s: Shard, term: np.ndarray, weight: np.ndarray, top: Top) -> int:
+    """:func:`run_queries` for one query."""
+    return run_queries(s, Queries([term], [weight]), [top])
+
+
 def search(index: DataFrame, queries: DataFrame, mean: float, k: int = 10) -> DataFrame:
     """(query, rank, id, score), the k best documents of every weighted query."""
     spark = index.sparkSession
@@ -230,13 +307,12 @@ def search(index: DataFrame, queries: DataFrame, mean: float, k: int = 10) -> Da
             from pyspark import TaskContext
 
             block: pd.DataFrame = shared.value
-            asked = [(np.asarray(t, np.int64).view(np.uint64), np.asarray(w, np.float64), Top(k)) for t, w in zip(block["terms"], block["weights"], strict=True)]
+            asked = Queries([np.asarray(t, np.int64).view(np.uint64) for t in block["terms"]], [np.asarray(w, np.float64) for w in block["weights"]])
+            tops = [Top(k) for _ in range(len(asked))]
             for batch in batches:
                 for i in range(batch.num_rows):
-                    s = Shard({name: batch.column(name)[i].as_py() for name in batch.schema.names}, mean)
-                    for term, weight, top in asked:
-                        run_query(s, term, weight, top)
-            rows = [(q, key, score) for q, (_, _, top) in zip(block["query"].tolist(), asked, strict=True) for score, key in top.rows]
+                    run_queries(Shard({name: batch.column(name)[i].as_py() for name in batch.schema.names}, mean), asked, tops)
+            rows = [(q, key, score) for q, top in zip(block["query"].tolist(), tops, strict=True) for score, key in top.rows]
             part = TaskContext.get().partitionId() % 64
             yield pa.RecordBatch.from_pylist([{"query": q, "id": key, "score": score, "part": part} for q, key, score in rows], schema=_arrow(schema))
 
