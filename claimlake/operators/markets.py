@@ -160,9 +160,9 @@ def routed(claims: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame, mme:
            broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, on_duplicate: str = "keep") -> DataFrame:
     """Every claim once, with the gold table that takes it in GOLD_TABLE, or NULL
     and the REASON why none does. The columns are those of all gold tables
-    together; a table's rows have NULL in columns it doesn't have. Each market
-    is read and joined once: the market definitions decide about the table and
-    the quarantine in the same pass."""
+    together; a table's rows have NULL in columns it doesn't have. The markets that
+    need no lookup are read in one pass, each other market in its own: the market
+    definitions decide about the table and the quarantine in the same pass."""
     def shaped(df: DataFrame, columns: list[str], table: Column, reason: str | None = None) -> DataFrame:
         df = conform(df.withColumn("GOLD_TABLE", table), [*columns, "GOLD_TABLE"])
         df = stamp(df, run_date).withColumn("REASON", F.when(F.col("GOLD_TABLE").isNull(), F.lit(reason)))
@@ -170,10 +170,12 @@ def routed(claims: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame, mme:
         lacking = [c for c in schemas.GOLD_STORE_COLUMNS if c not in df.columns]
         return df.withColumns({c: F.lit(None).cast("int" if c == "MOUD" else want[c]) for c in lacking})
 
-    known = [*schemas.NON_OPIOID_MARKETS, schemas.NALOXONE_CODE, schemas.BENZO_CODE, schemas.OPIOID_CODE]
     market = F.col("MARKET_NAME")
-    other = shaped(claims.where(market.isin(list(schemas.NON_OPIOID_MARKETS))), schemas.NON_OPIOID_GOLD_COLUMNS, _mapped(market, schemas.NON_OPIOID_MARKETS))
-    naloxone = shaped(claims.where(market == schemas.NALOXONE_CODE), schemas.OPIOID_FILE_GOLD_COLUMNS, F.lit("naloxone"))
+    plain = claims.where(~F.coalesce(market.isin(schemas.BENZO_CODE, schemas.OPIOID_CODE), F.lit(False)))
+    plain = shaped(plain, schemas.OPIOID_FILE_GOLD_COLUMNS, _mapped(market, {**schemas.NON_OPIOID_MARKETS, schemas.NALOXONE_CODE: "naloxone"}), "unmapped_market")
+    # of these only naloxone has the columns of the opioid file
+    own = [c for c in schemas.OPIOID_FILE_GOLD_COLUMNS if c not in schemas.NON_OPIOID_GOLD_COLUMNS]
+    plain = plain.withColumns({c: F.when(market == schemas.NALOXONE_CODE, F.col(c)) for c in own})
     split = benzo_split(claims, benzo_def, broadcast_max_rows, on_duplicate)
     benzo = shaped(split, schemas.OPIOID_FILE_GOLD_COLUMNS, _mapped(market, schemas.BENZO_MARKETS), "no_benzo_flag")
     enriched = mme_enrich(claims, mme, broadcast_max_rows, on_duplicate)
@@ -182,12 +184,11 @@ def routed(claims: DataFrame, benzo_def: DataFrame, opioid_def: DataFrame, mme:
     opioid = shaped(ruled, schemas.OPIOID_GOLD_COLUMNS, _mapped(market, schemas.OPIOID_MARKETS), "no_market_definition")
     # BU claims have no MOUD column in their table
     opioid = opioid.withColumn("MOUD", F.when(F.col("GOLD_TABLE") != "buprenorphine", F.col("MOUD")))
-    unmapped = shaped(claims.where(~F.coalesce(market.isin(known), F.lit(False))), schemas.NON_OPIOID_GOLD_COLUMNS, F.lit(None).cast("string"), "unmapped_market")
-    out = other.unionByName(naloxone)
+    out = plain
     # an unrouted claim keeps the market code it came with
     for df, code in ((benzo, schemas.BENZO_CODE), (opioid, schemas.OPIOID_CODE)):
         out = out.unionByName(df.withColumn("MARKET_NAME", F.coalesce("MARKET_NAME", F.lit(code))))
-    return out.unionByName(unmapped).select(*schemas.GOLD_STORE_COLUMNS, "GOLD_TABLE", "REASON")
+    return out.select(*schemas.GOLD_STORE_COLUMNS, "GOLD_TABLE", "REASON")
 
 
 __all__ = [

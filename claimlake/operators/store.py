@@ -20,6 +20,7 @@ delivering again.
 
 from __future__ import annotations
 
+import collections
 import functools
 import hashlib
 import json
@@ -28,7 +29,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +39,10 @@ from claimlake.session import materialize
 BUCKET = "BUCKET"
 #: A bucket's rows at the first load, which fixes the number of buckets if the caller doesn't.
 ROWS_PER_BUCKET = 2_000_000
+#: Rows of a folder that a task takes in a merge by version, about.
+CHUNK_ROWS = 250_000
+#: Into so many parts, by hash of the key, a folder is dealt at most; its delivered rows are counted in so many.
+CHUNKS = 64
 _LAYOUT = "buckets int, keys string, partition_by string, schema string"
 
 
@@ -59,6 +64,11 @@ class Layout:
         """Columns that identify a row: the key within its partition."""
         return [*self.keys, *[c for c in self.partition_by if c not in self.keys]]
 
+    @property
+    def hashed(self) -> list[str]:
+        """The key without its partition columns: BUCKET is its hash."""
+        return [k for k in self.keys if k not in self.partition_by] or list(self.keys)
+
     @property
     def stored(self) -> T.StructType:
         own = [f for f in self.schema.fields if f.name not in self.partition_by]
@@ -89,9 +99,23 @@ def whole_key(keys: Sequence[str]) -> Column:
 def bucketed(df: DataFrame, found: Layout, run: str | None = None) -> DataFrame:
     """Adds BUCKET: the hash of the key without its partition columns, or the
     run's own number where a part of the key is NULL."""
-    hashed = [k for k in found.keys if k not in found.partition_by] or list(found.keys)
     own = -1 - int(hashlib.sha256((run or uuid.uuid4().hex).encode()).hexdigest()[:15], 16)
-    return df.withColumn(BUCKET, F.when(whole_key(found.key), F.pmod(F.xxhash64(*hashed), F.lit(found.buckets))).otherwise(F.lit(own)).cast("long"))
+    return df.withColumn(BUCKET, F.when(whole_key(found.key), F.pmod(F.xxhash64(*found.hashed), F.lit(found.buckets))).otherwise(F.lit(own)).cast("long"))
+
+
+def _chunk(found: Layout, chunks: int) -> Column:
+    """The part of its folder that a key lies in, told by another hash than BUCKET."""
+    return F.pmod(F.hash(*found.hashed), F.lit(chunks))
+
+
+def latest_by_folder(df: DataFrame, found: Layout, latest: str, chunks: int) -> DataFrame:
+    """:func:`dedupe_latest` for rows that are written to their folders next: they move
+    once, to a task for each part of a folder, and are sorted there by folder and key."""
+    rest = [c for c in df.columns if c not in (*found.key, BUCKET)]
+    order = [latest, *[c for c in rest if c != latest]]
+    dealt = df.withColumn("__chunk", _chunk(found, chunks)).repartition(*found.folder, "__chunk")
+    versions = Window.partitionBy(*found.folder, *[k for k in found.key if k not in found.folder], "__chunk").orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return dealt.withColumn("__version", F.row_number().over(versions)).where(F.col("__version") == 1).select(*df.columns)
 
 
 def in_folders(folders: Iterable[Row], found: Layout) -> Column:
@@ -169,7 +193,11 @@ def merge_into(spark: SparkSession, source: DataFrame, path: str, keys: Sequence
     source = bucketed(source.select(*found.schema.names), found, run)
     if not staged:
         source = materialize(source, "store-source")
-    touched = source.select(*found.folder).distinct().collect()  # a row per folder
+    if on_duplicate == "latest":
+        counted = source.groupBy(*found.folder, _chunk(found, CHUNKS).alias("__chunk")).count().collect()  # CHUNKS rows per folder at most
+        touched = list({Row(**{c: r[c] for c in found.folder}) for r in counted})
+    else:
+        touched = source.select(*found.folder).distinct().collect()  # a row per folder
     stored = spark.read.schema(found.stored).parquet(path)
     hit: list[Row] = []
     if fresh:
@@ -185,24 +213,47 @@ def merge_into(spark: SparkSession, source: DataFrame, path: str, keys: Sequence
     if gone is not None:
         kept = _deleted(kept, gone, found, latest, "left_anti")
     columns = [*found.schema.names, BUCKET]
-    mine = source.where(F.col(BUCKET) >= 0).select(*columns)
-    if fresh and on_duplicate != "latest":
-        merged = mine  # nothing to meet
-    elif on_duplicate == "latest":
-        merged = dedupe_latest(kept.select(*columns).unionByName(mine), [*found.key, BUCKET], latest)
+    mine, unkeyed = source.where(F.col(BUCKET) >= 0).select(*columns), source.where(F.col(BUCKET) < 0).select(*columns)
+    if on_duplicate == "latest":
+        if _hot(counted, found):  # reduced where it lies, so a key's rows don't move into one task
+            mine = dedupe_latest(mine, [*found.key, BUCKET], latest)
+        rows = kept.select(*columns).unionByName(mine)
+        out = latest_by_folder(rows, found, latest, _chunks(counted, [] if fresh else target.groupBy(*found.folder).count().collect(), found))
+        if any(f[BUCKET] < 0 for f in touched):
+            out = out.unionByName(unkeyed.hint("rebalance", *found.folder))
+    elif fresh:
+        out = mine.unionByName(unkeyed).hint("rebalance", *found.folder)  # nothing to meet
     else:
         # a small delta's keys are sent, larger ones shuffled, by Spark's choice at run time
-        merged = kept.join(mine.select(*found.key, BUCKET).distinct(), [*found.key, BUCKET], "left_anti").select(*columns).unionByName(mine)
-    out = merged.unionByName(source.where(F.col(BUCKET) < 0).select(*columns))
+        met = kept.join(mine.select(*found.key, BUCKET).distinct(), [*found.key, BUCKET], "left_anti").select(*columns)
+        out = met.unionByName(mine).unionByName(unkeyed).hint("rebalance", *found.folder)
     # seen before the write: what the deletions leave without a row
     left = {tuple(r) for r in kept.select(*found.folder).distinct().collect()} | {tuple(f) for f in source.select(*found.folder).distinct().collect()} if hit else set()
     if touched:
-        (out.hint("rebalance", *found.folder).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*found.folder).parquet(path))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*found.folder).parquet(path)
     _empty(spark.read.schema(found.stored).parquet(path), path, found.folder, [f for f in hit if tuple(f) not in left])
     return path
 
 
+def _hot(counted: list[Row], found: Layout) -> bool:
+    """Whether a key may hold so many of the delivered rows that it makes a part of its folder too large."""
+    size = _sizes(counted, found)
+    return any(r["count"] > max(CHUNK_ROWS, 4 * size[tuple(r[c] for c in found.folder)] / CHUNKS) for r in counted if r[BUCKET] >= 0)
+
+
+def _chunks(counted: list[Row], stored: list[Row], found: Layout) -> int:
+    """Into how many parts folders are dealt, so that the largest has about ``CHUNK_ROWS`` rows in each."""
+    size = _sizes([r for r in [*counted, *stored] if r[BUCKET] >= 0], found)
+    return min(CHUNKS, -(-max(size.values(), default=1) // CHUNK_ROWS))
+
+
+def _sizes(counted: list[Row], found: Layout) -> collections.Counter:
+    out: collections.Counter = collections.Counter()
+    for r in counted:
+        out[tuple(r[c] for c in found.folder)] += r["count"]
+    return out
+
+
 def _deleted(target: DataFrame, gone: DataFrame, found: Layout, latest: str | None, how: str = "left_semi") -> DataFrame:
     """Rows of ``target`` that ``gone`` names (or, with ``left_anti``, all others)."""
     on = [c for c in [*found.key, BUCKET] if c in gone.columns]

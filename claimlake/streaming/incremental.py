@@ -40,8 +40,9 @@ def upsert_batch(batch: DataFrame, patients: DataFrame, products: DataFrame, ben
     silver = curate.claims_silver(batch, patients, products, broadcast_max_rows=p.broadcast_max_rows,
                                   on_duplicate=p.lookup_duplicates)
     # Stored once in the shared folder: every market reads its claims from there
-    # instead of joining the batch again (and a retry restarts from the files).
-    staged = materialize(silver, "stream-batch")
+    # instead of joining the batch again (and a retry restarts from the files). By market
+    # within each file: a market's read skips the other markets' pages.
+    staged = materialize(silver.sortWithinPartitions("MARKET_NAME"), "stream-batch")
     write_markets(batch.sparkSession, staged, benzo_def, opioid_def, mme, p, run)
 
 

@@ -232,3 +232,31 @@ def test_nothing_is_deleted_from_a_table_just_made(spark, monkeypatch):
         merge_into(spark, df, path, buckets=2, gone=spark.createDataFrame([("a", 2020), ("c", 2020)], "CLAIM_ID string, YEAR int"))
         assert ("store-gone" in staged) == (n == 1)  # the second merge has stored rows to delete
         assert rows(read_store(spark, path)) == rows(df)
+
+
+def test_a_merge_by_version_moves_rows_once(spark):
+    found = store.Layout(4, ("CLAIM_ID", "YEAR"), PARTS, frame(spark, []).schema)
+    df = store.bucketed(frame(spark, [("a", 2020, "x", "1", 1), ("a", 2020, "x", "2", 2)]), found)
+    out = store.latest_by_folder(df, found, "D", 3)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert [r.V for r in out.collect()] == ["2"]
+
+
+def test_merges_by_version_in_parts_of_folders(spark, monkeypatch):
+    """Folders dealt in parts, a key with most of the rows, and rows without a key."""
+    monkeypatch.setattr(store, "CHUNK_ROWS", 5)
+    reduced, whole = [], store.dedupe_latest
+    monkeypatch.setattr(store, "dedupe_latest", lambda *a: reduced.append(1) or whole(*a))
+    r = random.Random(7)
+    data = [(f"c{r.randint(0, 30)}", r.choice([2020, 2021]), r.choice("xy"), str(i), r.choice([None, 1, 2, 3])) for i in range(200)]
+    data += [("hot", 2020, "x", str(i), 1) for i in range(300)] + [(None, 2020, "x", "n", 1)] * 2
+    r.shuffle(data)
+    path, want = shared_path(spark, "t-store"), {}
+    for n, at in enumerate((0, 250)):
+        merge(spark, data[at : at + 252], path, on_duplicate="latest", latest="D", run=f"r{n}")
+    for row in data[:502]:
+        key = (row[4] is not None, row[4] or 0, row[3])
+        if row[0] is not None and (row[:3] not in want or key > want[row[:3]][0]):
+            want[row[:3]] = (key, row)
+    assert reduced and rows(read_store(spark, path).where("CLAIM_ID IS NOT NULL")) == rows(frame(spark, [row for _, row in want.values()]))
+    assert read_store(spark, path).where("CLAIM_ID IS NULL").count() >= 2
