@@ -7,17 +7,19 @@ documents, their mean length and the document frequencies over all shards, so
 that a score doesn't depend on the shard it was computed in.
 
 ``search`` runs blocks of ``QUERIES`` queries against every shard. A shard's
-documents are cut into blocks of ``BLOCK``; for each term the largest
-contribution in each block is known, and the sum over a query's terms bounds
-every score in the block. Blocks whose bound is below the k-th best score so far
-(over all shards that the task has seen) are skipped: nothing that they hold can
-be among the k best. In the others every document gets a bound of its own: the
-contributions of terms that are in many of the shard's documents lie in a dense
-matrix, whose product with the weights of ``GROUP`` queries at a time is added to
-those of the other terms' postings. Documents whose bound reaches the k-th best
-score are scored, in double precision and in one order of terms. Each task
-hands on its k best per query; these are merged, in two steps, to the exact
-result.
+documents are cut into blocks of ``BLOCK``. The contributions of terms that are in
+many of the shard's documents lie in a dense matrix for each block, with the
+largest of every term in the block; those of the other terms are added up by
+document from their postings, for ``GROUP`` queries at a time. The sum of the
+query's block maxima and the largest sum of the others bounds every score in the
+block. Blocks whose bound is below the k-th best score so far (over all shards
+that the task has seen) are skipped: nothing that they hold can be among the k
+best. In the others every document gets a bound of its own, by the product of the
+block's matrix with the weights of the queries that enter it; a group's queries
+share their commonest terms, so that the product takes few of the matrix's rows.
+Documents whose bound reaches the k-th best score are scored, in double precision
+and in one order of terms. Each task hands on its k best per query; these are
+merged, in two steps, to the exact result.
 
 Terms are runs of word characters in lower case, told apart by 64-bit hashes. A
 query is the set of its terms. Ties are broken by the smaller id.
@@ -50,8 +52,10 @@ SHARD_CHARS = 1 << 24
 BLOCK = 64
 #: Queries that are sent to the tasks at a time; bounds what is broadcast.
 QUERIES = 4096
-#: Queries whose bounds are computed together, and documents that are scored together.
-GROUP, SCORED = 64, 512
+#: Queries whose bounds are computed together, with so many terms at most unless it is one query, and documents that are scored together.
+GROUP, GROUP_TERMS, SCORED = 128, 65_536, 512
+#: Queries are alike if so many of their commonest terms are the same.
+LIKE = 8
 #: A term in more than one of ``DENSE_SHARE`` documents of a shard goes to its dense matrix, ``DENSE_TERMS`` terms at most.
 DENSE_SHARE, DENSE_TERMS = 32, 1024
 _TERM = re.compile(r"\w+")
@@ -149,40 +153,33 @@ def weighted_queries(queries: DataFrame, df: DataFrame, n_docs: int, id_col: str
 
 
 class Shard:
-    """One shard: contributions of frequent terms as a matrix, those of other terms by
-    posting, all with their block maxima."""
+    """One shard: contributions of frequent terms as a matrix for each block, with their
+    block maxima; those of other terms by posting."""
 
     def __init__(self, row: dict, mean: float):
         self.ids = row["ids"]
         lengths = np.frombuffer(row["lengths"], "<u4")
         self.terms = np.frombuffer(row["terms"], "<u8")
-        starts = np.frombuffer(row["starts"], "<u4").astype(np.int64)
-        self.docs = np.frombuffer(row["postings"], "<u2").astype(np.int64)
+        self.starts = np.frombuffer(row["starts"], "<u4").astype(np.int64)
+        docs = np.frombuffer(row["postings"], "<u2").astype(np.int64)
         tf = np.frombuffer(row["counts"], "<u4").astype(np.float64)
-        self.part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
+        self.part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[docs] / mean))
         self.blocks = int(-(-len(self.ids) // BLOCK))
-        n = np.diff(starts)
+        #: where a posting's document is for the first query of a group
+        self.at = docs + docs // BLOCK * ((GROUP - 1) * BLOCK)
+        n = np.diff(self.starts)
         # frequent terms, by document
         dense = np.flatnonzero(n > len(self.ids) / DENSE_SHARE)
         dense = dense[np.argsort(-n[dense], kind="stable")[:DENSE_TERMS]]
         self.dense = np.full(len(n), -1)
         self.dense[dense] = np.arange(len(dense))
         self.exact = np.zeros((self.blocks * BLOCK, len(dense)))
-        at = _ranges(starts[dense], starts[dense + 1])
-        self.exact[self.docs[at], np.repeat(np.arange(len(dense)), n[dense])] = self.part[at]
-        self.matrix = np.ascontiguousarray(self.exact.T, np.float32)
-        self.most = self.matrix.reshape(len(dense), self.blocks, BLOCK).max(2)
+        at = _ranges(self.starts[dense], self.starts[dense + 1])
+        self.exact[docs[at], np.repeat(np.arange(len(dense)), n[dense])] = self.part[at]
+        self.matrix = np.ascontiguousarray(self.exact.reshape(self.blocks, BLOCK, len(dense)).transpose(0, 2, 1), np.float32)
+        self.most = self.matrix.max(2).T
         # single precision and another order of additions change a sum of positive numbers by less than this share
         self.slack = (len(dense) + 16) * 2.0**-22
-        # other terms' entries: runs of postings of one term in one block
-        block = self.docs // BLOCK
-        new = np.r_[True, block[1:] != block[:-1]]
-        new[starts[:-1]] = True
-        self.entry_at = np.flatnonzero(new)
-        self.entry_end = np.r_[self.entry_at[1:], len(self.docs)]
-        self.entry_block = block[self.entry_at]
-        self.entry_most = np.maximum.reduceat(self.part, self.entry_at)
-        self.term_entry = np.searchsorted(self.entry_at, starts)
 
 
 def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -204,72 +201,107 @@ class Top:
 
 
 class Queries:
-    """Queries with their terms as numbers in one sorted list."""
+    """Queries with their terms as numbers in one sorted list, and groups of queries whose commonest terms are alike."""
 
     def __init__(self, terms: list[np.ndarray], weights: list[np.ndarray]):
-        self.weights = weights
+        self.n = len(weights)
         self.terms, number = np.unique(np.concatenate([np.zeros(0, np.uint64), *terms]), return_inverse=True)
-        self.numbers = np.split(number, np.cumsum([len(t) for t in terms])[:-1]) if terms else []
+        numbers = np.split(number, np.cumsum([len(t) for t in terms])[:-1]) if terms else []
+        common = [n[np.argsort(w, kind="stable")[:LIKE]].tolist() for n, w in zip(numbers, weights, strict=True)]
+        groups, size = [], 0
+        for i in sorted(range(len(weights)), key=common.__getitem__):
+            if not groups or len(groups[-1]) == GROUP or size + len(weights[i]) > GROUP_TERMS:
+                groups.append([])
+                size = 0
+            groups[-1].append(i)
+            size += len(weights[i])
+        #: each group's queries; of its terms, one query after the other, the place in the group, the number and the weight
+        self.groups = [
+            (g, np.repeat(np.arange(len(g)), [len(weights[i]) for i in g]), np.concatenate([numbers[i] for i in g]), np.concatenate([weights[i] for i in g])) for g in groups
+        ]
 
     def __len__(self) -> int:
-        return len(self.weights)
+        return self.n
 
 
 def run_queries(s: Shard, asked: Queries, tops: list[Top]) -> int:
     """Adds the shard's part to every query's ``Top``; gives the number of blocks entered."""
     at = np.minimum(np.searchsorted(s.terms, asked.terms), len(s.terms) - 1)
     place = np.where(s.terms[at] == asked.terms, at, -1)
-    return sum(_run_group(s, place, asked, tops, range(i, min(i + GROUP, len(asked)))) for i in range(0, len(asked), GROUP))
+    return sum(_run_group(s, [tops[i] for i in group], row, place[number], weight) for group, row, number, weight in asked.groups)
 
 
-def _run_group(s: Shard, place: np.ndarray, asked: Queries, tops: list[Top], group: range) -> int:
+def _run_group(s: Shard, tops: list[Top], row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> int:
     # the queries' terms that the shard has, one query after the other; ``row`` is the query
-    row = np.repeat(np.arange(len(group)), [len(asked.numbers[i]) for i in group])
-    term, weight = place[np.concatenate([asked.numbers[i] for i in group])], np.concatenate([asked.weights[i] for i in group])
-    row, term, weight = row[term >= 0], term[term >= 0], weight[term >= 0]
-    if not len(term):
+    there = np.flatnonzero(term >= 0)
+    if not len(there):
         return 0
-    column, size = s.dense[term], s.blocks * BLOCK
+    row, term, weight = row[there], term[there], weight[there]
+    column, k = s.dense[term], tops[0].k
     frequent, other = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
-    dense = np.zeros((len(group), len(s.matrix)), np.float32)
-    dense[row[frequent], column[frequent]] = weight[frequent]
-    bounds, sums = dense @ s.most, dense @ s.matrix
-    lo, hi = s.term_entry[term[other]], s.term_entry[term[other] + 1]
-    entries, of = _ranges(lo, hi), np.repeat(other, hi - lo)
-    block = row[of] * s.blocks + s.entry_block[entries]
-    bounds = (bounds + np.bincount(block, weight[of] * s.entry_most[entries], bounds.size).reshape(bounds.shape)) * (1 + s.slack)
+    asked = np.zeros(s.matrix.shape[1], bool)
+    asked[column[frequent]] = True
+    used = np.flatnonzero(asked)
+    dense = np.zeros((len(tops), len(used)), np.float32)
+    dense[row[frequent], (np.cumsum(asked) - 1)[column[frequent]]] = weight[frequent]
+    matrix = s.matrix if len(used) == s.matrix.shape[1] else s.matrix[:, used]
+    # other terms' sums, by block, query and document
+    lo, n = s.starts[term[other]], s.starts[term[other] + 1] - s.starts[term[other]]
+    postings = _ranges(lo, lo + n)
+    key = s.at[postings] + np.repeat(row[other] * BLOCK, n)
+    parts = s.part[postings] * np.repeat(weight[other], n)
+    sums = np.bincount(key, parts, s.blocks * GROUP * BLOCK).reshape(s.blocks, GROUP, BLOCK)[:, : len(tops)]
+    bounds = (dense @ s.most[used] + sums.max(2).T) * (1 + s.slack)
+    floor = np.array([top.floor for top in tops])
     # the best blocks first for queries that have no k-th best score yet
     ahead = np.zeros(bounds.shape, bool)
     np.put_along_axis(ahead, np.argsort(-bounds, axis=1)[:, :2], True, 1)
-    ahead &= np.array([tops[i].floor < 0 for i in group])[:, None]
-    entered = 0
-    for part in (ahead, ~ahead):
-        floor = np.array([tops[i].floor for i in group])
+    ahead &= (floor < 0)[:, None]
+    entered, left = 0, []
+    for part in (ahead, ~ahead) if ahead.any() else (~ahead,):
         chosen = part & (bounds > 0) & (bounds >= floor[:, None])
-        if not chosen.any():
-            continue
         entered += int(chosen.sum())
-        take = chosen.ravel()[block]
-        first, last = s.entry_at[entries[take]], s.entry_end[entries[take]]
-        postings, word = _ranges(first, last), np.repeat(of[take], last - first)
-        key, parts = row[word] * size + s.docs[postings], weight[word] * s.part[postings]
-        most = (sums + np.bincount(key, parts, sums.size).reshape(sums.shape)) * (1 + s.slack)
-        most[~np.repeat(chosen, BLOCK, axis=1)] = 0
-        if size > tops[0].k:  # those that can be among the k best of these blocks
-            floor = np.maximum(floor, np.partition(most, size - tops[0].k, axis=1)[:, size - tops[0].k] * (1 - 3 * s.slack))
-        query, doc = np.nonzero((most > 0) & (most >= floor[:, None]))
-        for i in range(0, len(query), SCORED):
-            q, d = query[i : i + SCORED], doc[i : i + SCORED]
-            scores = _scores(s, q, d, (row, weight, column), (key, word, parts))
-            cuts = np.flatnonzero(np.diff(q)) + 1
-            for own in np.split(np.arange(len(q)), cuts):
-                top = tops[group[q[own[0]]]]
-                best = own[(scores[own] > 0) & (scores[own] >= top.floor)]
-                if len(best):
-                    top.add(scores[best], [s.ids[j] for j in d[best]])
+        for b in np.flatnonzero(chosen.any(0)):
+            rows = np.flatnonzero(chosen[:, b])
+            most = (dense[rows] @ matrix[b] + sums[b, rows]) * (1 + s.slack)
+            at = np.flatnonzero((most >= floor[rows, None]) & (most > 0))
+            left.append((rows[at // BLOCK], b * BLOCK + at % BLOCK, most.ravel()[at]))
+        if not left:
+            return entered
+        # each query's documents, the largest bounds first; not those below the k-th best of what is bounded so far
+        query, doc, most = map(np.concatenate, zip(*left, strict=True))
+        by = np.lexsort((-most, query))
+        query, doc, most = query[by], doc[by], most[by]
+        kth = np.searchsorted(query, np.arange(len(tops))) + k - 1
+        full = np.flatnonzero(kth < np.searchsorted(query, np.arange(len(tops)), "right"))
+        floor[full] = np.maximum(floor[full], most[kth[full]] * (1 - 3 * s.slack))
+        keep = most >= floor[query]
+        query, doc, most = query[keep], doc[keep], most[keep]
+        left = [(query, doc, most)]
+    if not len(query):
+        return entered
+    # the postings of those documents only
+    wanted = np.zeros(s.blocks * GROUP * BLOCK, bool)
+    wanted[_at(query, doc)] = True
+    mine = np.flatnonzero(wanted[key])
+    found = key[mine], other[np.searchsorted(np.cumsum(n), mine, "right")], parts[mine]
+    for i in range(0, len(query), SCORED):
+        q, d = query[i : i + SCORED], doc[i : i + SCORED]
+        scores = _scores(s, q, d, (row, weight, column), found)
+        cuts = np.flatnonzero(np.diff(q)) + 1
+        for own in np.split(np.arange(len(q)), cuts):
+            top = tops[q[own[0]]]
+            best = own[(scores[own] > 0) & (scores[own] >= top.floor)]
+            if len(best):
+                top.add(scores[best], [s.ids[j] for j in d[best]])
     return entered
 
 
+def _at(query: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Where a group's sums have a query's document."""
+    return doc + (doc // BLOCK * (GROUP - 1) + query) * BLOCK
+
+
 def _scores(s: Shard, query: np.ndarray, doc: np.ndarray, terms: tuple[np.ndarray, ...], found: tuple[np.ndarray, ...]) -> np.ndarray:
     """Exact scores of documents for queries, added up in the order of the query's terms."""
     (row, weight, column), (key, word, parts) = terms, found
@@ -279,8 +311,8 @@ def _scores(s: Shard, query: np.ndarray, doc: np.ndarray, terms: tuple[np.ndarra
     value = np.zeros(len(term))
     dense = np.flatnonzero(column[term] >= 0)
     value[dense] = s.exact[doc[pair[dense]], column[term[dense]]] * weight[term[dense]]
-    slot = np.full((row[-1] + 1) * s.blocks * BLOCK, -1)
-    slot[query * s.blocks * BLOCK + doc] = np.cumsum(n) - n
+    slot = np.full(s.blocks * GROUP * BLOCK, -1)
+    slot[_at(query, doc)] = np.cumsum(n) - n
     mine = np.flatnonzero(slot[key] >= 0)
     value[slot[key[mine]] + word[mine] - start[row[word[mine]]]] = parts[mine]
     return np.bincount(pair, value, len(query))

@@ -43,3 +43,25 @@ def test_groups_of_queries_are_exact(spark, monkeypatch, share, most):
                 want.append((-score, i))
         want = sorted((round(s, 9), i) for s, i in want)[:7]
         assert [(round(-s, 9), i) for s, i in top.rows] == want
+
+
+def test_a_block_is_skipped_when_its_rare_terms_are_in_different_documents(spark):
+    texts = [" ".join(["a b"] * 24 + ["x y" if i < 10 else "x a" if i % 64 == 20 else "a y" if i % 64 == 40 else "a b"]) for i in range(1280)]
+    shard, top = search.Shard(_index(spark, texts), 50.0), search.Top(5)
+    h = np.unique(np.array([search.xxhash.xxh3_64_intdigest(t) for t in ("x", "y")], np.uint64))
+    assert search.run_query(shard, h, np.array([3.0, 3.0]), top) <= 2 < shard.blocks
+    assert [i for _, i in top.rows] == [0, 1, 2, 3, 4]
+
+
+def test_groups_hold_queries_alike_and_a_bounded_number_of_terms(monkeypatch):
+    monkeypatch.setattr(search, "GROUP", 4)
+    monkeypatch.setattr(search, "GROUP_TERMS", 10)
+    terms = [np.array([1 + i % 2, 10 + i, 20 + i], np.uint64) for i in range(6)] + [np.arange(40, 60, dtype=np.uint64)]
+    weights = [np.array([0.1, 5.0, 5.0])] * 6 + [np.full(20, 5.0)]
+    asked = search.Queries(terms, weights)
+    assert len(asked) == 7 and sorted(i for g in asked.groups for i in g[0]) == list(range(7))
+    for group, row, number, weight in asked.groups:
+        assert len(group) == 1 or len(weight) <= 10
+        assert len({i % 2 for i in group}) == 1
+        for at, i in enumerate(group):
+            assert asked.terms[number[row == at]].tolist() == terms[i].tolist() and weight[row == at].tolist() == weights[i].tolist()
