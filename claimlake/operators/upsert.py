@@ -8,7 +8,9 @@ same CLAIM_ID in another YEAR is another row.
 
 Built as ``(target restricted to the touched years) LEFT ANTI source-keys
 UNION ALL source`` and written with dynamic partition overwrite, so only the
-touched YEAR folders are replaced. Spark writes the new files to a staging
+touched YEAR folders are replaced. For a large delivery only keys move: they find
+the places (file, row) of the stored rows that it replaces, which go as bitmaps to
+the tasks that read the files; the other stored rows are written where they are read. Spark writes the new files to a staging
 folder inside the table and moves them in at job commit, after every task
 (retries included) has read the old files. A job that fails before that leaves
 the table as it was; the commit itself replaces year folders one by one, so a
@@ -29,11 +31,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from claimlake.operators.relate import assert_unique, bounded_broadcast, fits_broadcast, null_salt
-from claimlake.session import materialize
+from claimlake.session import materialize, sparing_disk
 
 #: A delivery of at most so many rows has its keys sent to the stored rows, which then
-#: move once, to their files; the stored rows move by key to a larger one's, and stay there.
+#: move once, to their files.
 SMALL_DELTA_ROWS = 500_000
+#: For a larger one the places of the rows that it replaces are sent to the files, a bitmap of
+#: 4 KB for each 32,768 rows of a file and so many at most (64 MB). The stored rows of a table
+#: above that move by key to the delivery's, and are written there.
+MAX_BITMAPS = 16_384
+#: Of the table's files and of sources that are stored.
+CODEC = "zstd"
+#: Where a stored row lies.
+PLACE = ("__file", "__row")
 
 
 def table_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> bool:
@@ -53,11 +63,13 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """The upserted content of the touched partitions (pure DataFrame, no
     write). Target rows with a NULL partition value belong to the partition of
     NULLs and stay like others. ``join`` is the hint (``broadcast``, ``merge``)
-    for the source's keys, by default Spark's choice."""
+    for the source's keys, by default Spark's choice. A target that has the
+    ``PLACE`` of its rows is not joined by key: the places of the rows that go are."""
     keys = list(keys)
-    missing = [c for c in target.columns if c not in source.columns]
-    extra = [c for c in source.columns if c not in target.columns]
-    retyped = [c for c in target.columns if c in source.columns and target.schema[c].dataType != source.schema[c].dataType]
+    columns = [c for c in target.columns if c not in PLACE]
+    missing = [c for c in columns if c not in source.columns]
+    extra = [c for c in source.columns if c not in columns]
+    retyped = [c for c in columns if c in source.columns and target.schema[c].dataType != source.schema[c].dataType]
     if missing or extra or retyped:
         raise ValueError(f"source and table differ: missing {missing}, extra {extra}, other types {retyped}")
     if partition_by:
@@ -69,12 +81,36 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
             target.where(F.col(partition_by).isNull()).withColumn("__touched", F.lit(0))
             .join(F.broadcast(nulls.select(F.lit(0).alias("__touched"))), "__touched", "left_semi").drop("__touched"))  # one row
     whole = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    src_keys = source.select(*keys).where(whole).withColumn("__salt", F.lit(0))
-    if join:
-        src_keys = src_keys.hint(join)
-    left = target.withColumn("__salt", null_salt(keys, target.columns))
-    kept = left.join(src_keys, [*keys, "__salt"], "left_anti").select(*target.columns)
-    return kept.unionByName(source.select(*target.columns))
+    src_keys = source.select(*keys).where(whole)
+    if len(columns) < len(target.columns):
+        replaced = target.select(*keys, *PLACE).where(whole).join(src_keys.hint(join) if join else src_keys, keys, "left_semi")
+        kept = _without(target, replaced).select(*columns)
+    else:
+        src_keys = src_keys.withColumn("__salt", F.lit(0))
+        if join:
+            src_keys = src_keys.hint(join)
+        left = target.withColumn("__salt", null_salt(keys, columns))
+        kept = left.join(src_keys, [*keys, "__salt"], "left_anti").select(*columns)
+    return kept.unionByName(source.select(*columns))
+
+
+def _without(target: DataFrame, replaced: DataFrame) -> DataFrame:
+    """``target`` without the rows at the places of ``replaced``."""
+    bucket = F.bitmap_bucket_number("__row").alias("__bucket")
+    bits = replaced.groupBy("__file", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__row")).alias("__bits"))
+    left = target.select("*", bucket, F.bitmap_bit_position("__row").cast("int").alias("__bit")).join(F.broadcast(bits), ["__file", "__bucket"], "left")
+    byte = F.conv(F.hex(F.expr("substring(__bits, __bit div 8 + 1, 1)")), 16, 10).cast("int")
+    return left.withColumn("__byte", byte).where("__bits IS NULL OR (shiftright(__byte, __bit % 8) & 1) = 0")
+
+
+def _placed(target: DataFrame) -> DataFrame | None:
+    """A stored table with the ``PLACE`` of its rows; None if that takes more than ``MAX_BITMAPS``
+    bitmaps, or if two files have the same hash."""
+    rows = target.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    rows = rows.withColumn("__file", F.xxhash64("__path"))
+    found = rows.groupBy("__path", "__file", F.bitmap_bucket_number("__row").alias("__bucket")).agg(F.count(F.lit(1)).alias("n"))
+    got = found.agg(F.count(F.lit(1)).alias("bitmaps"), F.count_distinct("__path").alias("files"), F.count_distinct("__file").alias("hashes")).first()
+    return rows.drop("__path") if got["bitmaps"] <= MAX_BITMAPS and got["files"] == got["hashes"] else None
 
 
 def stored(spark: SparkSession, path: str, like: StructType) -> DataFrame:
@@ -103,27 +139,31 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     ``num_partitions`` only shapes the first load (must be >= 1); other
     writes move a row once at most: a write whose rows have moved by key already,
     or are read from a stored table, goes to its years from there, with a file a
-    task and year. ``stage_source=False`` skips storing the source first, for sources that are a
+    task and year. Shuffled rows are deleted after each write. ``stage_source=False`` skips storing the source first, for sources that are a
     cheap read of a stored table (the merge reads the source four times).
     """
     if num_partitions is not None and num_partitions < 1:
         raise ValueError("Number of partitions must be greater than or equal to 1.")
     source = assert_unique(source, keys, on_duplicate, latest)
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
+    writer_opts = {"partitionOverwriteMode": "dynamic", "compression": CODEC}
     if not table_exists(spark, path, source.schema):
         if num_partitions:
             out = source.repartition(num_partitions)
         else:
             out = source if on_duplicate == "latest" or not stage_source else source.hint("rebalance", partition_by)
-        out.write.mode("overwrite").options(**writer_opts).partitionBy(partition_by).parquet(path)
+        with sparing_disk(spark):
+            out.write.mode("overwrite").options(**writer_opts).partitionBy(partition_by).parquet(path)
         return path
     # The source is computed once and stored: the touched years, the keys
     # for the anti join and the inserted rows all read the stored copy.
     if stage_source:
-        source = materialize(source, "upsert-source")
+        with sparing_disk(spark):
+            source = materialize(source, "upsert-source", codec=CODEC)
     target = stored(spark, path, source.schema)
     small = fits_broadcast(source.select(*keys), SMALL_DELTA_ROWS)
-    merged = merge_frames(target, source, keys, partition_by, "broadcast" if small else "merge")
-    ((merged.hint("rebalance", partition_by) if small else merged).write.mode("overwrite").options(**writer_opts)
-     .partitionBy(partition_by).parquet(path))
+    placed = None if small else _placed(target)
+    merged = merge_frames(target if placed is None else placed, source, keys, partition_by, "broadcast" if small else "merge")
+    with sparing_disk(spark):
+        ((merged.hint("rebalance", partition_by) if small else merged).write.mode("overwrite").options(**writer_opts)
+         .partitionBy(partition_by).parquet(path))
     return path

@@ -17,9 +17,9 @@ from claimlake import schemas
 from claimlake.functions.codes import normalize_code, null_label
 from claimlake.operators import clean, colocate, curate, markets, profiles, quality, reconcile, relate, stats
 from claimlake.operators.store import merge_into, read_store
-from claimlake.operators.upsert import upsert
+from claimlake.operators.upsert import CODEC, upsert
 from claimlake.plans.oracle import RUN_DATE, STATES, norm, with_views
-from claimlake.session import materialize, shared_path
+from claimlake.session import materialize, shared_path, sparing_disk
 from claimlake.sources import claims_view as cv
 from claimlake.sources import io
 
@@ -736,12 +736,18 @@ select * from t1 where not exists (select 1 from s2 where s2.CLAIM_ID = t1.CLAIM
 union all select * from s2""", "claims")
 
 
+def _claims_once(spark, sf, name):
+    """All claims, joined and stored once for several deliveries."""
+    with sparing_disk(spark):
+        return materialize(cv.claims(spark, sf, orders_first=True), name, codec=CODEC)
+
+
 @register("q_upsert", _UPSERT_SQL)
 def q_upsert(spark, sf):
     """Initial load of every claim, then refills re-delivered twice with a new
     UPDATE_DATE (upsert on CLAIM_ID, YEAR); the table is read back."""
     path = shared_path(spark, "q_upsert")
-    c = materialize(cv.claims(spark, sf), "q_upsert-claims")  # joined once for all deliveries
+    c = _claims_once(spark, sf, "q_upsert-claims")
     upsert(spark, clean.stamp(c, "2024-01-01"), path, on_duplicate="keep", stage_source=False)  # the view repeats some keys
     refills = clean.stamp(c.where(F.col("RX_TYPE") == "R"), "2024-02-01")
     upsert(spark, refills, path, on_duplicate="keep", stage_source=False)
@@ -864,7 +870,7 @@ select YEAR, count(*) as n_claims, max(DISPENSE_DATE) as last_dispense, min(DISP
 def q_upsert_duplicates(spark, sf):
     """Repeated keys resolved to the latest dispense before they are stored; a second delivery changes nothing."""
     path = shared_path(spark, "q_upsert_dup")
-    c = materialize(cv.claims(spark, sf), "q_upsert_dup-claims")  # joined once for both deliveries
+    c = _claims_once(spark, sf, "q_upsert_dup-claims")
     for _ in range(2):
         upsert(spark, c, path, on_duplicate="latest", latest="DISPENSE_DATE")
     stored = spark.read.schema(c.schema).parquet(path)

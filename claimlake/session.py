@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,13 +67,38 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "claimlake", *parts, uuid.uuid4().hex])
 
 
-def materialize(df, *parts: str, partition_by: tuple[str, ...] = ()):
+#: Of writes that move or keep whole tables: shuffled rows go when a write ends (they stay until the driver's next
+#: garbage collection otherwise), and tasks write up to so many partitions at once without sorting (and spilling) their rows.
+SPARING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
+}
+
+
+@contextmanager
+def sparing_disk(spark: SparkSession):
+    """The session's settings are ``SPARING`` for the writes inside."""
+    before = {k: spark.conf.get(k, None) for k in SPARING}
+    for k, v in SPARING.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def materialize(df, *parts: str, partition_by: tuple[str, ...] = (), codec: str | None = None):
     """Write ``df`` as Parquet to a fresh folder under the shared folder and
     read it back: cuts the lineage (a lost executor recomputes from the
     written files, not from the whole upstream plan) and lets several later
-    passes read it with column pruning instead of recomputing it."""
+    passes read it with column pruning instead of recomputing it. ``codec``:
+    of the files, by default the session's."""
     path = shared_path(df.sparkSession, "stage", *parts)
     out = df.hint("rebalance", *partition_by) if partition_by else df
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    out.write.mode("overwrite").options(**({"compression": codec} if codec else {})).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -52,14 +52,19 @@ MARKET_BY_PART_MOD10 = [(0, "O"), (1, "O"), (2, "B"), (3, "N"), (4, "A"),
 STATE_BY_NATION_MOD8 = [(0, "AL"), (1, "CA"), (2, "NY"), (3, "TX"), (4, "PR"), (5, "GU"), (6, "WY"), (7, None)]
 
 
-def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One claim per line item, with patient = customer and NDC from the part key."""
+def claims(spark: SparkSession, sf_dir: str, orders_first: bool = False) -> DataFrame:
+    """One claim per line item, with patient = customer and NDC from the part key.
+    ``orders_first`` joins orders and customers first, so that line items move once
+    at most where customers are too many to be broadcast."""
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate"])
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    if orders_first:
+        j = li.join(o.join(c, o.o_custkey == c.c_custkey), li.l_orderkey == o.o_orderkey)
+    else:
+        j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     ship = F.col("l_shipdate")
     return j.select(

@@ -1,8 +1,11 @@
+import time
+from pathlib import Path
+
 import pytest
 
 from claimlake.operators import upsert as upserts
 from claimlake.operators.upsert import table_exists, upsert
-from claimlake.session import shared_path
+from claimlake.session import SPARING, shared_path
 from tests.conftest import rows
 
 SCHEMA = "CLAIM_ID string, YEAR int, V string"
@@ -88,3 +91,40 @@ def test_a_merge_moves_the_stored_rows_once(spark, monkeypatch, small):
     assert _read(spark, path) == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
     plan = merged[0]._jdf.queryExecution().executedPlan().toString()
     assert ("SortMergeJoin" in plan) == (small == 0), plan
+
+
+@pytest.mark.parametrize("most", [16_384, 0])
+def test_only_keys_move_in_a_large_merge(spark, monkeypatch, most):
+    monkeypatch.setattr(upserts, "SMALL_DELTA_ROWS", 0)
+    monkeypatch.setattr(upserts, "MAX_BITMAPS", most)
+    path = shared_path(spark, "t-upsert-places")
+    key, year = "case when id % 11 > 0 then concat('k', id % 60000) end as CLAIM_ID", "case when id % 13 > 0 then cast(2000 + id % 2 as int) end as YEAR"
+    first = spark.range(70_000).coalesce(1).selectExpr(key, year, "concat('a', id) as V")  # keys repeat; more rows in a file than a bitmap has
+    second = spark.range(0, 70_000, 3).selectExpr(key, year, "concat('b', id) as V")
+    merged = []
+    frames = upserts.merge_frames
+    monkeypatch.setattr(upserts, "merge_frames", lambda *a, **kw: merged.append(frames(*a, **kw)) or merged[-1])
+    upsert(spark, first, path, on_duplicate="keep")
+    new = rows(second, "CLAIM_ID", "YEAR", "V")
+    keys = {r[:2] for r in new if r[0] is not None and r[1] is not None}
+    want = sorted([r for r in rows(first, "CLAIM_ID", "YEAR", "V") if r[:2] not in keys] + new, key=lambda t: tuple((x is not None, x) for x in t))
+    upsert(spark, second, path, on_duplicate="keep")
+    assert _read(spark, path) == want
+    assert ("LeftAnti" in merged[0]._jdf.queryExecution().executedPlan().toString()) == (most == 0)
+
+
+def test_a_merge_leaves_no_shuffled_rows_and_the_settings(spark):
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {p.name for d in dirs for p in Path(d).glob("*/shuffle_*.data")}
+
+    before, settings = shuffled(), [spark.conf.get(k, None) for k in SPARING]
+    path = shared_path(spark, "t-upsert-sparing")
+    upsert(spark, spark.range(1000).selectExpr("concat('k', id) as CLAIM_ID", "cast(2000 + id % 3 as int) as YEAR", "'v' as V"), path, on_duplicate="keep")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert [spark.conf.get(k, None) for k in SPARING] == settings
