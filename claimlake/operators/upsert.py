@@ -30,7 +30,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from claimlake.operators.relate import assert_unique, bounded_broadcast, fits_broadcast, null_salt
+from claimlake.operators.relate import assert_unique, bounded_broadcast, dedupe_latest, duplicate_keys, fits_broadcast, null_salt
 from claimlake.session import materialize, sparing_disk
 
 #: A delivery of at most so many rows has its keys sent to the stored rows, which then
@@ -84,7 +84,7 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     src_keys = source.select(*keys).where(whole)
     if len(columns) < len(target.columns):
         replaced = target.select(*keys, *PLACE).where(whole).join(src_keys.hint(join) if join else src_keys, keys, "left_semi")
-        kept = _without(target, replaced).select(*columns)
+        kept = _marked(target, replaced).where("NOT __marked").select(*columns)
     else:
         src_keys = src_keys.withColumn("__salt", F.lit(0))
         if join:
@@ -94,13 +94,13 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return kept.unionByName(source.select(*columns))
 
 
-def _without(target: DataFrame, replaced: DataFrame) -> DataFrame:
-    """``target`` without the rows at the places of ``replaced``."""
+def _marked(target: DataFrame, found: DataFrame) -> DataFrame:
+    """``target`` with ``__marked``: whether a row lies at a place of ``found``."""
     bucket = F.bitmap_bucket_number("__row").alias("__bucket")
-    bits = replaced.groupBy("__file", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__row")).alias("__bits"))
+    bits = found.groupBy("__file", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__row")).alias("__bits"))
     left = target.select("*", bucket, F.bitmap_bit_position("__row").cast("int").alias("__bit")).join(F.broadcast(bits), ["__file", "__bucket"], "left")
     byte = F.conv(F.hex(F.expr("substring(__bits, __bit div 8 + 1, 1)")), 16, 10).cast("int")
-    return left.withColumn("__byte", byte).where("__bits IS NULL OR (shiftright(__byte, __bit % 8) & 1) = 0")
+    return left.withColumn("__byte", byte).withColumn("__marked", F.expr("__bits IS NOT NULL AND (shiftright(__byte, __bit % 8) & 1) = 1"))
 
 
 def _placed(target: DataFrame) -> DataFrame | None:
@@ -113,6 +113,25 @@ def _placed(target: DataFrame) -> DataFrame | None:
     return rows.drop("__path") if got["bitmaps"] <= MAX_BITMAPS and got["files"] == got["hashes"] else None
 
 
+def _latest(source: DataFrame, keys: Sequence[str], latest: str | None) -> DataFrame | None:
+    """What ``assert_unique`` keeps as ``latest`` of a large source that is read from stored files:
+    keys move to find those that repeat, and then only these keys' rows. None for other sources."""
+    keys = list(keys)
+    if latest not in source.columns or fits_broadcast(source.select(*keys), SMALL_DELTA_ROWS):
+        return None
+    try:
+        placed = _placed(source)
+    except AnalysisException:  # not read from files as it is
+        return None
+    if placed is None:
+        return None
+    whole = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    repeated = duplicate_keys(source.where(whole), keys).select(*keys).hint("merge")
+    marked = _marked(placed, placed.select(*keys, *PLACE).where(whole).join(repeated, keys, "left_semi"))
+    again = dedupe_latest(marked.where("__marked").select(*source.columns), keys, latest)
+    return marked.where("NOT __marked").select(*source.columns).unionByName(again)
+
+
 def stored(spark: SparkSession, path: str, like: StructType) -> DataFrame:
     """The table with its own columns; partition values as typed in ``like``
     (folder names carry no type). An empty table has the columns of ``like``."""
@@ -140,11 +159,13 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     writes move a row once at most: a write whose rows have moved by key already,
     or are read from a stored table, goes to its years from there, with a file a
     task and year. Shuffled rows are deleted after each write. ``stage_source=False`` skips storing the source first, for sources that are a
-    cheap read of a stored table (the merge reads the source four times).
+    cheap read of a stored table (the merge reads the source four times); what
+    ``latest`` keeps of them is stored, and found by moving the rows of repeated keys only.
     """
     if num_partitions is not None and num_partitions < 1:
         raise ValueError("Number of partitions must be greater than or equal to 1.")
-    source = assert_unique(source, keys, on_duplicate, latest)
+    one = _latest(source, keys, latest) if on_duplicate == "latest" and not stage_source else None
+    source = assert_unique(source, keys, on_duplicate, latest) if one is None else one
     writer_opts = {"partitionOverwriteMode": "dynamic", "compression": CODEC}
     if not table_exists(spark, path, source.schema):
         if num_partitions:
@@ -156,7 +177,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         return path
     # The source is computed once and stored: the touched years, the keys
     # for the anti join and the inserted rows all read the stored copy.
-    if stage_source:
+    if stage_source or on_duplicate == "latest":
         with sparing_disk(spark):
             source = materialize(source, "upsert-source", codec=CODEC)
     target = stored(spark, path, source.schema)

@@ -872,7 +872,7 @@ def q_upsert_duplicates(spark, sf):
     path = shared_path(spark, "q_upsert_dup")
     c = _claims_once(spark, sf, "q_upsert_dup-claims")
     for _ in range(2):
-        upsert(spark, c, path, on_duplicate="latest", latest="DISPENSE_DATE")
+        upsert(spark, c, path, on_duplicate="latest", latest="DISPENSE_DATE", stage_source=False)
     stored = spark.read.schema(c.schema).parquet(path)
     return stored.groupBy("YEAR").agg(F.count(F.lit(1)).alias("n_claims"), F.max("DISPENSE_DATE").alias("last_dispense"), F.min("DISPENSE_DATE").alias("first_dispense"))
 

@@ -4,8 +4,9 @@ from pathlib import Path
 import pytest
 
 from claimlake.operators import upsert as upserts
+from claimlake.operators.relate import assert_unique
 from claimlake.operators.upsert import table_exists, upsert
-from claimlake.session import SPARING, shared_path
+from claimlake.session import SPARING, materialize, shared_path
 from tests.conftest import rows
 
 SCHEMA = "CLAIM_ID string, YEAR int, V string"
@@ -128,3 +129,20 @@ def test_a_merge_leaves_no_shuffled_rows_and_the_settings(spark):
         time.sleep(0.2)
     assert shuffled() <= before
     assert [spark.conf.get(k, None) for k in SPARING] == settings
+
+
+def test_rows_of_repeated_keys_alone_move_to_find_the_latest(spark, monkeypatch):
+    key, year = "case when id % 11 > 0 then concat('k', id % 60000) end as CLAIM_ID", "case when id % 13 > 0 then cast(2000 + id % 2 as int) end as YEAR"
+    df = spark.range(70_000).coalesce(1).selectExpr(key, year, "concat('a', id % 7, '-', id) as V")  # the latest by V is not the last
+    kept = rows(assert_unique(df, ("CLAIM_ID", "YEAR"), "latest", "V"), "CLAIM_ID", "YEAR", "V")
+    assert upserts._latest(df, ("CLAIM_ID", "YEAR"), "V") is None  # fits a broadcast
+    monkeypatch.setattr(upserts, "SMALL_DELTA_ROWS", 0)
+    assert upserts._latest(df, ("CLAIM_ID", "YEAR"), "V") is None  # not read from files
+    source = materialize(df, "t-upsert-latest")
+    found = upserts._latest(source, ("CLAIM_ID", "YEAR"), "V")
+    assert rows(found, "CLAIM_ID", "YEAR", "V") == kept and len(kept) < 70_000
+    path = shared_path(spark, "t-upsert-latest")
+    for _ in range(2):  # rows with a NULL in their key are added again
+        upsert(spark, source, path, on_duplicate="latest", latest="V", stage_source=False)
+    again = [r for r in kept if r[0] is None or r[1] is None]
+    assert _read(spark, path) == sorted(kept + again, key=lambda t: tuple((x is not None, x) for x in t))
